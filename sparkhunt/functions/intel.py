@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkhunt.names import let
+
 IP_DOC = (
     "ip struct<attacks: bigint, ascountry: string, asname: string, "
     "threatfeeds: map<string, struct<firstseen: string, lastseen: string>>>"
@@ -46,7 +48,10 @@ def parse_ip_doc(doc: Column) -> Column:
 
 def sans_fields(doc: Column) -> Column:
     """Attack count, AS country and name, feed names and the span they were seen in."""
-    ip = parse_ip_doc(doc)
+    return let(parse_ip_doc(doc), _ip_fields)
+
+
+def _ip_fields(ip: Column) -> Column:
     feeds = ip["threatfeeds"]
     span = feed_span(feeds)
     return F.when(
@@ -73,19 +78,26 @@ def _company(doc: Column) -> Column:
 
 def parse_indicator_doc(doc: Column, endpoint: Column) -> Column:
     """The document part that belongs to an endpoint (url and malware are wrapped)."""
-    whole = F.from_json(doc, INDICATOR_DOC)
-    flat = F.struct(*[whole[n].alias(n) for n in ("cats", "score", "geo", "history", "risk", "family")])
-    return F.when(endpoint == "url", whole["result"]).when(endpoint == "malware", whole["malware"]).otherwise(flat)
+    parts = ("cats", "score", "geo", "history", "risk", "family")
+    return let(
+        F.from_json(doc, INDICATOR_DOC),
+        lambda whole: F.when(endpoint == "url", whole["result"])
+        .when(endpoint == "malware", whole["malware"])
+        .otherwise(F.struct(*[whole[n].alias(n) for n in parts])),
+    )
 
 
 def xfe_company(doc: Column) -> Column:
     """Company of the first AS still announced in the newest history entry."""
-    return _company(F.from_json(doc, INDICATOR_DOC))
+    return let(F.from_json(doc, INDICATOR_DOC), _company)
 
 
 def xfe_fields(doc: Column, endpoint: Column) -> Column:
     """Fields of an indicator document; those of other entity types are NULL."""
-    d = parse_indicator_doc(doc, endpoint)
+    return let(parse_indicator_doc(doc, endpoint), lambda d: _indicator_fields(d, endpoint))
+
+
+def _indicator_fields(d: Column, endpoint: Column) -> Column:
     address, known = endpoint == "ipr", endpoint.isin("ipr", "url")
     names = F.map_keys(d["cats"])
     return F.struct(

@@ -8,6 +8,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkhunt.names import let
+
 # Address blocks that count as private, and two addresses that do not.
 PRIVATE_NETWORKS = (
     "0.0.0.0/8",
@@ -64,7 +66,10 @@ def in_ranges(number: Column, ranges: Sequence[tuple[int, int]]) -> Column:
 
 
 def ip_is_private(text: Column) -> Column:
-    number = ipv4_long(text)
+    return let(ipv4_long(text), _number_is_private)
+
+
+def _number_is_private(number: Column) -> Column:
     exceptions = [int(ipaddress.IPv4Address(a)) for a in PRIVATE_EXCEPTIONS]
     return in_ranges(number, merged_ranges(PRIVATE_NETWORKS)) & ~number.isin(exceptions)
 
@@ -82,19 +87,31 @@ def traffic_category(
     without the arrow head; this matches the published labels.
     """
     organisation = merged_ranges([org_net])
-    src_private, dst_private = ip_is_private(src), ip_is_private(dst)
-    src_org = in_ranges(ipv4_long(src), organisation)
-    dst_org = in_ranges(ipv4_long(dst), organisation)
-    dst_public = ~dst_private & ~dst_org
-    origin = (
-        F.when(src.isin(list(sensitive)), "Sensitive->")
-        .when(src_private, "Private->")
-        .when(src_org, f"{org_name}->")
-        .when(dst_public, "External->")
-        .otherwise("Unknown-")
-    )
-    target = F.when(dst_public, "External").when(dst_org, org_name).otherwise("Unknown")
-    return F.when(ipv4_long(src).isNotNull() & ipv4_long(dst).isNotNull(), F.concat(origin, target))
+    secret = [int(ipaddress.IPv4Address(a)) for a in sensitive]
+
+    def side(number: Column) -> Column:
+        return F.struct(
+            number.isin(secret).alias("sensitive"),
+            _number_is_private(number).alias("private"),
+            in_ranges(number, organisation).alias("inside"),
+        )
+
+    def label(ends: Column) -> Column:
+        s, d = ends["src"], ends["dst"]
+        public = ~d["private"] & ~d["inside"]
+        origin = (
+            F.when(s["sensitive"], "Sensitive->")
+            .when(s["private"], "Private->")
+            .when(s["inside"], f"{org_name}->")
+            .when(public, "External->")
+            .otherwise("Unknown-")
+        )
+        target = F.when(public, "External").when(d["inside"], org_name).otherwise("Unknown")
+        known = s["private"].isNotNull() & d["private"].isNotNull()
+        return F.when(known, F.concat(origin, target))
+
+    ends = F.struct(let(ipv4_long(src), side).alias("src"), let(ipv4_long(dst), side).alias("dst"))
+    return let(ends, label)
 
 
 def exfil_probability(n: Column, total: Column) -> Column:

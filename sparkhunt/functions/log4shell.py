@@ -17,8 +17,13 @@ _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 def _unquote(text: Column) -> Column:
     """Percent-decode once; plus signs and malformed escapes stay as they are."""
-    safe = F.regexp_replace(F.replace(text, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
-    return F.when(text.contains("%"), F.url_decode(safe)).otherwise(text)
+
+    def once(t: Column) -> Column:
+        plus = F.replace(t, F.lit("+"), F.lit("%2B"))
+        safe = F.regexp_replace(plus, "%(?![0-9A-Fa-f]{2})", "%25")
+        return F.when(t.contains("%"), F.url_decode(safe)).otherwise(t)
+
+    return let(text, once)
 
 
 def l4s_unquote3(text: Column) -> Column:
@@ -35,7 +40,7 @@ def l4s_innermost(text: Column) -> Column:
 
 def _resolve(inner: Column) -> Column:
     """Value of the text between the braces; NULL when it does not parse."""
-    cut = F.locate(":", inner)
+    cut = F.position(F.lit(":"), inner)
     parts = F.struct(
         F.when(cut > 0, F.substring(inner, F.lit(1), cut - 1)).alias("prefix"),
         F.regexp_replace(
@@ -60,7 +65,8 @@ def _resolve(inner: Column) -> Column:
 
 def l4s_resolve_one(substitution: Column) -> Column:
     """Resolve one ``${...}`` text; NULL when it does not parse."""
-    return _resolve(F.substring(substitution, F.lit(3), F.length(substitution) - 3))
+    inner = lambda s: F.substring(s, F.lit(3), F.length(s) - 3)
+    return let(let(substitution, inner), _resolve)
 
 
 def _step(state: Column) -> Column:
@@ -68,7 +74,7 @@ def _step(state: Column) -> Column:
     text = state["s"]
 
     def splice(f: Column) -> Column:
-        start = F.locate(f["whole"], f["text"])
+        start = F.position(f["whole"], f["text"])
         before = F.regexp_replace(F.substring(f["text"], F.lit(1), start - 1), r"\$\z", "")
         after = F.substring(f["text"], start + F.length(f["whole"]), F.length(f["text"]))
         bad, jndi = f["value"].isNull(), F.lower(f["value"]).startswith("jndi:")
@@ -114,16 +120,22 @@ def l4s_check_string(text: Column) -> Column:
     A logged lookup error is returned whole, and so is a text with a substitution that
     does not parse (see :func:`l4s_parse_ok`).
     """
-    return F.when(text.rlike(LOOKUP_ERROR), text).when(
-        text.contains("${"), l4s_check_state(text)["out"]
+    return let(
+        text,
+        lambda t: F.when(t.rlike(LOOKUP_ERROR), t).when(
+            t.contains("${"), l4s_check_state(t)["out"]
+        ),
     )
 
 
 def l4s_parse_ok(text: Column) -> Column:
     """False when the finding only rests on a substitution that does not parse."""
-    return F.when(
-        ~text.rlike(LOOKUP_ERROR) & text.contains("${"), l4s_check_state(text)["parse_ok"]
-    ).otherwise(text.isNotNull())
+    return let(
+        text,
+        lambda t: F.when(
+            ~t.rlike(LOOKUP_ERROR) & t.contains("${"), l4s_check_state(t)["parse_ok"]
+        ).otherwise(F.lit(True)),
+    )
 
 
 def l4s_check_url(text: Column) -> Column:
@@ -141,7 +153,10 @@ def l4s_payload(payload: Column) -> Column:
 
 def l4s_split_url(url: Column) -> Column:
     """Struct (hostname, port, path, query) of a URL-like text."""
-    body = F.regexp_replace(F.regexp_replace(url, "#.*$", ""), _SCHEME, "")
+    return let(F.regexp_replace(F.regexp_replace(url, "#.*$", ""), _SCHEME, ""), _split_body)
+
+
+def _split_body(body: Column) -> Column:
     has_host = body.startswith("//")
     host_part = F.when(has_host, F.regexp_extract(body, "^//([^/?]*)", 1))
     host_port = F.regexp_replace(host_part, "^.*@", "")

@@ -11,6 +11,7 @@ from sparkhunt.names import let
 BASE64 = r"'?([A-Za-z\d/\+]+={0,2})'?"
 ENCODED_ARGUMENT = r"(?i)-enc(odedcommand)? *" + BASE64
 COMMAND_ARGUMENT = r"-[Cc][Oo][Mm][Mm][Aa][Nn][Dd] *'(.*)'"
+PADDED_BASE64 = r"^(?:[A-Za-z0-9/+]{4})*(?:[A-Za-z0-9/+]{2}==|[A-Za-z0-9/+]{3}=)?\z"
 BASE64_CALL = r"\[convert\]::frombase64string\('" + BASE64 + r"'\)"
 
 #: Text is cut into single-quoted strings, double-quoted strings (with a dot before
@@ -24,20 +25,27 @@ def ps_extract_encoded(command: Column) -> Column:
     return F.when(command.rlike(ENCODED_ARGUMENT), F.regexp_extract(command, ENCODED_ARGUMENT, 2))
 
 
-def _utf16(raw: Column) -> Column:
-    """UTF-16 text of bytes: little-endian unless a byte order mark says otherwise."""
-    mark = F.hex(F.substring(raw, 1, 2))
-    body = F.when(mark.isin("FFFE", "FEFF"), F.substring(raw, 3, F.length(raw))).otherwise(raw)
-    return (
-        F.when(F.length(raw) % 2 == 1, F.lit(None).cast("string"))
-        .when(mark == "FEFF", F.decode(body, "UTF-16BE"))
-        .otherwise(F.decode(body, "UTF-16LE"))
-    )
+def _utf16_of_base64(text: Column) -> Column:
+    """UTF-16 text of padded base64; NULL when it is neither.
+
+    Bytes are little-endian unless a byte order mark says otherwise.
+    """
+
+    def decoded(raw: Column) -> Column:
+        mark = F.hex(F.substring(raw, 1, 2))
+        return (
+            F.when(F.length(raw) % 2 == 1, F.lit(None).cast("string"))
+            .when(mark == "FEFF", F.decode(F.substring(raw, F.lit(3), F.length(raw)), "UTF-16BE"))
+            .when(mark == "FFFE", F.decode(F.substring(raw, F.lit(3), F.length(raw)), "UTF-16LE"))
+            .otherwise(F.decode(raw, "UTF-16LE"))
+        )
+
+    return let(F.when(text.rlike(PADDED_BASE64), F.try_to_binary(text, F.lit("base64"))), decoded)
 
 
 def ps_decode_base64(text: Column) -> Column:
     """Decoded UTF-16 text; the text itself when it cannot be decoded; NULL stays NULL."""
-    return F.coalesce(_utf16(F.try_to_binary(text, F.lit("base64"))), text)
+    return let(text, lambda t: F.coalesce(_utf16_of_base64(t), t))
 
 
 def ps_extract_command(command: Column) -> Column:
@@ -85,7 +93,7 @@ def ps_annotate_base64(code: Column) -> Column:
     """Append the decoded text to lines that call ``[convert]::frombase64string``."""
 
     def line_note(line: Column) -> Column:
-        decoded = _utf16(F.try_to_binary(F.regexp_extract(line, BASE64_CALL, 1), F.lit("base64")))
+        decoded = _utf16_of_base64(F.regexp_extract(line, BASE64_CALL, 1))
         note = F.coalesce(F.concat(F.lit("  # "), decoded), F.lit(""))
         return F.when(line.rlike(BASE64_CALL), F.concat(line, note)).otherwise(line)
 
@@ -97,7 +105,7 @@ def ps_layout(code: Column) -> Column:
     broken = F.regexp_replace(code, r"\s*\{\s*", " {\n")
     broken = F.regexp_replace(broken, r"\s*\}\s*", "\n}\n")
     broken = F.regexp_replace(broken, r";\s*", ";\n")
-    lines = F.filter(F.transform(F.split(broken, "\n"), F.trim), lambda s: ~s.isin("", ";"))
+    lines = F.filter(F.transform(F.split(broken, "\n"), lambda s: F.trim(s)), lambda s: ~s.isin("", ";"))
     start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
 
     def place(state: Column, line: Column) -> Column:

@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkhunt.names import let
+
 ISO_PATTERN = r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?Z"
 
 # Bucket widths in seconds and their labels, in the order they are tried.
@@ -39,9 +41,11 @@ def iso_timestamp(text: Column) -> Column:
 
 def iso_time_parts(text: Column) -> Column:
     """Struct (hour, minute, second) of an ISO timestamp text, in UTC sessions."""
-    ts = iso_timestamp(text)
-    return F.struct(
-        F.hour(ts).alias("hour"), F.minute(ts).alias("minute"), F.second(ts).alias("second")
+    return let(
+        iso_timestamp(text),
+        lambda ts: F.struct(
+            F.hour(ts).alias("hour"), F.minute(ts).alias("minute"), F.second(ts).alias("second")
+        ),
     )
 
 
@@ -58,6 +62,10 @@ def week_calendar(epoch: Column, monday_zero: bool = False) -> Column:
     ``monday_zero=True`` uses offset 72 and seven days of 24 hours.
     """
     offset, saturday_end = (72, 144) if monday_zero else (48, 148)
+    return let(epoch, lambda e: _calendar(e, offset, saturday_end))
+
+
+def _calendar(epoch: Column, offset: int, saturday_end: int) -> Column:
     hours = F.floor(epoch / 3600)
     of_week = F.pmod(hours + offset, F.lit(168)).cast("int")
     edges = [0, 24, 48, 72, 96, 120, saturday_end, 168]

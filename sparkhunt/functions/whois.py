@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import re
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkhunt.functions.whois_rules import COUNTRY_CODES, LINE_RULES, MONTHS, TAG_RENAMES
-from sparkhunt.names import c
+from sparkhunt.names import c, let
 from sparkhunt.operators.ordering import running_sum
+from sparkhunt.session import cut_lineage
 
 WRAP, JOIN, SERVER_LIST = "+wrap", "@join", "@nslist"
 DATE_TAGS = ("created", "updated", "expires", "registered")
@@ -20,50 +21,56 @@ RULE_SCHEMA = "rule_no int, regex string, tag string, result string, flags strin
 def whois_country_map(name: Column) -> Column:
     """Upper-case a country and shorten the names in the country table."""
     upper = F.upper(name)
-    short = upper
-    for full, code in COUNTRY_CODES:
-        short = F.when(upper == full, code).otherwise(short)
-    return short
+    codes = F.create_map(*[F.lit(x) for pair in COUNTRY_CODES for x in pair])
+    return F.coalesce(F.try_element_at(codes, upper), upper)
 
 
-def _result(line: Column, regex: str, template: str, flags: str) -> Column:
+def _rule_number(line: Column, rules: Sequence[tuple]) -> Column:
+    """Number of the first rule that matches; NULL when none does."""
+    number = None
+    for at, (regex, *_) in enumerate(rules, start=1):
+        number = F.when(line.rlike(regex), at) if number is None else number.when(line.rlike(regex), at)
+    return number
+
+
+def _value(rule: Column, line: Column) -> Column:
     """Value of a rule: the template with %1..%7 filled from the match, then flags."""
-    pieces: list[Column] = []
-    for part in re.split(r"(%[1-7])", "" if template == "%" else template):
-        if re.fullmatch("%[1-7]", part):
-            pieces.append(F.regexp_extract(line, regex, int(part[1])))
-        elif part:
-            pieces.append(F.lit(part))
-    value = F.concat(*pieces) if pieces else F.lit("")
-    for flag in flags:
-        if flag == "U":
-            value = F.upper(value)
-        elif flag == "L":
-            value = F.lower(value)
-        elif flag == "M":
-            value = whois_country_map(value)
+    value = F.when(rule["result"] == "%", "").otherwise(rule["result"])
+    for group in range(1, 8):
+        found = F.call_function("regexp_extract", line, rule["regex"], F.lit(group))
+        mark = f"%{group}"
+        value = F.when(
+            rule["result"].contains(mark), F.replace(value, F.lit(mark), found)
+        ).otherwise(value)
+    for flag, change in (("U", F.upper), ("L", F.lower), ("M", whois_country_map)):
+        value = F.when(rule["flags"].contains(flag), change(value)).otherwise(value)
     return value
 
 
-def match_line(line: Column, rules: Sequence[tuple] = LINE_RULES) -> Column:
-    """Struct (rule_no, tag, value, flags) of the first rule that matches; else NULL."""
-    found = None
-    for number, (regex, tag, template, flags) in enumerate(rules, start=1):
-        hit = line.rlike(regex)
-        row = F.struct(
-            F.lit(number).alias("rule_no"),
-            F.lit(tag).alias("tag"),
-            _result(line, regex, template, flags).alias("value"),
-            F.lit(flags).alias("flags"),
-        )
-        found = F.when(hit, row) if found is None else found.when(hit, row)
-    return found
+def match_lines(df: DataFrame, line: str, rules: Sequence[tuple] = LINE_RULES) -> DataFrame:
+    """Add rule_no, tag, value and flags of the first rule that matches ``line``.
+
+    The rules are tried once per line: the rule number leaves a generator, which later
+    filters and projections cannot repeat.
+    """
+    table = [{"regex": r[0], "tag": r[1], "result": r[2], "flags": r[3]} for r in rules]
+    constant = F.from_json(
+        F.lit(json.dumps(table)), "array<struct<regex: string, tag: string, result: string, flags: string>>"
+    )
+    numbered = df.select("*", F.explode(F.array(_rule_number(c(line), rules))).alias("rule_no"))
+    ruled = numbered.withColumn("__rule", F.try_element_at(constant, F.col("rule_no")))
+    return ruled.select(
+        *[c(n) for n in numbered.columns],
+        F.col("__rule.tag").alias("tag"),
+        F.when(F.col("rule_no").isNotNull(), _value(F.col("__rule"), c(line))).alias("value"),
+        F.col("__rule.flags").alias("flags"),
+    )
 
 
 def rules_from_table(rules_df: DataFrame, limit: int = 10_000) -> list[tuple]:
-    """A rule table as the list :func:`match_line` takes; refused above ``limit`` rows.
+    """A rule table as the list :func:`match_lines` takes; refused above ``limit`` rows.
 
-    Every rule becomes one branch of one expression, so the table must be small.
+    Every rule becomes one branch of an expression, so the table must be small.
     """
     rows = rules_df.orderBy("rule_no").limit(limit + 1).collect()
     if len(rows) > limit:
@@ -86,43 +93,39 @@ def whois_multiline(
     lists are cut into segments by a chunked running count, so no record is worked on
     by one task as a whole.
     """
-    raw = lines_df.select(c(key), "line_no", F.col("line").alias("raw"))
-    matched = raw.withColumn("m", match_line(clean_line(F.col("raw")), rules))
-    nxt = raw.select(c(key), (F.col("line_no") - 1).alias("line_no"), F.col("raw").alias("next"))
-    glue = matched.where(F.col("m.tag").isin(WRAP, JOIN)).join(nxt, [key, "line_no"])
-    text = F.when(
-        F.col("m.tag") == WRAP, F.concat(clean_line(F.col("raw")), F.lit(" "), F.col("next"))
-    ).otherwise(F.concat(clean_line(F.col("raw")), F.col("next")))
-    glued = (
-        glue.select(c(key), "line_no", text.alias("line"))
-        .withColumn("m", match_line(F.col("line"), rules))
-        .select(c(key), "line_no", "line", "m")
+    raw = lines_df.select(
+        c(key), "line_no", F.col("line").alias("raw"), clean_line(F.col("line")).alias("line")
+    )
+    matched = cut_lineage(match_lines(raw, "line", rules))
+    nxt = matched.select(c(key), (F.col("line_no") - 1).alias("line_no"), F.col("raw").alias("next"))
+    glue = matched.where(F.col("tag").isin(WRAP, JOIN)).join(nxt, [key, "line_no"])
+    gap = F.when(F.col("tag") == WRAP, " ").otherwise("")
+    text = glue.select(c(key), "line_no", F.concat("line", gap, "next").alias("line"))
+    glued = match_lines(text, "line", rules).select(
+        c(key), "line_no", F.struct("line", "rule_no", "tag", "value", "flags").alias("glued")
     )
     taken = glue.select(c(key), (F.col("line_no") + 1).alias("line_no"), F.lit(True).alias("used"))
+    own = F.struct("line", "rule_no", "tag", "value", "flags")
     state = (
-        matched.join(glued.withColumnRenamed("m", "gm"), [key, "line_no"], "left")
+        matched.join(glued, [key, "line_no"], "left")
         .join(taken, [key, "line_no"], "left")
         .where(F.col("used").isNull())
-        .select(
-            c(key),
-            "line_no",
-            "raw",
-            F.coalesce("line", clean_line(F.col("raw"))).alias("line"),
-            F.coalesce("gm", "m").alias("m"),
-        )
+        .select(c(key), "line_no", "raw", F.coalesce("glued", own).alias("m"))
     )
     starts = F.coalesce(F.col("m.tag") == SERVER_LIST, F.lit(False))
     segmented = running_sum(state, [key], "line_no", starts, "segment")
     blank = F.col("raw").rlike(r"^\s*\z")
     labelled = F.col("raw").rlike(r"^\S+:") | F.col("raw").contains("WHOIS lookup made")
     indented = F.col("raw").rlike(r"^\s+\S")
-    classed = segmented.select(
-        "*",
-        starts.alias("start"),
-        (~starts & labelled).alias("label"),
-        (~starts & blank).alias("blank"),
-        (~starts & ~blank & ~labelled & ~indented).alias("flush_left"),
-        (~starts & ~blank & ~labelled).alias("server"),
+    classed = cut_lineage(
+        segmented.select(
+            "*",
+            starts.alias("start"),
+            (~starts & labelled).alias("label"),
+            (~starts & blank).alias("blank"),
+            (~starts & ~blank & ~labelled & ~indented).alias("flush_left"),
+            (~starts & ~blank & ~labelled).alias("server"),
+        )
     )
     in_list = classed.where(F.col("segment") > 0)
     heads = in_list.groupBy(c(key), F.col("segment")).agg(
@@ -147,7 +150,7 @@ def whois_multiline(
         .select(
             c(key),
             "line_no",
-            "line",
+            F.col("m.line").alias("line"),
             F.lit("ns").alias("tag"),
             F.regexp_extract("raw", r"^\s*(\S+)", 1).alias("value"),
             F.lit("").alias("flags"),
@@ -155,13 +158,13 @@ def whois_multiline(
     )
     listed = servers.select(c(key), "line_no", F.lit(True).alias("listed"))
     single = (
-        state.where(F.col("m").isNotNull())
+        classed.where(F.col("m.rule_no").isNotNull())
         .join(listed, [key, "line_no"], "left")
         .where(F.col("listed").isNull() & ~F.col("m.tag").isin(WRAP, JOIN))
         .select(
             c(key),
             "line_no",
-            "line",
+            F.col("m.line").alias("line"),
             F.when(F.col("m.tag") == SERVER_LIST, "ns").otherwise(F.col("m.tag")).alias("tag"),
             F.when(F.col("m.tag").isin("ns", SERVER_LIST), F.lower("m.value"))
             .otherwise(F.col("m.value"))
@@ -178,11 +181,8 @@ def whois_parse(
 ) -> DataFrame:
     """(key, line_no, tag, value, flags, rule_no) of every line that matches a rule."""
     rules = LINE_RULES if rules_df is None else rules_from_table(rules_df)
-    return (
-        lines_df.select(c(key), "line_no", match_line(clean_line(F.col("line")), rules).alias("m"))
-        .where(F.col("m").isNotNull())
-        .select(c(key), "line_no", "m.tag", "m.value", "m.flags", "m.rule_no")
-    )
+    lines = lines_df.select(c(key), "line_no", clean_line(F.col("line")).alias("line"))
+    return match_lines(lines, "line", rules).where("rule_no is not null").drop("line")
 
 
 def first_wins_tag(parsed_df: DataFrame, key: str = "ip") -> DataFrame:
@@ -245,10 +245,8 @@ def whois_domain_key(name: Column) -> Column:
 
 
 def _month(word: Column) -> Column:
-    number = F.lit(None).cast("int")
-    for name, value in MONTHS:
-        number = F.when(F.lower(word) == name, value).otherwise(number)
-    return number
+    numbers = F.create_map(*[F.lit(x) for pair in MONTHS for x in pair])
+    return F.try_element_at(numbers, F.lower(word))
 
 
 def _epoch(year: Column, month: Column, day: Column) -> Column:
@@ -264,7 +262,10 @@ def whois_date(text: Column) -> Column:
     ``null`` gives NULL, ``None`` gives 0, and a text in no known layout stays as is.
     """
     clean = F.regexp_replace(F.regexp_replace(text, r"\s*#[0-9]*\s*\z", ""), r"\s*\z", "")
+    return let(clean, _date_of)
+
 
+def _date_of(clean: Column) -> Column:
     def layout(regex: str, year: int, month: int, day: int, named: bool, when: Column | None = None):
         group = lambda n: F.regexp_extract(clean, regex, n)
         number = _month(group(month)) if named else group(month)

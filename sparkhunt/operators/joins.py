@@ -35,7 +35,7 @@ def linked_entities(df: DataFrame, other_df: DataFrame, on: str = "id") -> DataF
 
 
 def guid_totals(df: DataFrame, key: str = "x_guid") -> DataFrame:
-    """Connections per process id and the number of its rows.
+    """Connections per process id, its rows, and its rows with a command line.
 
     Sums an opened-connection count, or counts distinct connection references when the
     table has those instead.
@@ -44,16 +44,18 @@ def guid_totals(df: DataFrame, key: str = "x_guid") -> DataFrame:
         total = F.sum(c("x_opened_connection_count"))
     else:
         total = F.count_distinct(c("opened_connection_ref_0.id"))
-    return (
-        df.where(c(key).isNotNull())
-        .groupBy(c(key))
-        .agg(total.cast("long").alias("connections"), F.count(F.lit(1)).alias("__rows"))
+    command = c("command_line") if "command_line" in df.columns else F.lit(None)
+    return df.groupBy(c(key)).agg(
+        total.cast("long").alias("connections"),
+        F.count(F.lit(1)).alias("__rows"),
+        F.count_if(F.coalesce(command, F.lit("")) != "").alias("__active"),
     )
 
 
 def guid_totals_backjoin(df: DataFrame, key: str = "x_guid") -> DataFrame:
     """Add ``connections``, the total of the row's process id; 0 without an id."""
-    joined = totals_join(df, guid_totals(df, key), [key], "__rows")
+    totals = guid_totals(df, key).where(c(key).isNotNull()).drop("__active")
+    joined = totals_join(df, totals, [key], "__rows")
     return joined.withColumn("connections", F.coalesce("connections", F.lit(0)))
 
 

@@ -23,27 +23,25 @@ def _has_command(df: DataFrame) -> Column:
     return F.coalesce(c("command_line"), F.lit("")) != ""
 
 
-def _bounds(df: DataFrame, totals: DataFrame, key: str, k: float) -> Column:
+def _bounds(totals: DataFrame, key: str, k: float) -> Column:
     """mean -/+ k standard deviations of the row scores, from per-process totals.
 
     Every row of a process has the same total, so row sums follow from the number of
     rows with a command line; the rows themselves need not be joined for this.
     """
-    active = (
-        df.where(c(key).isNotNull() & _has_command(df)).groupBy(c(key)).agg(F.count(F.lit(1)).alias("m"))
-    )
-    weighted = totals.join(active, key)
-    x, m = F.col("connections").cast("double"), F.col("m")
-    sums = weighted.agg(
+    x = F.when(c(key).isNotNull(), F.col("connections")).otherwise(F.lit(0)).cast("double")
+    m = F.col("__active")
+    sums = totals.agg(
+        F.sum("__rows").cast("double").alias("n"),
         F.coalesce(F.sum(x * m), F.lit(0.0)).alias("s1"),
         F.coalesce(F.sum(x * x * m), F.lit(0.0)).alias("s2"),
-    ).select(F.struct("s1", "s2").alias("v")).scalar()
-    n = df.agg(F.count(F.lit(1)).cast("double").alias("n")).select("n").scalar()
-    mean = sums["s1"] / n
-    variance = (sums["s2"] - sums["s1"] * mean) / F.nullif(n - 1, F.lit(0.0))
-    cutoff = F.sqrt(F.greatest(variance, F.lit(0.0))) * k
-    cutoff = F.when(variance.isNotNull(), cutoff)
-    return F.struct((mean - cutoff).alias("lower"), (mean + cutoff).alias("upper"))
+    )
+    mean = F.col("s1") / F.col("n")
+    variance = (F.col("s2") - F.col("s1") * mean) / F.nullif(F.col("n") - 1, F.lit(0.0))
+    cutoff = F.when(variance.isNotNull(), F.sqrt(F.greatest(variance, F.lit(0.0))) * k)
+    return sums.select(
+        F.struct((mean - cutoff).alias("lower"), (mean + cutoff).alias("upper")).alias("v")
+    ).scalar()
 
 
 def score_network_outliers(df: DataFrame, k: float = 3, key: str = "x_guid") -> DataFrame:
@@ -57,10 +55,11 @@ def score_network_outliers(df: DataFrame, k: float = 3, key: str = "x_guid") ->
     if key not in df.columns or not any(n in df.columns for n in _COUNTS):
         return df
     totals = guid_totals(df, key)
-    bounds = _bounds(df, totals, key, k)
-    joined = totals_join(df, totals, [key], "__rows")
+    known = totals.where(c(key).isNotNull()).drop("__active")
+    joined = totals_join(df, known, [key], "__rows")
     score = F.when(_has_command(df), F.coalesce("connections", F.lit(0))).otherwise(F.lit(0))
     scored = joined.withColumn("network_susp_score", score.cast("long")).drop("connections")
+    bounds = _bounds(totals, key, k)
     outlier = outlier_mask(F.col("network_susp_score"), bounds["lower"], bounds["upper"])
     point = F.when(F.coalesce(outlier, F.lit(False)), 1.0).otherwise(0.0)
     return scored.withColumn("x_suspicious_score", c("x_suspicious_score") + point)
