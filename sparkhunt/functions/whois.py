@@ -14,6 +14,7 @@ from sparkhunt.operators.ordering import running_sum
 from sparkhunt.session import cut_lineage
 
 WRAP, JOIN, SERVER_LIST = "+wrap", "@join", "@nslist"
+_BLOCK_RULES = 12
 DATE_TAGS = ("created", "updated", "expires", "registered")
 RULE_SCHEMA = "rule_no int, regex string, tag string, result string, flags string"
 
@@ -26,38 +27,61 @@ def whois_country_map(name: Column) -> Column:
 
 
 def _rule_number(line: Column, rules: Sequence[tuple]) -> Column:
-    """Number of the first rule that matches; NULL when none does."""
-    number = None
-    for at, (regex, *_) in enumerate(rules, start=1):
-        number = F.when(line.rlike(regex), at) if number is None else number.when(line.rlike(regex), at)
-    return number
+    """Number of the first rule that matches; NULL when none does.
+
+    A block of rules is first tried as one alternation, and its rules one by one only
+    when that matches.
+    """
+
+    def first_of(branches: list[tuple[Column, Column]]) -> Column:
+        out = F.when(*branches[0])
+        for condition, value in branches[1:]:
+            out = out.when(condition, value)
+        return out
+
+    numbered = [(at, rule[0]) for at, rule in enumerate(rules, start=1)]
+    blocks = [numbered[i : i + _BLOCK_RULES] for i in range(0, len(numbered), _BLOCK_RULES)]
+    return first_of(
+        [
+            (
+                line.rlike("|".join(f"(?:{regex})" for _, regex in block)),
+                first_of([(line.rlike(regex), F.lit(at)) for at, regex in block]),
+            )
+            for block in blocks
+        ]
+    )
 
 
 def _value(rule: Column, line: Column) -> Column:
     """Value of a rule: the template with %1..%7 filled from the match, then flags."""
     value = F.when(rule["result"] == "%", "").otherwise(rule["result"])
     for group in range(1, 8):
-        found = F.call_function("regexp_extract", line, rule["regex"], F.lit(group))
         mark = f"%{group}"
-        value = F.when(
-            rule["result"].contains(mark), F.replace(value, F.lit(mark), found)
-        ).otherwise(value)
+        found = F.call_function("regexp_extract", line, rule["regex"], F.lit(group))
+        used = F.when(rule["result"].contains(mark), found).otherwise(F.lit(""))
+        value = F.replace(value, F.lit(mark), used)
     for flag, change in (("U", F.upper), ("L", F.lower), ("M", whois_country_map)):
-        value = F.when(rule["flags"].contains(flag), change(value)).otherwise(value)
+        value = let(value, _when_flag(rule["flags"].contains(flag), change))
     return value
 
 
+def _when_flag(present: Column, change):
+    return lambda v: F.when(present, change(v)).otherwise(v)
+
+
 def match_lines(df: DataFrame, line: str, rules: Sequence[tuple] = LINE_RULES) -> DataFrame:
     """Add rule_no, tag, value and flags of the first rule that matches ``line``.
 
     The rules are tried once per line: the rule number leaves a generator, which later
-    filters and projections cannot repeat.
+    filters and projections cannot repeat.  The lambda keeps a hundred patterns out of
+    the generated code of the stage, which would exceed the size the JVM compiles.
     """
     table = [{"regex": r[0], "tag": r[1], "result": r[2], "flags": r[3]} for r in rules]
     constant = F.from_json(
         F.lit(json.dumps(table)), "array<struct<regex: string, tag: string, result: string, flags: string>>"
     )
-    numbered = df.select("*", F.explode(F.array(_rule_number(c(line), rules))).alias("rule_no"))
+    found = F.transform(F.array(c(line)), lambda text: _rule_number(text, rules))
+    numbered = df.select("*", F.explode(found).alias("rule_no"))
     ruled = numbered.withColumn("__rule", F.try_element_at(constant, F.col("rule_no")))
     return ruled.select(
         *[c(n) for n in numbered.columns],
