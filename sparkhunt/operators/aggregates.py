@@ -23,7 +23,10 @@ from sparkhunt.operators.quantiles import exact_quantiles
 
 
 def one_value(df: DataFrame, value: Column) -> Column:
-    """A one-row aggregate of ``df`` as a scalar subquery."""
+    """A one-row aggregate of ``df`` as a scalar subquery.
+
+    Add it as a column and refer to that: Spark plans every mention of a subquery anew.
+    """
     return df.agg(value.alias("v")).select("v").scalar()
 
 
@@ -60,13 +63,12 @@ def minmax_scale(df: DataFrame, attrs: Sequence[str]) -> DataFrame:
         *[F.min(c(a)).cast("double").alias(f"lo{i}") for i, a in enumerate(attrs)],
         *[F.max(c(a)).cast("double").alias(f"hi{i}") for i, a in enumerate(attrs)],
     )
-    bounds = one_value(df, ends)
     scaled = {}
     for i, a in enumerate(attrs):
-        low, high = bounds[f"lo{i}"], bounds[f"hi{i}"]
+        low, high = F.col(f"__ends.lo{i}"), F.col(f"__ends.hi{i}")
         width = F.when(high > low, high - low).otherwise(F.lit(1.0))
         scaled[a] = (c(a) - low) / width
-    return df.withColumns(scaled)
+    return df.withColumn("__ends", one_value(df, ends)).withColumns(scaled).drop("__ends")
 
 
 def score_normalize(df: DataFrame, attr: str = "x_suspicious_score") -> DataFrame:
@@ -189,17 +191,21 @@ def histogram10(df: DataFrame, attr: str, bins: int = 10) -> DataFrame:
     A constant column gets the range value - 0.5 .. value + 0.5.
     """
     x = c(attr).cast("double")
-    ends = one_value(df, F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")))
-    flat = ends["lo"] == ends["hi"]
-    low = F.when(flat, ends["lo"] - 0.5).otherwise(ends["lo"])
-    width = F.when(flat, F.lit(1.0)).otherwise(ends["hi"] - ends["lo"]) / bins
+    lo, hi = F.min(x), F.max(x)
+    edges = F.struct(
+        F.when(lo == hi, lo - 0.5).otherwise(lo).alias("low"),
+        (F.when(lo == hi, F.lit(1.0)).otherwise(hi - lo) / bins).alias("width"),
+    )
+    ends = one_value(df, edges)
+    low, width = F.col("__ends.low"), F.col("__ends.width")
     counts = (
         df.where(x.isNotNull())
-        .groupBy(F.least(F.floor((x - low) / width), F.lit(bins - 1)).cast("int").alias("bin"))
+        .select(x.alias("x"), ends.alias("__ends"))
+        .groupBy(F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return grid.join(F.broadcast(counts), "bin", "left").select(
+    return grid.withColumn("__ends", ends).join(F.broadcast(counts), "bin", "left").select(
         "bin",
         (low + F.col("bin") * width).alias("low"),
         (low + (F.col("bin") + 1) * width).alias("high"),

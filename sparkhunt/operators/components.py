@@ -9,14 +9,21 @@ from sparkhunt.operators.lookup import totals_join
 from sparkhunt.session import cut_lineage
 
 _MAX_ROUNDS = 200
+_SMALL_ROWS = 500_000
 
 
-def _with_smallest(pairs: DataFrame) -> DataFrame:
-    """Add to (u, v) rows the smallest of u and its neighbours; hubs are spread."""
+def _with_smallest(pairs: DataFrame, rows: int) -> DataFrame:
+    """Add to (u, v) rows the smallest of u and its neighbours.
+
+    Hubs are spread over tasks, except in tables so small that one task could hold all.
+    """
     smallest = pairs.groupBy("u").agg(
-        F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("__rows")
-    )
-    return totals_join(pairs, smallest, ["u"], "__rows", how="inner")
+        F.min("v").alias("least"), F.count(F.lit(1)).alias("__rows")
+    ).select("u", F.least("least", "u").alias("m"), "__rows")
+    if rows <= _SMALL_ROWS:
+        return pairs.join(smallest.drop("__rows"), "u")
+    smallest = cut_lineage(smallest)
+    return totals_join(pairs, smallest, ["u"], "__rows", how="inner", whole=rows)
 
 
 def _fingerprint(pairs: DataFrame) -> tuple:
@@ -43,16 +50,17 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         if before[0] == 0:
             break
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (
-            _with_smallest(both)
+        large = cut_lineage(
+            _with_smallest(both, 2 * before[0])
             .where("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()
         )
-        small = _with_smallest(large)
-        linked = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        kept = small.select("u", F.col("m").alias("v"))
-        pairs = cut_lineage(kept.unionByName(linked).where("u <> v").distinct())
+        small = _with_smallest(large, before[0])
+        ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        pairs = cut_lineage(
+            small.select(F.explode(ends).alias("e")).select("e.*").where("u <> v").distinct()
+        )
         after = _fingerprint(pairs)
         if after == before:
             break

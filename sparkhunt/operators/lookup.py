@@ -120,15 +120,24 @@ def lookup_join(
 
 
 def totals_join(
-    big: DataFrame, totals: DataFrame, keys: Sequence[str], n_rows: str, how: str = "left"
+    big: DataFrame,
+    totals: DataFrame,
+    keys: Sequence[str],
+    n_rows: str,
+    how: str = "left",
+    whole: int | None = None,
 ) -> DataFrame:
     """Join per-key totals of ``big`` back to its rows.
 
     ``totals`` already counts the rows per key in ``n_rows``, so its hot keys are read
     from it: a key above 1/HOT_SHARE of all rows, hence at most HOT_SHARE of them.
+    ``whole`` is the number of all rows, when the caller knows it.
     """
-    whole = totals.agg(F.sum(c(n_rows)).alias("n")).select("n").scalar()
-    hot = totals.where(c(n_rows) * HOT_SHARE > whole).select(
+    if whole is None:
+        rows = totals.agg(F.sum(c(n_rows)).alias("n")).select("n").scalar()
+    else:
+        rows = F.lit(whole)
+    hot = totals.where(c(n_rows) * HOT_SHARE > rows).select(
         F.xxhash64(*[c(k) for k in keys]).alias("__h")
     )
     return salted_join(big, totals.drop(n_rows), keys, how, hot=hot)

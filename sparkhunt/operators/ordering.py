@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkhunt.names import c
-from sparkhunt.session import cut_lineage
+from sparkhunt.session import fixed_partitions
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -21,7 +21,7 @@ def row_positions(df: DataFrame, keys: Sequence[str | Column], name: str = "pos"
     partition plus the rows of the partitions before it (one count per partition).
     """
     order = [c(k) if isinstance(k, str) else k for k in keys]
-    stable = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    stable = fixed_partitions(df.repartitionByRange(*order).sortWithinPartitions(*order))
     numbered = stable.withColumn("__id", F.monotonically_increasing_id())
     part = F.shiftrightunsigned(F.col("__id"), _POSITION_BITS)
     sizes = (

@@ -59,10 +59,15 @@ def score_network_outliers(df: DataFrame, k: float = 3, key: str = "x_guid") ->
     joined = totals_join(df, known, [key], "__rows")
     score = F.when(_has_command(df), F.coalesce("connections", F.lit(0))).otherwise(F.lit(0))
     scored = joined.withColumn("network_susp_score", score.cast("long")).drop("connections")
-    bounds = _bounds(totals, key, k)
-    outlier = outlier_mask(F.col("network_susp_score"), bounds["lower"], bounds["upper"])
+    outlier = outlier_mask(
+        F.col("network_susp_score"), F.col("__bounds.lower"), F.col("__bounds.upper")
+    )
     point = F.when(F.coalesce(outlier, F.lit(False)), 1.0).otherwise(0.0)
-    return scored.withColumn("x_suspicious_score", c("x_suspicious_score") + point)
+    return (
+        scored.withColumn("__bounds", _bounds(totals, key, k))
+        .withColumn("x_suspicious_score", c("x_suspicious_score") + point)
+        .drop("__bounds")
+    )
 
 
 def suspicious_process_score(

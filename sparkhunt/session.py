@@ -41,11 +41,20 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
+    """Write ``df`` as a table below the shared checkpoint folder and read it back.
 
-    Used between rounds of iterative jobs and where a result must not change when a
-    lost executor makes Spark recompute a stage.
+    Used between rounds of iterative jobs and where several branches read one result.
+    A table, unlike ``checkpoint()``, does not carry the constraints of its plan on to
+    the next round, where they would multiply.
     """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def fixed_partitions(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df``: the same rows in the same partitions however often it is read."""
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
