@@ -220,8 +220,8 @@ def boxplot_stats(df: DataFrame, attrs: Sequence[str], k: float = 1.5) -> DataFr
     for i, a in enumerate(attrs):
         q1, median, q3 = quartiles[a]
         if q1 is None:
-            row = F.struct(*[F.lit(None).cast("double").alias(n) for n in _BOX], F.lit(0).cast("long").alias("n_outliers"))
-            aggs.append(F.first(row).alias(f"b{i}"))
+            empty = [F.max(F.lit(None).cast("double")).alias(n) for n in _BOX]
+            aggs.append(F.struct(*empty, F.count_if(F.lit(False)).alias("n_outliers")).alias(f"b{i}"))
             continue
         x = c(a).cast("double")
         low, high = q1 - k * (q3 - q1), q3 + k * (q3 - q1)

@@ -19,7 +19,9 @@ from sparkhunt.names import c
 
 #: Most distinct values one bracket may hold when its ranks are read off.
 BRACKET_VALUES = 200_000
-_ACCURACY = 20_000
+#: Most rows all brackets may hold each to be read off together.
+BRACKET_ROWS = 1_000_000
+_ACCURACY = 10_000
 
 
 @dataclass
@@ -70,6 +72,29 @@ def _read_off(df: DataFrame, b: _Bracket) -> float:
     )
 
 
+def _read_off_all(df: DataFrame, brackets: Sequence[_Bracket]) -> dict[tuple[str, int], float]:
+    """Values at the ranks of brackets with at most BRACKET_ROWS rows, in one job."""
+    spans = list(dict.fromkeys((b.attr, b.low, b.high) for b in brackets))
+    hits = [
+        F.when(c(attr).between(low, high), F.struct(F.lit(k).alias("k"), c(attr).alias("x")))
+        for k, (attr, low, high) in enumerate(spans)
+    ]
+    counts = (
+        df.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
+        .groupBy("h.k", "h.x")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("x")))
+    picks = [
+        F.min(
+            F.when((F.col("k") == spans.index((b.attr, b.low, b.high))) & (F.col("upto") > b.rank - b.below), F.col("x"))
+        ).alias(f"v{i}")
+        for i, b in enumerate(brackets)
+    ]
+    row = upto.agg(*picks).first()
+    return {(b.attr, b.rank): row[f"v{i}"] for i, b in enumerate(brackets)}
+
+
 def _value_at(df: DataFrame, b: _Bracket) -> float:
     while b.low < b.high:
         low, high, distinct = _sketch(df, b)
@@ -120,12 +145,15 @@ def exact_quantiles(
     brackets = list(wanted.values())
     if brackets:
         _measure(numbers, brackets)
-    values: dict[tuple[str, int], float] = {}
-    for (attr, rank), b in wanted.items():
-        i = list(attrs).index(attr)
-        if not b.below <= rank < b.below + b.inside:
-            b = _Bracket(attr, rank, row[f"min{i}"], row[f"max{i}"], 0, row[f"n{i}"])
-        values[attr, rank] = _value_at(numbers, b)
+    for b in brackets:
+        if not b.below <= b.rank < b.below + b.inside:  # the sketch missed: take all rows
+            i = list(attrs).index(b.attr)
+            b.low, b.high, b.below, b.inside = row[f"min{i}"], row[f"max{i}"], 0, row[f"n{i}"]
+    small = [b for b in brackets if b.inside <= BRACKET_ROWS]
+    values = _read_off_all(numbers, small) if small else {}
+    for key, b in wanted.items():
+        if key not in values:
+            values[key] = _value_at(numbers, b)
     result: dict[str, list[float | None]] = {}
     for i, attr in enumerate(attrs):
         n = row[f"n{i}"]
