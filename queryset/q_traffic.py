@@ -370,7 +370,8 @@ def _(t):
 _MONTH = "case lower({0}) " + " ".join(f"when '{k}' then {v}" for k, v in MONTHS) + " end"
 
 
-def _date_sql() -> str:
+def _date_case() -> str:
+    """Epoch text of a cleaned date ``d``."""
     def epoch(y, m, d):
         text = f"printf('%04d-%02d-%02d', try_cast({y} as int), try_cast({m} as int), try_cast({d} as int))"
         return f"cast(cast(epoch(try_cast({text} as date)) as bigint) as string)"
@@ -404,21 +405,26 @@ def _date_sql() -> str:
         plain(slashed, 3, 2, 1, one),
         plain(slashed, 3, 1, 2),
     ]
-    clean = "regexp_replace(regexp_replace(text, '\\s*#[0-9]*\\s*$', ''), '\\s*$', '')"
-    return (
-        f"select event_id, case when d = 'null' then null {' '.join(rows)} when d = 'None' then '0' else d end as epoch "
-        f"from (select event_id, {clean} as d from v_dates)"
-    )
+    return f"case when d = 'null' then null {' '.join(rows)} when d = 'None' then '0' else d end"
+
+
+_CLEAN_DATE = "regexp_replace(regexp_replace({0}, '\\s*#[0-9]*\\s*$', ''), '\\s*$', '')"
 
 
-@query("whois_date", _date_sql())
+@query(
+    "whois_date",
+    f"select event_id, {_date_case()} as epoch from (select event_id, {_CLEAN_DATE.format('text')} as d from v_dates)",
+)
 def _(t):
     return t("v_dates").select("event_id", wh.whois_date(F.col("text")).alias("epoch"))
 
 
 @query(
     "whois_report",
-    None,
+    _MULTI + _FIRST.replace("vals as", "raw_vals as") + f""",
+    dated as (select *, tag in ('created', 'updated', 'expires', 'registered') as dt, {_CLEAN_DATE.format('value')} as d from raw_vals),
+    vals as (select ip, tag, case when dt then epoch || ' ' || value else value end as value from (select *, {_date_case()} as epoch from dated) where not dt or epoch is not null)
+    """ + _RENAMED[len(_FIRST):] + " select ip, tag, value from renamed",
 )
 def _(t):
     return wh.whois_report(_values(t))

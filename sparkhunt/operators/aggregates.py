@@ -111,8 +111,7 @@ def _profile(df: DataFrame, keys: Sequence[str], partners: dict[str, str], pair:
     Rows are first reduced to counts per (key, partners, day, weekday, range).  All
     sums, distincts, daily means and pair maxima are then taken from that much smaller
     table, whose rows are unique, so a hot key is spread over its partners and days.
-    Every branch reads all its columns and the count, which lets Spark run the
-    pre-aggregation once and reuse its shuffle.
+    No branch filters it, so Spark runs the pre-aggregation once and reuses its shuffle.
     """
     cal = df if "Days" in df.columns else with_calendar(df)
     keyed = [c(k) for k in keys]
@@ -127,12 +126,13 @@ def _profile(df: DataFrame, keys: Sequence[str], partners: dict[str, str], pair:
         F.sum("n").alias("NoOfRecords"),
     )
     for partner, name in partners.items():
-        distinct = base.where(c(partner).isNotNull()).select(*keyed, c(partner)).distinct()
-        result = result.join(distinct.groupBy(*keyed).agg(F.count(F.lit(1)).alias(name)), list(keys))
+        distinct = base.select(*keyed, c(partner)).distinct()
+        result = result.join(distinct.groupBy(*keyed).agg(F.count(c(partner)).alias(name)), list(keys))
     daily = base.groupBy(*keyed, F.col("Days")).agg(F.sum("n").alias("per_day"))
     mean = daily.groupBy(*keyed).agg(F.avg("per_day").alias("Mean"))
-    pairs = base.where(c(pair).isNotNull()).groupBy(*keyed, c(pair)).agg(F.sum("n").alias("per_pair"))
-    most = pairs.groupBy(*keyed).agg(F.max("per_pair").alias("Max"))
+    pairs = base.groupBy(*keyed, c(pair)).agg(F.sum("n").alias("per_pair"))
+    known = F.when(c(pair).isNotNull(), F.col("per_pair"))
+    most = pairs.groupBy(*keyed).agg(F.max(known).alias("Max"))
     return result.join(mean, list(keys)).join(most, list(keys))
 
 
