@@ -90,7 +90,7 @@ def test_powershell(text_of):
         ("MaJOr -Ge", "major -ge"),
         ("New-ObjECT", "new-object"),
         ("$A.\"Get`Field\"('X')", "$a.getfield('X')"),
-        ("[Char]65 + 'a' + 'b'", "'A' + 'ab'"),
+        ("[Char]65 + 'a' + 'b'", "'Aab'"),
         ('"a`nb`Hc"', '"a`nbHc"'),
     ],
 )
