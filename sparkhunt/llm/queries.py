@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkhunt.llm import chat_format, exact_dedup, html_templates, mixing, token_counts, warc, wavelet
+from sparkhunt.llm import chat_format, decontaminate, exact_dedup, html_templates, mixing, pu_toxicity, token_counts, warc, wavelet
 from sparkhunt.llm.common import table
 from sparkhunt.session import scratch_path
 
@@ -50,6 +50,13 @@ def op1(spark, folder):
     )
 
 
+@query("op2_pu_toxicity")
+def op2(spark, folder):
+    docs = table(spark, folder, "documents")
+    scored = pu_toxicity.score(docs.select("doc_id", "text"), pu_toxicity.fit(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", pu_toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query(
     "op3_exact_dedup",
     """
@@ -63,6 +70,27 @@ def op3(spark, folder):
     return index.ingest(table(spark, folder, "documents"))
 
 
+@query(
+    "op4_decontaminate",
+    """
+    with d as (select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') w from documents),
+    i as (select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') w from benchmark),
+    ds as (select doc_id, p, array_to_string(w[p:p + 4], ' ') s from (select doc_id, w, unnest(range(1, len(w) - 3)) p from d)),
+    js as (select item_id, len(w) n, p, array_to_string(w[p:p + 4], ' ') s from (select item_id, w, unnest(range(1, len(w) - 3)) p from i)),
+    wins as (select distinct doc_id, item_id, greatest(ds.p - js.p, 0) st, n from ds join js using (s)),
+    a as (select wins.doc_id, item_id, st, ds.s, count(*) k from wins join ds on wins.doc_id = ds.doc_id and ds.p between st + 1 and st + n - 4 group by all),
+    b as (select item_id, s, count(*) k from js group by all),
+    x as (select a.doc_id, a.item_id, a.st, sum(least(a.k, b.k)) m from a join b on a.item_id = b.item_id and a.s = b.s group by all),
+    na as (select doc_id, item_id, st, sum(k) n from a group by all), nb as (select item_id, sum(k) n from b group by all),
+    r as (select x.doc_id, x.item_id, x.st, x.m / (na.n + nb.n - x.m) similarity from x join na using (doc_id, item_id, st) join nb on nb.item_id = x.item_id)
+    select doc_id, item_id, arg_min(st, (-similarity, st))::int start_word, max(similarity) similarity from r where similarity >= 0.8 group by doc_id, item_id
+    """,
+)
+def op4(spark, folder):
+    found = decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("start_word").cast("int").alias("start_word"), "similarity")
+
+
 @query("op5_token_counts")
 def op5(spark, folder):
     docs = table(spark, folder, "documents")
