@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkhunt.llm import chat_format, decontaminate, exact_dedup, html_templates, mixing, pu_toxicity, token_counts, warc, wavelet
+from sparkhunt.llm import chat_format, decontaminate, exact_dedup, html_templates, lsh_forest, mixing, pu_toxicity, token_counts, warc, wavelet
 from sparkhunt.llm.common import table
 from sparkhunt.session import scratch_path
 
@@ -130,6 +130,11 @@ def op7(spark, folder):
     return chat_format.conversation_digests(spark.read.parquet(formatted))
 
 
+@query("op8_jaccard_forest")
+def op8(spark, folder):
+    return lsh_forest.jaccard_join(table(spark, folder, "documents"))
+
+
 @query("op9_token_shards")
 def op9(spark, folder):
     shards = scratch_path(spark, "tokens")
