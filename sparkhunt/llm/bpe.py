@@ -18,11 +18,6 @@ from tokenizers import Tokenizer
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 
 
-def _odd(piece: str) -> bool:
-    """Whether white space (but for the space in front) is at an end of the piece."""
-    return piece in ("", " ") or piece[-1].isspace() or piece.lstrip() != piece.removeprefix(" ")
-
-
 class _Rows(dict):
     """Row numbers of pieces; a new piece gets the next number and waits to be encoded."""
 
@@ -39,7 +34,7 @@ class _Rows(dict):
 class PieceEncoder:
     """Encodes texts with the tokenizer file at ``path``; keeps about ``most`` pieces."""
 
-    def __init__(self, path: str, offsets: bool = False, most: int = 500_000):
+    def __init__(self, path: str, offsets: bool = False, most: int = 750_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are plain text
@@ -83,7 +78,8 @@ class PieceEncoder:
                 self._spans[self._used : end] = np.fromiter(flat, np.uint32, 2 * (end - self._used)).reshape(-1, 2)
             self._count[rows], self._first[rows] = counts, self._used + np.cumsum(counts) - counts
             self._size[rows] = np.fromiter(map(len, some), np.int32, len(some))
-            self._odd[rows] = [_odd(p) for p in some]
+            # white space, but for the space in front, at an end of the piece
+            self._odd[rows] = [not (bare := p.strip()) or len(p) - len(bare) != (p[0] == " ") for p in some]
             self._used, self._rows = end, rows.stop
         new.clear()
         self._heads.start = self._rest.start = self._rows

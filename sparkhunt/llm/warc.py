@@ -232,6 +232,7 @@ def write_bundles(
 def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
     """All records of the bundles that the manifest names, as ``RECORDS``."""
     names = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("bundle").distinct()
+    names = names.repartition(min(max(names.count(), 1), 10_000), "bundle")
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records():

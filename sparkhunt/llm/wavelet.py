@@ -233,7 +233,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.select("file", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
-    shards = placed.repartition(F.col("file"))
+    shards = placed.repartition(min(max(manifest.count(), 1), 10_000), "file")
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
