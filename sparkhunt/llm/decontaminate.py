@@ -138,8 +138,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item, all columns kept."""
     found = cut_lineage(leaks(docs, benchmark, key, text, least=least).select("id", "text_hash").distinct())
-    mark = own_name("text_hash", docs.columns)
-    found = found.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
+    mark, its_id, its_hash = (own_name(x, docs.columns) for x in ("text_hash", "leak_id", "leak_hash"))
+    found = found.withColumnsRenamed({"id": its_id, "text_hash": its_hash})
     marked = docs.withColumn(mark, F.xxhash64(F.coalesce(c(text), F.lit(""))))
     few = F.broadcast(found) if fits_broadcast(found) else found
-    return marked.join(few, c(key).eqNullSafe(F.col("__id")) & (c(mark) == F.col("__hash")), "left_anti").drop(mark)
+    return marked.join(few, c(key).eqNullSafe(c(its_id)) & (c(mark) == c(its_hash)), "left_anti").drop(mark)

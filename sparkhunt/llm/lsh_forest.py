@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkhunt.llm.common import words
+from sparkhunt.llm.common import own_name, words
 from sparkhunt.names import c
 from sparkhunt.operators.components import connected_components
 from sparkhunt.operators.lookup import fits_broadcast, totals_join
@@ -289,8 +289,10 @@ def one_of_each(
     """
     _, known = _linked_texts(docs, key, text, threshold, trees, depth, recall, chunk, seed)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("node").alias("node"), F.col("digest").alias("digest")))
-    kept = cut_lineage(known.groupBy("component").agg(first.alias("f")).select(F.col("f.id").alias("__id"), F.col("f.digest").alias("__digest")))
+    kept = cut_lineage(known.groupBy("component").agg(first.alias("f")).select("f.id", "f.digest"))
+    own, its_id, its_digest = (own_name(x, docs.columns) for x in ("own_digest", "kept_id", "kept_digest"))
+    kept = kept.withColumnsRenamed({"id": its_id, "digest": its_digest})
     digest = F.unhex(F.sha2(F.coalesce(c(text), F.lit("")), 256))
-    marked = docs.select(*[c(x) for x in docs.columns], digest.alias("__own"))
+    marked = docs.select(*[c(x) for x in docs.columns], digest.alias(own))
     few = F.broadcast(kept) if fits_broadcast(kept) else kept
-    return marked.join(few, (F.col("__own") == F.col("__digest")) & c(key).eqNullSafe(F.col("__id"))).dropDuplicates(["__own"]).select(*[c(x) for x in docs.columns])
+    return marked.join(few, (c(own) == c(its_digest)) & c(key).eqNullSafe(c(its_id))).dropDuplicates([own]).select(*[c(x) for x in docs.columns])

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkhunt.llm.common import own_name
 from sparkhunt.names import c
 from sparkhunt.operators.ordering import running_sum
 from sparkhunt.session import cut_lineage
@@ -110,11 +111,13 @@ def mix(
     most: float = 3.0,
     seed: int = 7,
 ) -> DataFrame:
-    """Add ``__size``, ``__source_size``, ``__target`` and ``__draws`` to every row.
+    """Add a struct of ``size``, ``source_size``, ``target`` and ``draws`` to every row.
 
-    ``__draws`` lists the (shard, place) pairs at which the mix takes the row: empty if
-    it takes it never, and never more than ``most`` rounded up.  ``__size * size(__draws)``
-    is what the row gives to the mix; over a source these sums come as near to its target
+    The struct is the last column and called ``mix``, with underscores in front if other
+    columns are called so; otherwise the columns of ``docs`` may have any names.
+    ``draws`` lists the (shard, place) pairs at which the mix takes the row: empty if
+    it takes it never, and never more than ``most`` rounded up.  ``size`` times their
+    number is what the row gives to the mix; over a source these sums come as near to its target
     as whole documents of its last block allow, and stay at or below it.
 
     A null text counts no words; a null source is a source of its own; rows repeated in
@@ -184,17 +187,26 @@ def mix(
         F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("draws")  # at most `most` + 1 of them
     )
     plan = draws.select("source_no", "block", "taken", "whole", "passes").join(placed_draws, ["source_no", "block"], "left")
-    rows = docs.withColumn("__ident", ident).withColumn("__size", word_count(c(text)))
-    located = rows.join(few.withColumnRenamed("source", "__src"), c(source).cast("string").eqNullSafe(F.col("__src"))).withColumn(
-        "block", F.pmod(F.col("__ident"), F.col("n_blocks"))
+    # the rows themselves, as one struct so that their columns cannot clash
+    rows = docs.select(F.struct(*names).alias("row"), c(source).cast("string").alias("of"), ident.alias("ident"), word_count(c(text)).alias("size"))
+    located = rows.join(few, rows["of"].eqNullSafe(sources["source"])).select(
+        "row", "ident", "size", "source_size", "target", "source_no", F.pmod(F.col("ident"), F.col("n_blocks")).alias("block")
     )
-    mine = located.select(*names, "__ident", "__size", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("source_no").alias("__no"), F.col("block").alias("__block"))
-    theirs = plan.select(F.col("source_no").alias("__no"), F.col("block").alias("__block"), "taken", "whole", F.col("passes").alias("__passes"), "draws")
-    both = mine.join(theirs.withColumnsRenamed({"taken": "__taken", "whole": "__whole", "draws": "__all"}), ["__no", "__block"])
-    fits = F.col("__whole") | F.coalesce(F.array_contains("__taken", F.col("__ident")), F.lit(False))
-    kept = F.filter(F.coalesce("__all", F.array()), lambda d: (d["pass"] <= F.col("__passes")) | fits)
-    place = F.transform(kept, lambda d: F.struct(d["shard"].alias("shard"), F.xxhash64(F.lit(seed), F.col("__ident"), d["pass"]).alias("place")))
-    return both.select(*names, "__size", "__source_size", "__target", place.alias("__draws"))
+    both = located.join(plan, ["source_no", "block"])
+    fits = F.col("whole") | F.coalesce(F.array_contains("taken", F.col("ident")), F.lit(False))
+    kept = F.filter(F.coalesce("draws", F.array()), lambda d: (d["pass"] <= F.col("passes")) | fits)
+    place = F.transform(kept, lambda d: F.struct(d["shard"].alias("shard"), F.xxhash64(F.lit(seed), F.col("ident"), d["pass"]).alias("place")))
+    added = F.struct("size", "source_size", "target", place.alias("draws")).alias(own_name("mix", docs.columns))
+    return both.select(*[F.col("row")[x].alias(x) for x in docs.columns], added)
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows that the mix takes, as often as it does, shard by shard in shuffled order."""
+    mixed = mix(docs, **options)
+    name = mixed.columns[-1]
+    draw = own_name("draw", mixed.columns)
+    drawn = mixed.withColumn(draw, F.explode(c(name)["draws"]))
+    return drawn.repartition(c(draw)["shard"]).sortWithinPartitions(c(draw)["shard"], c(draw)["place"]).select(*[c(x) for x in docs.columns])
 
 
 def _permuted(draws: DataFrame, order: Column, per_bucket: int = 4096) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkhunt.llm.common import own_name
 from sparkhunt.names import c
 from sparkhunt.session import cut_lineage
 
@@ -167,7 +168,7 @@ def score(docs: DataFrame, models: DataFrame, key: str = "doc_id", text: str = "
 
     The models are the few rows of :func:`fit` with at most 20,000 features each.  A null
     or empty text gets the score of a text without features; without models every score
-    is 0; other columns pass unread.
+    is 0; other columns pass unread, but one called ``name`` is replaced.
     """
     loaded = [(r["bias"], dict(zip(r["features"], r["weights"], strict=True))) for r in models.collect()]
     known = set().union(*(set(w) for _, w in loaded)) if loaded else set()
@@ -189,6 +190,11 @@ def score(docs: DataFrame, models: DataFrame, key: str = "doc_id", text: str = "
                 out.append(float(np.mean(0.5 * (1 + np.tanh(np.array(logits) / 2)))) if logits else 0.0)
             yield pa.array(out, pa.float64())
 
-    from pyspark.sql.functions import arrow_udf
+    return docs.withColumn(name, F.arrow_udf(run, "double")(F.coalesce(c(text), F.lit(""))))
 
-    return docs.withColumn(name, arrow_udf(run, "double")(F.coalesce(c(text), F.lit(""))))
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with a score under ``threshold``, all columns kept."""
+    mark = own_name("score", docs.columns)
+    scored = score(docs, fit(docs, labels, key, text, **options), key, text, mark)
+    return scored.where(c(mark) < threshold).drop(mark)

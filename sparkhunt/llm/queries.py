@@ -100,13 +100,7 @@ def op5(spark, folder):
 @query("op6_mixing")
 def op6(spark, folder):
     mixed = mixing.mix(table(spark, folder, "documents"))
-    return mixed.select(
-        "doc_id",
-        F.col("__size").alias("size"),
-        F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"),
-        (F.col("__size") * F.size("__draws")).alias("taken"),
-    )
+    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.size("mix.draws")).alias("taken"))
 
 
 @query(
