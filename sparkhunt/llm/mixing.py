@@ -117,8 +117,8 @@ def mix(
     columns are called so; otherwise the columns of ``docs`` may have any names.
     ``draws`` lists the (shard, place) pairs at which the mix takes the row: empty if
     it takes it never, and never more than ``most`` rounded up.  ``size`` times their
-    number is what the row gives to the mix; over a source these sums come as near to its target
-    as whole documents of its last block allow, and stay at or below it.
+    number is what the row gives to the mix; over a source these sums stay at or below its target and
+    come as near to it as whole documents of its last block allow.
 
     A null text counts no words; a null source is a source of its own; rows repeated in
     the input are rows of their own but, with the same key and text, are drawn alike; an
@@ -133,24 +133,39 @@ def mix(
     light = cut_lineage(
         docs.select(c(source).cast("string").alias("source"), ident.alias("ident"), word_count(c(text)).alias("size"))
     )
-    totals = light.groupBy("source").agg(F.sum("size").alias("source_size"))
+    heavy = F.col("size") > block_words // 4  # documents that would upset a block
+    totals = light.groupBy("source").agg(
+        F.sum("size").alias("source_size"), F.coalesce(F.sum(F.when(heavy, F.col("size"))), F.lit(0)).alias("heavy_size"), F.count(F.when(heavy, 1)).alias("n_heavy")
+    )
     numbered = source_targets(totals, most).withColumn(
         "source_no", F.row_number().over(Window.orderBy(F.col("source").isNull(), F.col("source"))).cast("long")
     )
+    extra = totals.select(F.col("source").alias("of"), "heavy_size", "n_heavy")
     sources = cut_lineage(
-        numbered.withColumn("n_blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)))
+        numbered.join(extra, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+        .withColumn("n_blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)))
         .withColumn("passes", F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))))
         .withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
+        .withColumn("heavy_rest", F.col("rest") * F.col("heavy_size") / F.greatest(F.col("source_size"), F.lit(1)))
     )
     few = F.broadcast(sources)  # one row per source of the mix
-    block = F.pmod(F.col("ident"), F.col("n_blocks")).alias("block")
-    placed = light.join(few, light["source"].eqNullSafe(sources["source"])).select("source_no", block, "ident", "size", "rest")
-    sized = placed.groupBy("source_no", "block").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    summed = cut_lineage(running_sum(sized, ["source_no"], "block", F.col("words"), "upto"))
-    # blocks wholly inside the rest are drawn once more; of the one across its end, documents that fit
-    across = summed.where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") < F.col("rest"))).select(
-        "source_no", "block", (F.col("rest") - (F.col("upto") - F.col("words"))).alias("room")
+    # heavy documents have (nearly) a block each, after the blocks of the others
+    block = F.when(heavy, F.col("n_blocks") + F.pmod(F.shiftright("ident", 4), 16 * F.col("n_heavy"))).otherwise(F.pmod(F.col("ident"), F.col("n_blocks")))
+    placed = light.join(few, light["source"].eqNullSafe(sources["source"])).select("source_no", heavy.alias("heavy"), block.alias("block"), "ident", "size")
+    sized = placed.groupBy("source_no", "heavy", "block").agg(F.sum("size").alias("words"))
+    summed = cut_lineage(running_sum(sized, ["source_no", "heavy"], "block", F.col("words"), "upto")).join(
+        F.broadcast(sources.select("source_no", "passes", "rest", "heavy_rest")), "source_no"
     )
+    # one more draw: of the heavy blocks about their share of the rest, of the others what is left,
+    # and of the block across its end the documents that fit
+    before = F.col("upto") - F.col("words")
+    big = summed.where("heavy").withColumn("whole", (F.col("upto") <= F.col("heavy_rest")) | ((before < F.col("heavy_rest")) & (F.col("upto") <= F.col("rest"))))
+    taken_big = big.where("whole").groupBy("source_no").agg(F.sum("words").alias("heavy_taken"))
+    small = summed.where("not heavy").join(F.broadcast(taken_big), "source_no", "left").withColumn(
+        "rest", F.col("rest") - F.coalesce("heavy_taken", F.lit(0))
+    ).drop("heavy_taken").withColumn("whole", F.col("upto") <= F.col("rest"))
+    summed = cut_lineage(big.unionByName(small))
+    across = summed.where(~F.col("heavy") & ~F.col("whole") & (before < F.col("rest"))).select("source_no", "block", (F.col("rest") - before).alias("room"))
     members = placed.join(F.broadcast(across), ["source_no", "block"]).groupBy("source_no", "block", "room").agg(
         F.sort_array(F.collect_list(F.struct("size", "ident")), asc=False).alias("members")  # a block's documents
     )
@@ -164,14 +179,9 @@ def mix(
         ).otherwise(held),
     )
     partial = members.select("source_no", "block", fitted["taken"].alias("taken"))
-    drawn = summed.join(F.broadcast(sources.select("source_no", "passes")), "source_no").join(
-        F.broadcast(partial), ["source_no", "block"], "left"
-    )
-    whole = F.col("upto") <= F.col("rest")
-    times = F.col("passes") + F.when(whole | F.col("taken").isNotNull(), 1).otherwise(0)
-    draws = cut_lineage(
-        drawn.select("source_no", "block", "taken", whole.alias("whole"), "passes", times.cast("int").alias("times"))
-    )
+    drawn = summed.join(F.broadcast(partial), ["source_no", "block"], "left")
+    times = F.col("passes") + F.when(F.col("whole") | F.col("taken").isNotNull(), 1).otherwise(0)
+    draws = cut_lineage(drawn.select("source_no", "block", "taken", "whole", "passes", times.cast("int").alias("times")))
     quotas = [
         (r["source_no"], r["n"]) for r in draws.groupBy("source_no").agg(F.sum("times").alias("n")).where("n > 0").collect()
     ]
@@ -190,7 +200,7 @@ def mix(
     # the rows themselves, as one struct so that their columns cannot clash
     rows = docs.select(F.struct(*names).alias("row"), c(source).cast("string").alias("of"), ident.alias("ident"), word_count(c(text)).alias("size"))
     located = rows.join(few, rows["of"].eqNullSafe(sources["source"])).select(
-        "row", "ident", "size", "source_size", "target", "source_no", F.pmod(F.col("ident"), F.col("n_blocks")).alias("block")
+        "row", "ident", "size", "source_size", "target", "source_no", block.alias("block")
     )
     both = located.join(plan, ["source_no", "block"])
     fits = F.col("whole") | F.coalesce(F.array_contains("taken", F.col("ident")), F.lit(False))
