@@ -8,15 +8,16 @@ part of an article go as well, wherever they occur once only.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparkhunt.names import c
 from sparkhunt.operators.lookup import lookup_join
@@ -109,24 +110,6 @@ def _walk(root: Node) -> list[tuple[Node, Node | None]]:
     return out
 
 
-def subtree_hashes(root: Node) -> dict[int, tuple[int, int, int]]:
-    """By node: hash of tag, class, text and children; characters of text, and of links."""
-    out: dict[int, tuple[int, int, int]] = {}
-    for node, _ in reversed(_walk(root)):
-        digest, chars, linked = hashlib.blake2b(digest_size=8), 0, 0
-        digest.update(f"<{node.tag} {node.attrs.get('class', '')}>".encode("utf-8", "surrogatepass"))
-        for kid in node.kids:
-            if isinstance(kid, Node):
-                own, n, m = out[id(kid)]
-                digest.update(own.to_bytes(8, "big", signed=True))
-                chars, linked = chars + n, linked + m
-            elif text := _SPACE.sub(" ", kid).strip():
-                digest.update(b"#" + text.encode("utf-8", "surrogatepass") + b"\0")
-                chars += len(text)
-        out[id(node)] = (int.from_bytes(digest.digest(), "big", signed=True), chars, chars if node.tag in LINKED else linked)
-    return out
-
-
 def _is_main(node: Node) -> bool:
     return node.tag in ("article", "main") or node.attrs.get("role", "").lower() in ("main", "article")
 
@@ -144,101 +127,156 @@ def _marked(node: Node) -> bool:
     )
 
 
-def _candidates(root: Node) -> Iterator[tuple[Node, int]]:
-    """Subtrees that are deleted where they recur.
-
-    Outside the main element: every element that holds text, but none that holds the
-    main element.  Inside it: only elements that mostly consist of links, so that a
-    passage that many articles of a site quote stays.
-    """
-    hashes, nodes = subtree_hashes(root), _walk(root)
-    inside: set[int] = set()
-    above: set[int] = set()
+def _main_marks(nodes: list[tuple[Node, Node | None]]) -> tuple[set[int], set[int]]:
+    """Nodes inside a main element, and nodes that hold one."""
+    inside, above = set(), set()
     for node, parent in nodes:
         if parent is not None and (id(parent) in inside or _is_main(parent)):
             inside.add(id(node))
     for node, parent in reversed(nodes):
         if parent is not None and (_is_main(node) or id(node) in above):
             above.add(id(parent))
-    for node, _ in nodes:
-        own, chars, linked = hashes[id(node)]
-        if not chars or _is_main(node) or id(node) in above or node.tag in ("#page", "html", "body"):
-            continue
-        if id(node) not in inside or 2 * linked >= chars:
-            yield node, own
+    return inside, above
 
 
-def main_text(html: str, templates: frozenset[int] | set[int] = frozenset()) -> str:
-    """Blocks of the main text, joined by empty lines, without ``templates`` subtrees.
+def subtree_hashes(nodes: list[tuple[Node, Node | None]], inside: set[int], above: set[int]) -> dict[int, int]:
+    """Hashes of the subtrees that are deleted where they recur, by node.
 
-    The text is that of the outermost ``article`` or ``main`` elements that stay, or of
-    the whole page if there are none.
+    Outside the main element: every element that holds text, but none that holds the
+    main element.  Inside it: only elements that mostly consist of links, so that a
+    passage that many articles of a site quote stays.  A hash covers tag, class, text and
+    children; subtrees that are no candidates and below none are not hashed.
+    """
+    chars: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    for node, _ in reversed(nodes):
+        n = m = 0
+        for kid in node.kids:
+            if isinstance(kid, Node):
+                n, m = n + chars[id(kid)], m + linked[id(kid)]
+            else:
+                n += len(kid.strip())
+        chars[id(node)], linked[id(node)] = n, n if node.tag in LINKED else m
+    chosen, hashed = set(), set()
+    for node, parent in nodes:
+        own = id(node)
+        if chars[own] and not _is_main(node) and own not in above and node.tag not in ("#page", "html", "body") and (own not in inside or 2 * linked[own] >= chars[own]):
+            chosen.add(own)
+        if own in chosen or id(parent) in hashed:
+            hashed.add(own)
+    out: dict[int, int] = {}
+    for node, _ in reversed(nodes):
+        if id(node) in hashed:
+            parts = [f"<{node.tag} {node.attrs.get('class', '')}>"]
+            for kid in node.kids:
+                parts.append(f"#{out[id(kid)]}" if isinstance(kid, Node) else _SPACE.sub(" ", kid).strip())
+            out[id(node)] = xxhash.xxh3_64_intdigest("\0".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
+    return {k: v for k, v in out.items() if k in chosen}
+
+
+def read_page(html: str) -> tuple[list[int], list[list[dict]]]:
+    """(hashes of all candidates, blocks of the main text) of a page.
+
+    A block is a list of pieces with the candidates each lies ``under``; the main text is
+    that of the outermost ``article`` or ``main`` elements, or of the whole page if there
+    are none, without elements that are marked as something else.
     """
     root = parse(html)
-    gone = {id(node) for node, own in _candidates(root) if own in templates} if templates else set()
-    inside: set[int] = set()  # of a main element
+    nodes = _walk(root)
+    inside, above = _main_marks(nodes)
+    hashes = subtree_hashes(nodes, inside, above)
+    gone: set[int] = set()
     tops: list[Node] = []
-    for node, parent in _walk(root):
-        above = id(parent)
+    below: set[int] = set()  # of a top
+    for node, parent in nodes:
         if parent is None:
             continue
-        if above in inside:
-            inside.add(id(node))
-        if above in gone or _marked(node) or (node.tag == "header" and id(node) not in inside):
+        if id(parent) in below:
+            below.add(id(node))
+        if id(parent) in gone or _marked(node) or (node.tag == "header" and id(node) not in below):
             gone.add(id(node))
-        elif _is_main(node) and id(node) not in inside:
+        elif _is_main(node) and id(node) not in below:
             tops.append(node)
-            inside.add(id(node))
-    return "\n\n".join(x for top in tops or [root] for x in _text_blocks(top, gone))
+            below.add(id(node))
+    blocks = [x for top in tops or [root] for x in _text_blocks(top, gone, hashes)]
+    return sorted(set(hashes.values())), blocks
 
 
-def _text_blocks(top: Node, gone: set[int]) -> list[str]:
-    blocks, held = [], []
+def _text_blocks(top: Node, gone: set[int], hashes: dict[int, int]) -> list[list[dict]]:
+    blocks: list[list[dict]] = []
+    held: list[dict] = []
 
     def flush():
-        if text := _SPACE.sub(" ", "".join(held)).strip():
-            blocks.append(text)
+        if any(not x["text"].isspace() for x in held):
+            blocks.append(held.copy())
         held.clear()
 
-    wait: list = [top]
+    wait: list = [(top, ())]
     while wait:
-        item = wait.pop()
+        item, under = wait.pop()
         if item is None:
             flush()
         elif isinstance(item, str):
-            held.append(item)
+            held.append({"text": item, "under": under})
         elif id(item) not in gone:
+            own = hashes.get(id(item))
+            under = under if own is None else (*under, own)
             if item.tag == "br":
-                held.append(" ")
-            block = item.tag in BLOCKS
-            if block:
+                held.append({"text": " ", "under": under})
+            if item.tag in BLOCKS:
                 flush()
-                wait.append(None)
-            wait.extend(reversed(item.kids))
+                wait.append((None, ()))
+            wait.extend((x, under) for x in reversed(item.kids))
     flush()
     return blocks
 
 
-def _hashes_of(html: str) -> list[int]:
-    return sorted({own for _, own in _candidates(parse(html))})
+def join_blocks(blocks: list[list[dict]], templates: set[int] | frozenset[int] = frozenset()) -> str:
+    """The text of the pieces that lie under no template; blocks have an empty line between."""
+    out = []
+    for block in blocks:
+        pieces = [x["text"] for x in block if not templates or templates.isdisjoint(x["under"])]
+        if text := _SPACE.sub(" ", "".join(pieces)).strip():
+            out.append(text)
+    # a lone surrogate, which a character reference may give, is not text
+    return "\n\n".join(out).encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
-def site_templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
-    """(host, templates): hashes of the subtrees that recur on a host.
+def main_text(html: str, templates: set[int] | frozenset[int] = frozenset()) -> str:
+    return join_blocks(read_page(html)[1], templates)
+
+
+_BLOCKS = T.ArrayType(T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("under", T.ArrayType(T.LongType()))])))
 
-    ``pages`` has ``host`` and ``html``.  A hash is a template where it occurs on at least
-    ``least_pages`` different pages and ``least_share`` of the different pages of the
-    host; copies of a page count once.  By that share, a host's list is at most
-    1 / ``least_share`` times as long as a page has candidates on average.
-    """
 
-    def hashes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def read_pages(pages: DataFrame) -> DataFrame:
+    """Replaces ``html`` by ``page`` (its hash), ``hashes`` and ``blocks``; parses once."""
+    kept = [x for x in pages.schema.fields if x.name != "html"]
+    schema = T.StructType([*kept, T.StructField("page", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("blocks", _BLOCKS)])
+    arrow = to_arrow_schema(schema)
+    ready = pages.select(*[x.name for x in kept], F.xxhash64("html").alias("page"), "html")
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = [_hashes_of(x) for x in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(found, pa.list_(pa.int64()))], ["host", "page", "hashes"])
+            found = [read_page(x) for x in part.column("html").to_pylist()]
+            for _, blocks in found:
+                for x in (x for block in blocks for x in block):
+                    x["text"] = x["text"].encode("utf-8", "replace").decode() if not x["text"].isascii() else x["text"]
+            made = [pa.array([x[0] for x in found], arrow.field("hashes").type), pa.array([x[1] for x in found], arrow.field("blocks").type)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], schema.names)
+
+    return ready.mapInArrow(run, schema)
 
-    single = pages.select("host", "html", F.xxhash64("html").alias("page"))
-    found = cut_lineage(single.mapInArrow(hashes, "host string, page long, hashes array<long>").dropDuplicates(["host", "page"]))
+
+def site_templates(read: DataFrame, least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
+    """(host, templates): hashes of the subtrees that recur on a host.
+
+    ``read`` has ``host``, ``page`` and ``hashes``.  A hash is a template where it occurs
+    on at least ``least_pages`` different pages and ``least_share`` of the different pages
+    of the host; copies of a page count once.  By that share, a host's list is at most
+    1 / ``least_share`` times as long as a page has candidates on average.
+    """
+    found = cut_lineage(read.select("host", "page", "hashes").dropDuplicates(["host", "page"]))
     counts = found.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     often = found.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
     kept = often.join(counts, "host").where(F.col("n") >= least_share * F.col("pages"))
@@ -251,20 +289,19 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
     A null page is an empty one and gives an empty text; rows without a host form a site
     of their own; repeated rows are repeated; broken markup is read as far as it makes
     sense; an empty table gives no row; other columns are not read.  Pages are parsed
-    twice: once for the counts, once for the text.
+    once; their blocks are kept, and the pieces under templates left out of the text.
     """
     host = F.lower(F.coalesce(F.try_parse_url(c(url), F.lit("HOST")), F.lit("")))
-    rows = pages.select(c(key).alias("key"), c(url).alias("url"), F.coalesce(c(html), F.lit("")).alias("html"), host.alias("host"))
-    templates = cut_lineage(site_templates(rows, least_pages, least_share))
-    joined = lookup_join(rows, templates, ["host"]).select("key", "url", "html", "templates")
+    rows = pages.select(c(key).alias("key"), c(url).alias("url"), host.alias("host"), F.coalesce(c(html), F.lit("")).alias("html"))
+    read = cut_lineage(read_pages(rows))
+    templates = cut_lineage(site_templates(read, least_pages, least_share))
+    joined = lookup_join(read.select("key", "url", "host", "blocks"), templates, ["host"]).select("key", "url", "blocks", "templates")
     schema = T.StructType([T.StructField(key, pages.schema[key].dataType), T.StructField(url, pages.schema[url].dataType), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     names = schema.names
 
     def texts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = [main_text(h, frozenset(t or ())) for h, t in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
-            # a lone surrogate, which a character reference may give, is not text
-            found = [x.encode("utf-16", "surrogatepass").decode("utf-16", "replace") for x in found]
+            found = [join_blocks(b, frozenset(t or ())) for b, t in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.string()), pa.array([len(x) for x in found], pa.int64())], names)
 
     return joined.mapInArrow(texts, schema)
