@@ -81,7 +81,7 @@ nb as (select a as id, count(*) as n from pair group by a)
 """
 
 
-@query("eps_neighbor_join", "with " + _PAIRS + "select id as c_custkey, least(n, 5) as n_neighbors, n >= 5 as is_core from nb")
+@query("eps_neighbor_join", "with " + _PAIRS + "select id as c_custkey, n as n_neighbors, n >= 5 as is_core from nb")
 def _(t):
     out = db.eps_neighbor_join(t("v_points"), ["x", "y"], _EPS, "c_custkey", 5)
     return out.select("c_custkey", "n_neighbors", "is_core")
@@ -130,7 +130,7 @@ nb as (select a as id, count(*) as n from pair group by a)
 """
 
 
-@query("gower_pair_join", "with " + _GPAIR + "select id as p_partkey, least(n, 5) as n_neighbors, n >= 5 as is_core from nb")
+@query("gower_pair_join", "with " + _GPAIR + "select id as p_partkey, n as n_neighbors, n >= 5 as is_core from nb")
 def _(t):
     out = db.gower_pair_join(t("part"), _MIX, 0.28, "p_partkey", 5)
     return out.select("p_partkey", "n_neighbors", "is_core")

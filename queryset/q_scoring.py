@@ -221,8 +221,7 @@ def _(t):
     return _scored(t)
 
 
-@query("score_rank", f"select * from ({_TOTAL}) order by score desc, id limit 100".replace(_NETWORK, "") if False else
-       _NETWORK + f"select id, {GLOBS} + {_POINT} + {RULES} as score from net, bounds order by score desc, id limit 100")
+@query("score_rank", _NETWORK + f"select id, {GLOBS} + {_POINT} + {RULES} as score from net, bounds order by score desc, id limit 100")
 def _(t):
     return agg.score_rank(_scored(t), 100, "score")
 

@@ -289,10 +289,12 @@ def _(t):
     return wh.whois_parse(t("v_whois_text"))
 
 
-_MULTI = f"""with base as (select ip, line_no, line as raw, {_CLEAN.format('line')} as l,
+_MULTI = f"""with recursive base as (select ip, line_no, line as raw, {_CLEAN.format('line')} as l,
    lead(line) over (partition by ip order by line_no) as nxt from v_whois_text),
 {_parse('first', 'select * from base')},
-glued as (select *, lag(tag in ('+wrap', '@join') and nxt is not null) over (partition by ip order by line_no) as used from first),
+walk(ip, line_no) as (select ip, min(line_no) from first group by ip union all
+  select w.ip, w.line_no + case when f.tag in ('+wrap', '@join') and f.nxt is not null then 2 else 1 end from walk w join first f on f.ip = w.ip and f.line_no = w.line_no),
+glued as (select f.*, w.line_no is null as used from first f left join walk w on w.ip = f.ip and w.line_no = f.line_no),
 {_parse('second', "select ip, line_no, raw, used, case when tag = '+wrap' and nxt is not null then l || ' ' || nxt when tag = '@join' and nxt is not null then l || nxt else l end as l from glued")},
 kept as (select * from second where not coalesce(used, false)),
 seg as (select *, sum(case when tag = '@nslist' then 1 else 0 end) over (partition by ip order by line_no) as seg,
@@ -314,7 +316,8 @@ def _(t):
 
 
 _FIRST = """, vals as (select ip, tag, coalesce(arg_max(value, line_no) filter (flags <> ''), arg_min(value, line_no) filter (flags = '')) as value
-  from multi where tag <> 'ns' group by ip, tag)"""
+  from multi where tag <> 'ns' group by ip, tag
+  union all select ip, 'ns', string_agg(value, ',' order by line_no) from multi where tag = 'ns' and value <> '' group by ip)"""
 
 
 def _values(t):

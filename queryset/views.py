@@ -239,7 +239,7 @@ select cast(45 * 16777216 + n_nationkey * 655360 as bigint) as start_ip,
   cast(n_nationkey as double) as latitude, cast(n_regionkey * 10 as double) as longitude from nation
 union all
 select cast(203 as bigint) * 16777216 + s_suppkey * 256, cast(203 as bigint) * 16777216 + s_suppkey * 256 + 127,
-  cast(s_suppkey % 90 as double), cast(s_nationkey as double) from supplier where s_suppkey < 65536
+  cast(s_suppkey % 90 as double), cast(s_nationkey as double) from supplier
 union all
 select cast(10 as bigint) * 16777216, cast(11 as bigint) * 16777216 - 1, 40.5, -70.25 from region where r_regionkey = 0
 union all
@@ -315,6 +315,11 @@ _WHOIS_LINES: list[str] = [
     "'[Querying whois.example.net]'",
     "case when n % 2 = 0 then 'Registrar:' else 'CIDR: 10.0.0.0/8' end",
     "'Joined Registrar'",
+    "'Registrant:'",
+    "'Registrar:'",
+    "case when n % 2 = 0 then 'First registration date:' else 'Domain Name: x' || cast(n as string) || '.example' end",
+    "case when n % 4 = 0 then 'Registrar:' else 'Expires on: 2030-01-01' end",
+    "'Creation Date: 2002-02-02'",
 ]
 VIEWS["v_whois_text"] = f"""
 select ip, l as line_no, {case("l", _WHOIS_LINES)} as line

@@ -2,164 +2,214 @@
 
 from __future__ import annotations
 
+import copy
 import functools
 import operator
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkhunt.names import c
-
-# The ten shipped scoring rules.  Each entry holds the description, the
-# condition tree, the score and the technique page, in the order they are applied.
-COMMAND = "command_line"
-BINARY = "binary_ref.name"
-PARENT = "parent_ref.binary_ref.name"
-FOLDER = "binary_ref.parent_directory_ref.path"
-TECHNIQUE = "https://attack.mitre.org/techniques/"
-SHIPPED_RULE_TABLE = (
-    (
-        "mimikatz command line args",
-        {"any": [(COMMAND, "contains", "sekurlsa")]},
-        1.0,
-        "T1075/",
-    ),
-    (
-        "Accessibility features",
-        {
+from sparkhunt.names import c, let
+
+# The ten shipped scoring rules, in the JSON layout users write their own in.
+SHIPPED_RULES: list[dict] = [
+    {
+        "description": "mimikatz command line args",
+        "conditions": {
             "any": [
-                (BINARY, "equal_to", "sethc.exe"),
-                (PARENT, "equal_to", "osk.exe"),
-                (PARENT, "equal_to", "Magnify.exe"),
-                (PARENT, "equal_to", "Narrator.exe"),
-                (PARENT, "equal_to", "DisplaySwitch.exe"),
-                (PARENT, "equal_to", "AtBroker.exe"),
-            ]
+                {"name": "command_line", "operator": "contains", "value": "sekurlsa"},
+            ],
         },
-        1,
-        "T1015/",
-    ),
-    (
-        "encoded powershell",
-        {
+        "actions": [
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 1.0},
+            },
+            {
+                "name": "append_to_property",
+                "params": {"name": "techniques", "value": "https://attack.mitre.org/techniques/T1075/"},
+            },
+        ],
+    },
+    {
+        "description": "Accessibility features",
+        "conditions": {
+            "any": [
+                {"name": "binary_ref.name", "operator": "equal_to", "value": "sethc.exe"},
+                {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "osk.exe"},
+                {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "Magnify.exe"},
+                {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "Narrator.exe"},
+                {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "DisplaySwitch.exe"},
+                {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "AtBroker.exe"},
+            ],
+        },
+        "actions": [
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 1},
+            },
+            {
+                "name": "append_to_property",
+                "params": {"name": "techniques", "value": "https://attack.mitre.org/techniques/T1015/"},
+            },
+        ],
+    },
+    {
+        "description": "encoded powershell",
+        "conditions": {
             "all": [
-                (BINARY, "equal_to", "powershell.exe"),
-                (COMMAND, "matches_regex", " -[Ee][Nn][Cc]"),
-            ]
+                {"name": "binary_ref.name", "operator": "equal_to", "value": "powershell.exe"},
+                {"name": "command_line", "operator": "matches_regex", "value": " -[Ee][Nn][Cc]"},
+            ],
         },
-        2,
-        "T1086/",
-    ),
-    (
-        "potential powershell downgrade",
-        {
+        "actions": [
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 2},
+            },
+            {
+                "name": "append_to_property",
+                "params": {"name": "techniques", "value": "https://attack.mitre.org/techniques/T1086/"},
+            },
+        ],
+    },
+    {
+        "description": "potential powershell downgrade",
+        "conditions": {
             "all": [
-                (BINARY, "equal_to", "powershell.exe"),
-                (COMMAND, "matches_regex", " -[Vv][Ee]"),
-            ]
+                {"name": "binary_ref.name", "operator": "equal_to", "value": "powershell.exe"},
+                {"name": "command_line", "operator": "matches_regex", "value": " -[Vv][Ee]"},
+            ],
         },
-        1,
-        "T1059/001/",
-    ),
-    ("net use", {"any": [(COMMAND, "contains", "net use")]}, 1, None),
-    (
-        "Account Discovery",
-        {
+        "actions": [
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 1},
+            },
+            {
+                "name": "append_to_property",
+                "params": {"name": "techniques", "value": "https://attack.mitre.org/techniques/T1059/001/"},
+            },
+        ],
+    },
+    {
+        "description": "net use",
+        "conditions": {
+            "any": [
+                {"name": "command_line", "operator": "contains", "value": "net use"},
+            ],
+        },
+        "actions": [
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 1},
+            },
+        ],
+    },
+    {
+        "description": "Account Discovery",
+        "conditions": {
             "any": [
-                (COMMAND, "contains", "net user"),
-                (COMMAND, "contains", "net group"),
-                (COMMAND, "contains", "net localgroup"),
-                (COMMAND, "contains", "whoami"),
-            ]
+                {"name": "command_line", "operator": "contains", "value": "net user"},
+                {"name": "command_line", "operator": "contains", "value": "net group"},
+                {"name": "command_line", "operator": "contains", "value": "net localgroup"},
+                {"name": "command_line", "operator": "contains", "value": "whoami"},
+            ],
         },
-        1,
-        "T1087/",
-    ),
-    (
-        "suspicious registry modification",
-        {
+        "actions": [
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 1},
+            },
+            {
+                "name": "append_to_property",
+                "params": {"name": "techniques", "value": "https://attack.mitre.org/techniques/T1087/"},
+            },
+        ],
+    },
+    {
+        "description": "suspicious registry modification",
+        "conditions": {
             "all": [
-                ("type", "equal_to", "windows-registry-key"),
-                ("key", "matches_regex", "^(.*)BackgroundAccessApplications"),
-            ]
+                {"name": "type", "operator": "equal_to", "value": "windows-registry-key"},
+                {"name": "key", "operator": "matches_regex", "value": "^(.*)BackgroundAccessApplications"},
+            ],
         },
-        1,
-        None,
-    ),
-    (
-        "binary in temp dir",
-        {
+        "actions": [
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 1},
+            },
+        ],
+    },
+    {
+        "description": "binary in temp dir",
+        "conditions": {
             "any": [
-                (FOLDER, "equal_to", "C:\\"),
-                (FOLDER, "matches_regex", r"C:\\Users\\[A-Za-z][A-Za-z0-9_]*\\AppData\\Local\\Temp"),
-                (FOLDER, "equal_to", r"C:\Windows\TEMP"),
-            ]
+                {"name": "binary_ref.parent_directory_ref.path", "operator": "equal_to", "value": "C:\\"},
+                {"name": "binary_ref.parent_directory_ref.path", "operator": "matches_regex", "value": "C:\\\\Users\\\\[A-Za-z][A-Za-z0-9_]*\\\\AppData\\\\Local\\\\Temp"},
+                {"name": "binary_ref.parent_directory_ref.path", "operator": "equal_to", "value": "C:\\Windows\\TEMP"},
+            ],
         },
-        2,
-        None,
-    ),
-    (
-        "MS Office spawns shell",
-        {
+        "actions": [
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 2},
+            },
+        ],
+    },
+    {
+        "description": "MS Office spawns shell",
+        "conditions": {
             "all": [
                 {
                     "any": [
-                        (BINARY, "equal_to", "cmd.exe"),
-                        (BINARY, "equal_to", "powershell.exe"),
-                    ]
+                        {"name": "binary_ref.name", "operator": "equal_to", "value": "cmd.exe"},
+                        {"name": "binary_ref.name", "operator": "equal_to", "value": "powershell.exe"},
+                    ],
                 },
                 {
                     "any": [
-                        (PARENT, "equal_to", "WINWORD.EXE"),
-                        (PARENT, "equal_to", "EXCEL.EXE"),
-                        (PARENT, "equal_to", "POWERPNT.EXE"),
-                        (PARENT, "equal_to", "MSACCESS.EXE"),
-                        (PARENT, "equal_to", "OUTLOOK.EXE"),
-                        (PARENT, "equal_to", "VISIO.EXE"),
-                    ]
+                        {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "WINWORD.EXE"},
+                        {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "EXCEL.EXE"},
+                        {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "POWERPNT.EXE"},
+                        {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "MSACCESS.EXE"},
+                        {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "OUTLOOK.EXE"},
+                        {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "VISIO.EXE"},
+                    ],
                 },
-            ]
+            ],
         },
-        2,
-        None,
-    ),
-    (
-        "node forks something that is not node",
-        {"all": [(PARENT, "equal_to", "node"), (BINARY, "not_equal_to", "node")]},
-        3,
-        None,
-    ),
-)
-
-
-def _as_conditions(node) -> dict:
-    if isinstance(node, tuple):
-        return dict(zip(("name", "operator", "value"), node))
-    return {kind: [_as_conditions(n) for n in nodes] for kind, nodes in node.items()}
+        "actions": [
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 2},
+            },
+        ],
+    },
+    {
+        "description": "node forks something that is not node",
+        "conditions": {
+            "all": [
+                {"name": "parent_ref.binary_ref.name", "operator": "equal_to", "value": "node"},
+                {"name": "binary_ref.name", "operator": "not_equal_to", "value": "node"},
+            ],
+        },
+        "actions": [
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 3},
+            },
+        ],
+    },
+]
 
 
 def shipped_rules() -> list[dict]:
-    """The shipped rules in the JSON layout users write their own rules in."""
-    rules = []
-    for description, conditions, score, page in SHIPPED_RULE_TABLE:
-        actions = [
-            {
-                "name": "increment_property",
-                "params": {"name": "x_suspicious_score", "value": score},
-            }
-        ]
-        if page:
-            actions.append(
-                {
-                    "name": "append_to_property",
-                    "params": {"name": "techniques", "value": TECHNIQUE + page},
-                }
-            )
-        rules.append(
-            {"description": description, "conditions": _as_conditions(conditions), "actions": actions}
-        )
-    return rules
+    """A copy of the shipped rules."""
+    return copy.deepcopy(SHIPPED_RULES)
 
 
 # -- condition operators ------------------------------------------------------------
@@ -233,7 +283,7 @@ def rule_register_operator(name: str, fn: Callable[[Column, object], Column], nu
 
 # -- actions: each returns the changed name -> column state ---------------------------
 
-State = dict[str, Column]
+State = dict[str, "Column | Appended | Increased"]
 
 
 def rule_set_property(state: State, name: str, value, hit: Column) -> State:
@@ -241,9 +291,25 @@ def rule_set_property(state: State, name: str, value, hit: Column) -> State:
     return {**state, name: F.when(hit, F.lit(value)).otherwise(old)}
 
 
+@dataclass(frozen=True)
+class Increased:
+    """A property that rules add to; the parts are summed pairwise, at the end."""
+
+    old: Column
+    parts: tuple[Column, ...]
+
+    def column(self) -> Column:
+        parts = list(self.parts)
+        while len(parts) > 1:
+            pairs = [a + b for a, b in zip(parts[::2], parts[1::2])]
+            parts = pairs + parts[len(parts) - len(parts) % 2 :]
+        return self.old + parts[0]
+
+
 def rule_increment_property(state: State, name: str, value: float, hit: Column) -> State:
-    old = state.get(name, F.lit(0))
-    return {**state, name: old + F.when(hit, F.lit(value)).otherwise(F.lit(0))}
+    held = state.get(name, F.lit(0))
+    held = held if isinstance(held, Increased) else Increased(held, ())
+    return {**state, name: Increased(held.old, (*held.parts, F.when(hit, F.lit(value)).otherwise(F.lit(0))))}
 
 
 def rule_decrement_property(state: State, name: str, value: float, hit: Column) -> State:
@@ -257,9 +323,29 @@ def append_token(tokens: Column, token: str | Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.filter(parts, lambda t: t != ""))), " ")
 
 
+@dataclass(frozen=True)
+class Appended:
+    """A property to which rules append tokens; they are put in once, at the end."""
+
+    old: Column
+    tokens: tuple[Column, ...]
+
+    def column(self) -> Column:
+        new = F.array_compact(F.array(*self.tokens))
+
+        def joined(given: Column) -> Column:
+            old, added = given["old"], given["new"]
+            parts = F.filter(F.concat(F.split(F.coalesce(old, F.lit("")), " "), added), lambda t: t != "")
+            return F.when(F.size(added) == 0, old).otherwise(F.array_join(F.array_sort(F.array_distinct(parts)), " "))
+
+        return let(F.struct(self.old.cast("string").alias("old"), new.alias("new")), joined)
+
+
 def rule_append_to_property(state: State, name: str, value: str, hit: Column) -> State:
-    old = state.get(name, F.lit(""))
-    return {**state, name: F.when(hit, append_token(old, value)).otherwise(old)}
+    """Add a token to a space-separated set, kept in sorted order."""
+    held = state.get(name, F.lit(""))
+    held = held if isinstance(held, Appended) else Appended(held, ())
+    return {**state, name: Appended(held.old, (*held.tokens, F.when(hit, F.lit(value))))}
 
 
 ACTIONS = {
@@ -270,6 +356,10 @@ ACTIONS = {
 }
 
 
+#: What an action may add to without making a column of it first.
+KEPT_OPEN = {"append_to_property": Appended, "increment_property": Increased, "decrement_property": Increased}
+
+
 # -- compilation ----------------------------------------------------------------------
 
 
@@ -288,6 +378,10 @@ def rules_compile(rules: Iterable[dict]) -> list[tuple[Callable[[State], Column]
     """
     types: dict[str, str] = {}
 
+    def names(node: dict) -> set[str]:
+        below = [n for kind in ("any", "all") for n in node.get(kind, [])]
+        return set().union(*map(names, below)) if "name" not in node else {node["name"]}
+
     def condition(node: dict) -> Callable[[State], Column]:
         for kind, fold in (("any", operator.or_), ("all", operator.and_)):
             if kind in node:
@@ -303,7 +397,12 @@ def rules_compile(rules: Iterable[dict]) -> list[tuple[Callable[[State], Column]
         missing = F.lit("") if kind == "text" else F.lit(None).cast("double")
         return lambda state: test(state.get(name, missing), literal)
 
-    return [(condition(rule["conditions"]), rule["actions"]) for rule in rules]
+    compiled = []
+    for rule in rules:
+        test = condition(rule["conditions"])
+        test.reads = names(rule["conditions"])
+        compiled.append((test, rule["actions"]))
+    return compiled
 
 
 def apply_compiled(state: State, compiled: Sequence) -> State:
@@ -311,8 +410,12 @@ def apply_compiled(state: State, compiled: Sequence) -> State:
     for condition, actions in compiled:
         hit = condition(state)
         for action in actions:
+            name = action["params"]["name"]
+            held, kept = state.get(name), KEPT_OPEN.get(action["name"])
+            if isinstance(held, (Appended, Increased)) and not (kept and isinstance(held, kept)):
+                state = {**state, name: held.column()}
             state = ACTIONS[action["name"]](state, **action["params"], hit=hit)
-    return state
+    return {name: value.column() if isinstance(value, (Appended, Increased)) else value for name, value in state.items()}
 
 
 def score_rules(
@@ -327,7 +430,15 @@ def score_rules(
     before: State = {name: c(name) for name in df.columns}
     before.setdefault("x_suspicious_score", F.lit(0))
     before["x_suspicious_score"] = before["x_suspicious_score"].cast("double")
-    after = apply_compiled(before, compiled)
+    # where a condition reads what earlier rules changed, these changes become columns first
+    state, changed, waiting, rows = before, set(), [], df
+    for test, actions in compiled:
+        if test.reads & changed:
+            rows = rows.select(*[column.alias(name) for name, column in apply_compiled(state, waiting).items()])
+            state, changed, waiting = {name: c(name) for name in rows.columns}, set(), []
+        waiting.append((test, actions))
+        changed |= {action["params"]["name"] for action in actions}
+    after = apply_compiled(state, waiting)
     if not keep_techniques and "techniques" not in df.columns:
         after.pop("techniques", None)
-    return df.select(*[column.alias(name) for name, column in after.items()])
+    return rows.select(*[column.alias(name) for name, column in after.items()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkhunt.functions.whois_rules import COUNTRY_CODES, LINE_RULES, MONTHS, TAG_RENAMES
@@ -91,14 +91,13 @@ def match_lines(df: DataFrame, line: str, rules: Sequence[tuple] = LINE_RULES) -
     )
 
 
-def rules_from_table(rules_df: DataFrame, limit: int = 10_000) -> list[tuple]:
-    """A rule table as the list :func:`match_lines` takes; refused above ``limit`` rows.
+def rules_from_table(rules_df: DataFrame) -> list[tuple]:
+    """A rule table as the list :func:`match_lines` takes.
 
-    Every rule becomes one branch of an expression, so the table must be small.
+    Every rule becomes one branch of an expression: rules are written by hand, and their
+    number does not grow with the lines.
     """
-    rows = rules_df.orderBy("rule_no").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} whois rules")
+    rows = rules_df.orderBy("rule_no").collect()
     return [(r["regex"], r["tag"], r["result"] or "", r["flags"] or "") for r in rows]
 
 
@@ -107,28 +106,70 @@ def clean_line(line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(line, r"\s*\z", ""), r"\.\z", "")
 
 
+def _glued(matched: DataFrame, key: str, rules: Sequence[tuple]) -> DataFrame:
+    """(key, line_no, n, line and its rule) of lines that take in the ones after them.
+
+    An unfinished line takes the next one, once after a wrap rule, again and again while
+    the result still asks to be joined.  Every unfinished line is completed as if it were
+    free; of lines that overlap the first one counts, then the first one after its end.
+    """
+    lines = matched.select(c(key), F.col("line_no").alias("__at"), F.col("raw").alias("__next"))
+    open_lines = matched.where(F.col("tag").isin(WRAP, JOIN)).select(
+        c(key), "line_no", "line", "tag", F.lit(1).alias("n"), F.lit(False).alias("wrapped")
+    )
+    done: DataFrame | None = None
+    while True:
+        step = open_lines.withColumn("__at", F.col("line_no") + F.col("n")).join(lines, [key, "__at"])
+        gap = F.when(F.col("tag") == WRAP, " ").otherwise("")
+        text = step.select(
+            c(key), "line_no", F.concat("line", gap, "__next").alias("line"), (F.col("n") + 1).alias("n"),
+            (F.col("wrapped") | (F.col("tag") == WRAP)).alias("wrapped"),
+        )
+        longer = cut_lineage(match_lines(text, "line", rules))
+        done = longer if done is None else done.unionByName(longer)
+        open_lines = longer.where((F.col("tag") == JOIN) | ((F.col("tag") == WRAP) & ~F.col("wrapped"))).select(
+            c(key), "line_no", "line", "tag", "n", "wrapped"
+        )
+        if open_lines.isEmpty():
+            break
+    place = [c(key), F.col("line_no")]
+    longest = F.max_by(F.struct("n", "line", "rule_no", "tag", "value", "flags"), "n")
+    whole = cut_lineage(done.groupBy(*place).agg(longest.alias("g")).select(*place, "g.*"))
+    before = Window.partitionBy(c(key)).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = Window.partitionBy(c(key)).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    fresh = F.coalesce(F.max(F.col("line_no") + F.col("n") - 1).over(before) < F.col("line_no"), F.lit(True))
+    runs = whole.withColumn("__new", fresh).withColumn("__run", F.count_if("__new").over(up_to))
+    chosen = F.aggregate(
+        F.sort_array(F.collect_list(F.struct(F.col("line_no").cast("long").alias("line_no"), F.col("n").cast("long").alias("n")))),
+        F.struct(F.lit(-1).cast("long").alias("end"), F.array().cast("array<bigint>").alias("heads")),
+        lambda held, x: F.when(
+            x["line_no"] > held["end"],
+            F.struct((x["line_no"] + x["n"] - 1).alias("end"), F.array_append(held["heads"], x["line_no"]).alias("heads")),
+        ).otherwise(held),
+    )
+    heads = runs.groupBy(c(key), F.col("__run")).agg(chosen["heads"].alias("h")).select(c(key), F.explode("h").alias("line_no"))
+    return whole.join(heads, [key, "line_no"], "left_semi")
+
+
 def whois_multiline(
     lines_df: DataFrame, key: str = "ip", rules: Sequence[tuple] = LINE_RULES
 ) -> DataFrame:
     """Lines after gluing wrapped lines and turning server lists into ``ns`` rows.
 
     Result: (key, line_no, line, tag, value, flags); lines without a rule are left out.
-    Wrapped lines meet their successor by an equi-join on the next line number, server
-    lists are cut into segments by a chunked running count, so no record is worked on
-    by one task as a whole.
+    Unfinished lines meet their successors by equi-joins on the next line number, server
+    lists are cut into segments by a chunked running count.  A flush-left line without a
+    label ends a strict list and is read by its own rule; a second line that opens a list
+    opens a new one.
     """
     raw = lines_df.select(
         c(key), "line_no", F.col("line").alias("raw"), clean_line(F.col("line")).alias("line")
     )
     matched = cut_lineage(match_lines(raw, "line", rules))
-    nxt = matched.select(c(key), (F.col("line_no") - 1).alias("line_no"), F.col("raw").alias("next"))
-    glue = matched.where(F.col("tag").isin(WRAP, JOIN)).join(nxt, [key, "line_no"])
-    gap = F.when(F.col("tag") == WRAP, " ").otherwise("")
-    text = glue.select(c(key), "line_no", F.concat("line", gap, "next").alias("line"))
-    glued = match_lines(text, "line", rules).select(
-        c(key), "line_no", F.struct("line", "rule_no", "tag", "value", "flags").alias("glued")
-    )
-    taken = glue.select(c(key), (F.col("line_no") + 1).alias("line_no"), F.lit(True).alias("used"))
+    glue = _glued(matched, key, rules)
+    glued = glue.select(c(key), "line_no", F.struct("line", "rule_no", "tag", "value", "flags").alias("glued"))
+    after = F.sequence(F.col("line_no") + 1, F.col("line_no") + F.col("n") - 1)
+    taken = glue.select(c(key), F.explode(after).alias("line_no"), F.lit(True).alias("used"))
     own = F.struct("line", "rule_no", "tag", "value", "flags")
     state = (
         matched.join(glued, [key, "line_no"], "left")
@@ -212,18 +253,21 @@ def whois_parse(
 def first_wins_tag(parsed_df: DataFrame, key: str = "ip") -> DataFrame:
     """One value per tag: the first one, or the last one for rules with flags.
 
-    Name servers are a list, not a value, and are left out.  The first value of an
-    unflagged rule is kept until a flagged rule overwrites it.
+    The first value of an unflagged rule is kept until a flagged rule overwrites it.
+    Name servers are a list: all of them, in line order, with commas between.
     """
-    rows = parsed_df.where(
-        (F.col("value") != "") & ~F.col("tag").isin("ns", SERVER_LIST, WRAP, JOIN)
+    given = parsed_df.where((F.col("value") != "") & ~F.col("tag").isin(SERVER_LIST, WRAP, JOIN))
+    rows = given.where("tag <> 'ns'")
+    servers = given.where("tag = 'ns'").groupBy(c(key), F.col("tag")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "value"))), lambda s: s["value"]), ",").alias("value")
     )
     flagged = F.col("flags") != ""
     picked = rows.groupBy(c(key), F.col("tag")).agg(
         F.max_by("value", F.when(flagged, F.col("line_no"))).alias("last_flagged"),
         F.min_by("value", F.when(~flagged, F.col("line_no"))).alias("first_plain"),
     )
-    return picked.select(c(key), "tag", F.coalesce("last_flagged", "first_plain").alias("value"))
+    single = picked.select(c(key), "tag", F.coalesce("last_flagged", "first_plain").alias("value"))
+    return single.unionByName(servers)
 
 
 def whois_tag_rename(values_df: DataFrame, key: str = "ip") -> DataFrame:

@@ -8,20 +8,13 @@ from pyspark.sql import functions as F
 from sparkhunt.operators.lookup import totals_join
 from sparkhunt.session import cut_lineage
 
-_MAX_ROUNDS = 200
-_SMALL_ROWS = 500_000
 
 
 def _with_smallest(pairs: DataFrame, rows: int) -> DataFrame:
-    """Add to (u, v) rows the smallest of u and its neighbours.
-
-    Hubs are spread over tasks, except in tables so small that one task could hold all.
-    """
+    """Add to (u, v) rows the smallest of u and its neighbours; hubs are spread over tasks."""
     smallest = pairs.groupBy("u").agg(
         F.min("v").alias("least"), F.count(F.lit(1)).alias("__rows")
     ).select("u", F.least("least", "u").alias("m"), "__rows")
-    if rows <= _SMALL_ROWS:
-        return pairs.join(smallest.drop("__rows"), "u")
     smallest = cut_lineage(smallest)
     return totals_join(pairs, smallest, ["u"], "__rows", how="inner", whole=rows)
 
@@ -36,7 +29,8 @@ def _fingerprint(pairs: DataFrame) -> tuple:
 def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component): the smallest node that can be reached, for every node.
 
-    Alternates two steps until nothing changes (logarithmically many rounds): neighbours
+    Alternates two steps until nothing changes (a pair only ever moves to smaller nodes,
+    so there is an end; in practice logarithmically many rounds): neighbours
     larger than a node are linked to its smallest neighbour, then smaller ones are.
     Each round is written to the checkpoint folder.
     """
@@ -46,9 +40,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         .distinct()
     )
     before = _fingerprint(pairs)
-    for _ in range(_MAX_ROUNDS):
-        if before[0] == 0:
-            break
+    while before[0]:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = cut_lineage(
             _with_smallest(both, 2 * before[0])
@@ -65,8 +57,6 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError("components did not settle")
     roots = pairs.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     return nodes.select("node").distinct().join(roots, "node", "left").select(
         "node", F.coalesce("component", "node").alias("component")

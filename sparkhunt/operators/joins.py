@@ -19,6 +19,7 @@ from sparkhunt.functions.whois import ptr_org_fields
 from sparkhunt.names import c
 from sparkhunt.operators.filters import entity_type_dispatch
 from sparkhunt.operators.lookup import lookup_join, totals_join
+from sparkhunt.session import cut_lineage
 
 
 def assemble_auth_requests(
@@ -54,7 +55,7 @@ def guid_totals(df: DataFrame, key: str = "x_guid") -> DataFrame:
 
 def guid_totals_backjoin(df: DataFrame, key: str = "x_guid") -> DataFrame:
     """Add ``connections``, the total of the row's process id; 0 without an id."""
-    totals = guid_totals(df, key).where(c(key).isNotNull()).drop("__active")
+    totals = cut_lineage(guid_totals(df, key).where(c(key).isNotNull()).drop("__active"))
     joined = totals_join(df, totals, [key], "__rows")
     return joined.withColumn("connections", F.coalesce("connections", F.lit(0)))
 
@@ -63,17 +64,20 @@ def attach_train_clusters(
     test_df: DataFrame, src_df: DataFrame, usr_df: DataFrame, dst_df: DataFrame
 ) -> DataFrame:
     """Cluster numbers of source, user and destination; NULL for unseen ones."""
-    with_src = lookup_join(test_df, src_df.select("source", "c_src"), "source")
-    with_usr = lookup_join(with_src, usr_df.select("username", "c_usr"), "username")
-    return lookup_join(with_usr, dst_df.select("destination", "c_dst"), "destination")
+    return _with_clusters(test_df, src_df, usr_df, dst_df, "left")
+
+
+def _with_clusters(df: DataFrame, src_df: DataFrame, usr_df: DataFrame, dst_df: DataFrame, how: str) -> DataFrame:
+    """The cluster tables are written first: each is measured and then joined."""
+    for key, cluster, table in (("source", "c_src", src_df), ("username", "c_usr", usr_df), ("destination", "c_dst", dst_df)):
+        df = lookup_join(df, cut_lineage(table.select(key, cluster)), key, how)
+    return df
 
 
 def train_clusters_inner(
     train_df: DataFrame, src_df: DataFrame, usr_df: DataFrame, dst_df: DataFrame
 ) -> DataFrame:
-    with_src = lookup_join(train_df, src_df.select("source", "c_src"), "source", "inner")
-    with_usr = lookup_join(with_src, usr_df.select("username", "c_usr"), "username", "inner")
-    return lookup_join(with_usr, dst_df.select("destination", "c_dst"), "destination", "inner")
+    return _with_clusters(train_df, src_df, usr_df, dst_df, "inner")
 
 
 def benign_triplets(train_df: DataFrame) -> DataFrame:
@@ -89,7 +93,7 @@ def fill_unmatched(df: DataFrame) -> DataFrame:
 
 def triplet_novelty_join(test_df: DataFrame, triplets_df: DataFrame) -> DataFrame:
     """Status of the test rows: that of their triplet in training, else malicious."""
-    seen = lookup_join(test_df.drop("status"), triplets_df, ["c_usr", "c_src", "c_dst"])
+    seen = lookup_join(test_df.drop("status"), cut_lineage(triplets_df), ["c_usr", "c_src", "c_dst"])
     return fill_unmatched(seen)
 
 
@@ -107,6 +111,7 @@ def intel_ip_enrich(
 ) -> DataFrame:
     """Add reputation fields ``x_{attr}_{field}`` for each address column present."""
     parsed = intel_df.select("ip", sans_fields(F.col("doc")).alias("__f")).where("__f is not null")
+    parsed = cut_lineage(parsed.groupBy("ip").agg(F.min("__f").alias("__f")))  # one answer per address
     for attr in [a for a in attrs if a in df.columns]:
         fields = parsed.select(
             F.col("ip").alias(attr), *[F.col(f"__f.{n}").alias(f"x_{attr}_{n}") for n in IP_FIELDS]
@@ -126,6 +131,9 @@ def intel_observable_enrich(df: DataFrame, intel_df: DataFrame) -> DataFrame:
         "x_observable",
         *[F.col(f"__f.{n}").alias(f"x_xfe_{n}") for n in INDICATOR_FIELDS],
     )
+    found = [n for n in fields.columns if n not in ("x_endpoint", "x_observable")]
+    one = fields.groupBy("x_endpoint", "x_observable").agg(F.min(F.struct(*found)).alias("f"))
+    fields = cut_lineage(one.select("x_endpoint", "x_observable", "f.*"))  # one answer per observable
     joined = lookup_join(entity_type_dispatch(df), fields, ["x_endpoint", "x_observable"])
     return joined.drop("x_endpoint", "x_observable")
 
@@ -142,7 +150,7 @@ def ip_domain_enrich(
     organisations = whois_df.groupBy("ip").agg(
         F.max(cut("organization")).alias("x_domain_organization")
     )
-    lookup = names.join(organisations, "ip", "full").withColumnRenamed("ip", attr)
+    lookup = cut_lineage(names.join(organisations, "ip", "full").withColumnRenamed("ip", attr))
     new = ("x_domain_name", "x_domain_organization")
     return lookup_join(df.drop(*new), lookup, attr).withColumns(
         {n: F.coalesce(n, F.lit("")) for n in new}
@@ -152,7 +160,7 @@ def ip_domain_enrich(
 def hostname_resolve(df: DataFrame, dns_df: DataFrame, attr: str = "hostname") -> DataFrame:
     """Add ``addr`` from a DNS snapshot; NULL for names it does not hold."""
     answers = dns_df.groupBy(F.col("hostname").alias(attr)).agg(F.min("addr").alias("addr"))
-    return lookup_join(df, answers, attr)
+    return lookup_join(df, cut_lineage(answers), attr)
 
 
 # -- address ranges ------------------------------------------------------------------------

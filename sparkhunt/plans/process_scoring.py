@@ -15,6 +15,7 @@ from sparkhunt.operators.filters import outlier_mask
 from sparkhunt.operators.joins import guid_totals
 from sparkhunt.operators.lookup import totals_join
 from sparkhunt.operators.ordering import row_positions
+from sparkhunt.session import cut_lineage
 
 _COUNTS = ("x_opened_connection_count", "opened_connection_ref_0.id")
 
@@ -31,13 +32,13 @@ def _bounds(totals: DataFrame, key: str, k: float) -> Column:
     """
     x = F.when(c(key).isNotNull(), F.col("connections")).otherwise(F.lit(0)).cast("double")
     m = F.col("__active")
-    sums = totals.agg(
-        F.sum("__rows").cast("double").alias("n"),
-        F.coalesce(F.sum(x * m), F.lit(0.0)).alias("s1"),
-        F.coalesce(F.sum(x * x * m), F.lit(0.0)).alias("s2"),
-    )
-    mean = F.col("s1") / F.col("n")
-    variance = (F.col("s2") - F.col("s1") * mean) / F.nullif(F.col("n") - 1, F.lit(0.0))
+    whole = totals.agg((F.sum(x * m) / F.sum("__rows")).alias("mean")).select("mean").scalar()
+    known = totals.withColumn("__mean", whole)
+    # squared distances from the mean: nothing cancels, however many rows there are
+    away = (x - F.col("__mean")) ** 2 * m + F.col("__mean") ** 2 * (F.col("__rows") - m)
+    sums = known.agg(F.sum("__rows").cast("double").alias("n"), F.sum(away).alias("away"), F.max("__mean").alias("mean"))
+    mean = F.col("mean")
+    variance = F.col("away") / F.nullif(F.col("n") - 1, F.lit(0.0))
     cutoff = F.when(variance.isNotNull(), F.sqrt(F.greatest(variance, F.lit(0.0))) * k)
     return sums.select(
         F.struct((mean - cutoff).alias("lower"), (mean + cutoff).alias("upper")).alias("v")
@@ -54,7 +55,7 @@ def score_network_outliers(df: DataFrame, k: float = 3, key: str = "x_guid") ->
         df = df.withColumn("x_suspicious_score", F.lit(0.0))
     if key not in df.columns or not any(n in df.columns for n in _COUNTS):
         return df
-    totals = guid_totals(df, key)
+    totals = cut_lineage(guid_totals(df, key))  # read for the join, its hot keys and the bounds
     known = totals.where(c(key).isNotNull()).drop("__active")
     joined = totals_join(df, known, [key], "__rows")
     score = F.when(_has_command(df), F.coalesce("connections", F.lit(0))).otherwise(F.lit(0))

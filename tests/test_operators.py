@@ -74,7 +74,7 @@ def test_dbscan_mixed(spark):
         got = {r["id"]: r["cluster"] for r in db.dbscan_mixed(df, ["a", "b", "n"], eps).collect()}
         assert [got[i] for i in range(len(rows))] == want
         counts = {r["id"]: r["n_neighbors"] for r in db.gower_pair_join(df, ["a", "b", "n"], eps, "id").collect()}
-        assert [counts[i] for i in range(len(rows))] == [min(len(a), 5) for a in around]
+        assert [counts[i] for i in range(len(rows))] == [len(a) for a in around]
 
 
 def test_components(spark):
@@ -232,3 +232,72 @@ def test_plot_choice():
 def test_unknown_analytic(spark):
     with pytest.raises(KeyError):
         apply_analytic("nope", spark.range(1))
+
+
+def multiline(spark, lines, rules=None):
+    from sparkhunt.functions import whois_rules
+    from sparkhunt.functions.whois import whois_multiline
+
+    df = spark.createDataFrame([("a", i, x) for i, x in enumerate(lines)], "ip string, line_no int, line string")
+    out = whois_multiline(df, rules=rules or whois_rules.LINE_RULES).collect()
+    return sorted((r.line_no, r.tag, r.value) for r in out)
+
+
+def test_unfinished_whois_lines(spark):
+    assert multiline(spark, ["Registrant:", "Registrar:", "Creation Date: 2001-01-01"]) == [(2, "created", "2001-01-01")]
+    # four in a row: the first takes the second, the third the fourth
+    assert multiline(spark, ["Registrant:"] * 4 + ["Creation Date: 2001-01-01"]) == [(4, "created", "2001-01-01")]
+    assert multiline(spark, ["Creation Date: 2001-01-01", "Registrar:"]) == [(0, "created", "2001-01-01")]
+    rules = [(r"^a.*\+$", "@join", "", ""), (r"^(a.*)$", "owner", "%1", ""), (r"^b=(.*)$", "name", "%1", "")]
+    lines = ["a+", "b+", "c", "b=1", "a+", "a+", "b=2", "b=3"]
+    assert multiline(spark, lines, rules) == [(0, "owner", "a+b+c"), (3, "name", "1"), (4, "owner", "a+a+b=2"), (7, "name", "3")]
+
+
+def test_a_flush_left_line_ends_a_strict_server_list_and_is_read(spark):
+    # recorded choice: such a line is not swallowed
+    got = multiline(spark, ["Name Server ........ NS9", "Creation Date: 2001-01-01", "Name Server ........ NS8"])
+    assert (1, "created", "2001-01-01") in got and [v for _, t, v in got if t == "ns"] == ["ns9", "ns8"]
+
+
+def test_many_append_rules_compile(spark):
+    from sparkhunt.functions.rules import score_rules
+
+    rules = [
+        {
+            "conditions": {"any": [{"name": "command_line", "operator": "contains", "value": f"w{i % 7}"}]},
+            "actions": [
+                {"name": "append_to_property", "params": {"name": "techniques", "value": f"t{i:03d}"}},
+                {"name": "increment_property", "params": {"name": "x_suspicious_score", "value": 1}},
+            ],
+        }
+        for i in range(200)
+    ]
+    rules.append(
+        {
+            "conditions": {"all": [{"name": "x_suspicious_score", "operator": "greater_than", "value": 20}]},
+            "actions": [{"name": "set_property", "params": {"name": "level", "value": "high"}}],
+        }
+    )
+    df = spark.createDataFrame([("w0",), ("w1 w2",), (None,)], "command_line string")
+    out = {r.command_line: r for r in score_rules(df, rules, keep_techniques=True).collect()}
+    assert out["w0"].techniques == " ".join(f"t{i:03d}" for i in range(200) if i % 7 == 0)
+    assert out["w1 w2"].x_suspicious_score == 58 and out["w1 w2"].level == "high"
+    assert out[None].techniques == "" and out[None].level is None
+
+
+def test_neighbour_counts_are_exact(spark):
+    rng = random.Random(9)
+    points = [(i, *(rng.choice([0.0, 0.1, 0.5, 1.0, 2.0, 3.0]) for _ in range(5))) for i in range(150)]
+    df = spark.createDataFrame(points, "id int, a double, b double, c double, d double, e double")
+    out = {r.id: r.n_neighbors for r in db.eps_neighbor_join(df, list("abcde"), 1.5, "id").collect()}
+    near = lambda p, q: sum((x - y) ** 2 for x, y in zip(p[1:], q[1:])) <= 1.5**2
+    assert out == {p[0]: sum(near(p, q) for q in points) for p in points}
+
+
+def test_an_indicator_named_twice_does_not_repeat_rows(spark):
+    from sparkhunt.operators.joins import intel_ip_enrich
+
+    df = spark.createDataFrame([("1.1.1.1",), ("2.2.2.2",)], "`src_ref.value` string")
+    doc = '{"ip": {"attacks": 3, "ascountry": "US", "asname": "N"}}'
+    intel = spark.createDataFrame([("1.1.1.1", doc), ("1.1.1.1", doc)], "ip string, doc string")
+    assert intel_ip_enrich(df, intel).count() == 2

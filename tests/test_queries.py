@@ -10,8 +10,6 @@ from queryset.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-#: Queries with a SQL text that take long; ``python -m queryset.compare`` runs them all.
-LONG = {"lm_cluster_detect", "dbscan_mixed", "dbscan_numeric"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -21,7 +19,7 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - LONG))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, duck, name):
     assert compare(spark, duck, FOLDER, name) is None
 
