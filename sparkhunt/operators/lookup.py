@@ -74,31 +74,17 @@ def salted_join(
     """Equi-join ``big`` with ``keyed`` on ``keys``, spreading hot keys.
 
     ``hot`` holds the column ``__h`` (hash of the key columns) and has a bounded
-    number of rows by construction.
+    number of rows by construction; they become a list in the plan, and without any the
+    join is a plain one.
     """
     keys = list(keys)
-    hot = (hot_keys(big, keys) if hot is None else hot).select("__h", F.lit(True).alias("__hot"))
-    hashed = F.xxhash64(*[c(k) for k in keys])
-    left = (
-        big.withColumn("__salt0", row_salt(big))
-        .withColumn("__h", hashed)
-        .join(F.broadcast(hot), "__h", "left")
-        .withColumn("__salt", F.when(F.col("__hot"), F.col("__salt0")).otherwise(F.lit(0)))
-        .drop("__salt0", "__h", "__hot")
-    )
-    right = (
-        keyed.withColumn("__h", hashed)
-        .join(F.broadcast(hot), "__h", "left")
-        .withColumn(
-            "__salt",
-            F.explode(
-                F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop("__h", "__hot")
-    )
+    found = [r["__h"] for r in (hot_keys(big, keys) if hot is None else hot).select("__h").collect()]
+    if not found:
+        return big.join(keyed, keys, how)
+    is_hot = F.xxhash64(*[c(k) for k in keys]).isin(found)
+    left = big.withColumn("__salt", F.when(is_hot, row_salt(big)).otherwise(F.lit(0)))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = keyed.withColumn("__salt", F.explode(copies))
     return left.join(right, [*keys, "__salt"], how).drop("__salt")
 
 
