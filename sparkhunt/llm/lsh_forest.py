@@ -242,7 +242,7 @@ def jaccard_join(
     trees: int = 32,
     depth: int = 8,
     recall: float = 0.999,
-    chunk: int = 256,
+    chunk: int = 512,
     seed: int = 23,
 ) -> DataFrame:
     """(doc_id, class_id, n_links) for every row of ``docs``.
@@ -279,7 +279,7 @@ def one_of_each(
     trees: int = 32,
     depth: int = 8,
     recall: float = 0.999,
-    chunk: int = 256,
+    chunk: int = 512,
     seed: int = 23,
 ) -> DataFrame:
     """The rows of ``docs`` that stay when of each class of :func:`jaccard_join` one is kept.
