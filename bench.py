@@ -70,6 +70,8 @@ def main() -> None:
         "histogram10": lambda: agg.histogram10(tables("lineitem"), "l_extendedprice"),
         "kmeans_assign": lambda: QUERIES["kmeans_assign"](spark, folder),
         "dbscan_numeric": lambda: dbscan_numeric(read("v_points"), ["x", "y"], 1.2, 5, "c_custkey"),
+        "knn_join": lambda: QUERIES["knn_join"](spark, folder),
+        "lm_cluster_detect": lambda: QUERIES["lm_cluster_detect"](spark, folder),
         "random_walks": lambda: gr.random_walks(gr.adjacency(gr.graph_edges(read("v_auth", **AUTH))), 10),
     }
     seconds: dict[str, float] = {}

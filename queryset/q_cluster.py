@@ -35,7 +35,23 @@ def _centroids(t):
     return start.agg(*[F.avg(n).alias(n) for n in _COLS])
 
 
-@query("kmeans_cluster")
+def _moved(n: int) -> str:
+    """SQL of the assignments after the centroids moved ``n`` times."""
+    out = _ASSIGN.rstrip()
+    for i in range(n):
+        before = f"asg{i}" if i else "asg"
+        out += f""",
+cen{i + 1} as (select cluster, avg(a) as a, avg(b) as b, avg(c) as c from {before} group by cluster),
+asg{i + 1} as (select ln.*, (select arg_min(cluster, struct_pack(d := (ln.a - z.a) ** 2 + (ln.b - z.b) ** 2 + (ln.c - z.c) ** 2, i := cluster)) from cen{i + 1} z) as cluster from ln)"""
+    return out + f" select id, cluster from asg{n}"
+
+
+@query("kmeans_cluster", _moved(2))
+def _(t):
+    return km.kmeans_cluster(_lines(t), _COLS, start=_centroids(t), rounds=2).select("id", "cluster")
+
+
+@query("kmeans_cluster_fit")
 def _(t):
     return km.kmeans_cluster(_lines(t), _COLS, 8, 0)
 
@@ -51,7 +67,7 @@ def _(t):
     return km.kmeans_update(assigned, _COLS).select("cluster", *[F.round(n, 6).alias(n) for n in _COLS])
 
 
-@query("cluster_auto")
+@query("cluster_auto_kmeans")
 def _(t):
     return clustering.cluster_auto(_lines(t).drop("id"), method="kmeans", k=4)
 
@@ -95,6 +111,12 @@ def _(t):
     return db.dbscan_numeric(t("v_points"), ["x", "y"], _EPS, 5, "c_custkey").select("c_custkey", "cluster")
 
 
+@query("cluster_auto", _DB + "select pt.id as c_custkey, coalesce(cluster, -1) as cluster from pt left join lab using (id)")
+def _(t):
+    out = clustering.cluster_auto(t("v_points"), ["x", "y"], method="dbscan", key="c_custkey", eps=_EPS, min_samples=5)
+    return out.select("c_custkey", "cluster")
+
+
 @query(
     "cluster_numbering",
     "with n as (select o_custkey, min(o_orderkey) as first_core from orders group by o_custkey) select o_custkey, first_core, cast(row_number() over (order by first_core) - 1 as int) as cluster from n",
@@ -152,17 +174,17 @@ def _train(t):
     return fl.split_by_status(t("v_auth", **AUTH_NAMES), "benign")
 
 
-@query("source_clusters")
+@query("source_clusters_fit")
 def _(t):
     return lm.source_clusters(_train(t), 6)
 
 
-@query("user_clusters")
+@query("user_clusters_fit")
 def _(t):
     return lm.user_clusters(_train(t), 6)
 
 
-@query("destination_clusters")
+@query("destination_clusters_fit")
 def _(t):
     return lm.destination_clusters(_train(t), 6)
 
@@ -282,20 +304,45 @@ select {_LIST} from train union all select {_LIST} from scored"""
 )
 
 
-@query("lm_cluster_detect", _FULL)
+def _first_three(profile, entity, distincts):
+    scaled, features = lm.scaled_profile(profile, distincts)
+    first = scaled.orderBy(entity).limit(3).withColumn("cluster", F.row_number().over(_by(entity)) - 1)
+    return first.select("cluster", *[c(f) for f in features])
+
+
+def _three_centroids(train):
+    return (
+        _first_three(agg.source_profile(train), "source", ["F1"]),
+        _first_three(agg.user_profile(train), "username", ["F1", "F2"]),
+        _first_three(agg.destination_profile(train), "destination", ["F1", "F2"]),
+    )
+
+
+_TABLES = _FULL[: _FULL.index("\nrq as (")].rstrip(",")
+
+
+@query("source_clusters", _TABLES + " select source, c_src from src_tab")
 def _(t):
     train = _train(t)
+    return lm.source_clusters(train, 3, centroids=_three_centroids(train)[0])
 
-    def first_three(profile, entity, distincts):
-        scaled, features = lm.scaled_profile(profile, distincts)
-        first = scaled.orderBy(entity).limit(3).withColumn("cluster", F.row_number().over(_by(entity)) - 1)
-        return first.select("cluster", *[c(f) for f in features])
 
-    centroids = (
-        first_three(agg.source_profile(train), "source", ["F1"]),
-        first_three(agg.user_profile(train), "username", ["F1", "F2"]),
-        first_three(agg.destination_profile(train), "destination", ["F1", "F2"]),
-    )
+@query("user_clusters", _TABLES + " select username, c_usr from usr_tab")
+def _(t):
+    train = _train(t)
+    return lm.user_clusters(train, 3, centroids=_three_centroids(train)[1])
+
+
+@query("destination_clusters", _TABLES + " select destination, c_dst from dst_tab")
+def _(t):
+    train = _train(t)
+    return lm.destination_clusters(train, 3, centroids=_three_centroids(train)[2])
+
+
+@query("lm_cluster_detect", _FULL)
+def _(t):
+    train = _train(t)
+    centroids = _three_centroids(train)
     out = lm.lm_cluster_detect(observations(t), users(t), connections(t), 3, 3, 3, centroids=centroids)
     return out.select(*_LM_COLUMNS)
 

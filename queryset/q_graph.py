@@ -119,14 +119,41 @@ def _vectors(t):
     return gr.node_embeddings(gr.random_walks(gr.adjacency(_edges(t)), 3))
 
 
-@query("node_embeddings")
+_WALKS = _ADJ + """,
+s1 as (select src || '#1' as walk_id, src as node, degree, [src] as path from deg)""" + "".join(
+    f""",
+s{i + 1} as (select w.walk_id, a.neighbor as node, a.neighbor_degree as degree, list_append(w.path, a.neighbor) as path
+  from s{i} w join adj a on a.node = w.node and a.pos = cast('0x' || substr(md5('0|' || w.walk_id || '|{i}'), 1, 8) as bigint) % w.degree)"""
+    for i in (1, 2)
+)
+_VECTORS = _WALKS + """,
+stood as (select walk_id, unnest(range(1, len(path) + 1)) as i, path from s3),
+seen as (select a.path[a.i] as u, b.path[b.i] as v from stood a join stood b on a.walk_id = b.walk_id and a.i <> b.i and abs(a.i - b.i) <= 5),
+pair as (select u, v, count(*) as n from seen group by u, v), tot as (select u, sum(n) as n from pair group by u),
+ppmi as (select pair.u, pair.v, greatest(ln(pair.n * (select sum(n) from tot)::double / (a.n::double * b.n::double)), 0) as p from pair join tot a on a.u = pair.u join tot b on b.u = pair.v),
+dims as (select u, v, p, unnest(range(128)) as k from ppmi),
+vec as (select u as node, k, sum(p * ((cast('0x' || substr(md5('0|0|' || v), 4 * (k // 16)::int + 1, 4) as int) >> (k % 16)::int) % 2 * 2 - 1)) / sqrt(128) as x from dims group by u, k)
+"""
+
+
+@query("node_embeddings", "with " + _VECTORS + "select node, k::int as dim, round(x, 6) as x from vec")
 def _(t):
-    return _vectors(t)
+    out = _vectors(t).select("node", F.posexplode("vector").alias("dim", "x"))
+    return out.withColumn("x", F.round("x", 6) + 0.0)
 
 
-@query("auth_features")
+@query(
+    "auth_features",
+    "with " + _VECTORS + """, w as (select node, round(sum(x * (k + 1)), 4) as s from vec group by node)
+    select id, s.s as src, d.s as dst, u.s as usr, floor(epoch(cast(first_observed as timestamp)))::double as at
+    from v_auth a join w s on s.node = a.src_ip join w d on d.node = a.dst_ip join w u on u.node = a.user_id""",
+)
 def _(t):
-    return cl.auth_features(_requests(t), cut_lineage(_vectors(t))).select("id", "features")
+    rows = cl.auth_features(_requests(t), cut_lineage(_vectors(t)))
+    part = lambda i: F.round(
+        F.aggregate(F.transform(F.slice("features", 128 * i + 1, 128), lambda x, k: x * (k + 1)), F.lit(0.0), lambda s, x: s + x), 4
+    )
+    return rows.select("id", part(0).alias("src"), part(1).alias("dst"), part(2).alias("usr"), F.element_at("features", -1).alias("at"))
 
 
 @query(
@@ -167,6 +194,18 @@ def _(t):
     return cl.label_unknown(train.drop("label").unionByName(test), "logisticRegression").select("id", "status")
 
 
+@query(
+    "label_unknown_kept",
+    "select id, case when starts_with(status, 'benign') or starts_with(status, 'malicious') then status else 'predicted' end as kept from v_auth where starts_with(status, 'benign') or starts_with(status, 'malicious') or starts_with(status, 'unknown')",
+)
+def _(t):
+    train, test = _split(t)
+    out = cl.label_unknown(train.drop("label").unionByName(test), "logisticRegression").select("id", "status")
+    known = train.select("id", F.lit(True).alias("known"))
+    allowed = F.when(F.col("status").isin("benign", "malicious"), "predicted")
+    return out.join(known, "id", "left").select("id", F.when(F.col("known"), F.col("status")).otherwise(allowed).alias("kept"))
+
+
 @query("graph_lm_detect")
 def _(t):
     return graph_lm_detect(observations(t), users(t), connections(t), 3)

@@ -471,3 +471,11 @@ _BOTH = _check(
 )
 def _(t):
     return l4.exploit_coverage(t("v_http"))
+
+
+@query(
+    "exploit_misses",
+    _BOTH + "select cast(floor(id / 2) as bigint) as event_id from found group by 1 having count(exploit) = 0",
+)
+def _(t):
+    return l4.exploit_misses(t("v_http")).select("event_id")

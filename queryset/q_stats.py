@@ -72,6 +72,15 @@ def _(t):
     return b.withColumns({n: F.round(n, 6) for n in agg._BOX})
 
 
+def _outside(x: str) -> str:
+    return f"select '{x}' as attr, {x}::double as value from lineitem, (select quantile_cont({x}::double, 0.25) as a, quantile_cont({x}::double, 0.75) as b from lineitem) q where {x} < a - 0.5 * (b - a) or {x} > b + 0.5 * (b - a)"
+
+
+@query("boxplot_outliers", " union all ".join(_outside(x) for x in ("l_quantity", "l_extendedprice")))
+def _(t):
+    return agg.boxplot_outliers(t("lineitem"), ["l_quantity", "l_extendedprice"], 0.5)
+
+
 @query("value_counts", "select l_returnflag || l_linestatus as value, count(*) as count from lineitem group by 1")
 def _(t):
     df = t("lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("state"))

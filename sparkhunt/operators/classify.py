@@ -37,7 +37,7 @@ def status_of_code(code: Column) -> Column:
 
 def auth_features(df: DataFrame, emb_df: DataFrame) -> DataFrame:
     """Add ``features``: embeddings of source, destination and user, and the epoch."""
-    small = fits_broadcast(emb_df)
+    small = fits_broadcast(emb_df)  # measured once for the three joins
     out = df
     for attr, name in (("src_ref.value", "__s"), ("dst_ref.value", "__d"), ("user_id", "__u")):
         side = emb_df.select(F.col("node").alias(attr), F.col("vector").alias(name))
@@ -68,16 +68,22 @@ def classify_logistic(train_df: DataFrame, test_df: DataFrame) -> DataFrame:
     return _fit_predict([_scaler(), clf], train_df, test_df)
 
 
-def classify_randomforest(train_df: DataFrame, test_df: DataFrame, trees: int = 100, seed: int = 0) -> DataFrame:
+def classify_randomforest(
+    train_df: DataFrame, test_df: DataFrame, trees: int = 100, seed: int = 0, depth: int = 30
+) -> DataFrame:
+    """Random forest; ``depth`` is by default the deepest that Spark grows."""
     clf = RandomForestClassifier(
-        featuresCol="__raw", labelCol="label", predictionCol="__prediction", numTrees=trees, maxDepth=10, seed=seed
+        featuresCol="__raw", labelCol="label", predictionCol="__prediction", numTrees=trees, maxDepth=depth, seed=seed
     )
     return _fit_predict([clf], train_df, test_df)
 
 
-def classify_boosted(train_df: DataFrame, test_df: DataFrame, rounds: int = 20, seed: int = 0) -> DataFrame:
+def classify_boosted(
+    train_df: DataFrame, test_df: DataFrame, rounds: int = 100, seed: int = 0, depth: int = 6
+) -> DataFrame:
+    """Boosted trees with the usual 100 rounds of depth 6."""
     clf = GBTClassifier(
-        featuresCol="__raw", labelCol="label", predictionCol="__prediction", maxIter=rounds, maxDepth=5, seed=seed
+        featuresCol="__raw", labelCol="label", predictionCol="__prediction", maxIter=rounds, maxDepth=depth, seed=seed
     )
     return _fit_predict([clf], train_df, test_df)
 

@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkhunt.operators.lookup import totals_join
-from sparkhunt.session import cut_lineage
+from sparkhunt.session import cut_lineage, discard
 
 
 
-def _with_smallest(pairs: DataFrame, rows: int) -> DataFrame:
-    """Add to (u, v) rows the smallest of u and its neighbours; hubs are spread over tasks."""
-    smallest = pairs.groupBy("u").agg(
-        F.min("v").alias("least"), F.count(F.lit(1)).alias("__rows")
-    ).select("u", F.least("least", "u").alias("m"), "__rows")
-    smallest = cut_lineage(smallest)
-    return totals_join(pairs, smallest, ["u"], "__rows", how="inner", whole=rows)
+def _with_smallest(pairs: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """(u, v) rows with the smallest of u and its neighbours as m, and the written table
+    of those; hubs are spread over tasks."""
+    smallest = cut_lineage(
+        pairs.groupBy("u")
+        .agg(F.min("v").alias("least"), F.count(F.lit(1)).alias("__rows"))
+        .select("u", F.least("least", "u").alias("m"), "__rows")
+    )
+    return totals_join(pairs, smallest, ["u"], "__rows", how="inner", whole=rows), smallest
 
 
 def _fingerprint(pairs: DataFrame) -> tuple:
@@ -32,7 +34,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes (a pair only ever moves to smaller nodes,
     so there is an end; in practice logarithmically many rounds): neighbours
     larger than a node are linked to its smallest neighbour, then smaller ones are.
-    Each round is written to the checkpoint folder.
+    Each round is written to the checkpoint folder and deleted after the next one.
     """
     pairs = cut_lineage(
         edges.where("src <> dst")
@@ -42,17 +44,17 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     before = _fingerprint(pairs)
     while before[0]:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        met, first = _with_smallest(both, 2 * before[0])
         large = cut_lineage(
-            _with_smallest(both, 2 * before[0])
-            .where("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .distinct()
+            met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
-        small = _with_smallest(large, before[0])
+        small, second = _with_smallest(large, before[0])
         ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-        pairs = cut_lineage(
+        new = cut_lineage(
             small.select(F.explode(ends).alias("e")).select("e.*").where("u <> v").distinct()
         )
+        discard(pairs, first, large, second)
+        pairs = new
         after = _fingerprint(pairs)
         if after == before:
             break

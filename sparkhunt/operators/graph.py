@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkhunt.names import c
+from sparkhunt.operators.aggregates import one_value
 from sparkhunt.operators.lookup import totals_join
 from sparkhunt.operators.ordering import row_positions
 from sparkhunt.session import cut_lineage
@@ -104,7 +107,50 @@ def random_walks(
     return walks.select("walk_id", "path")
 
 
-def node_embeddings(
+def _context_pairs(walks_df: DataFrame, window: int) -> DataFrame:
+    """(u, v, n): how often v stands within ``window`` steps of u in a walk."""
+    placed = walks_df.select("path", F.posexplode("path").alias("i", "u"))
+    first = F.greatest(F.col("i") - window, F.lit(0))
+    around = placed.select(
+        "u", (F.col("i") - first).alias("own"), F.posexplode(F.slice("path", first + 1, F.col("i") - first + 1 + window)).alias("j", "v")
+    )
+    return around.where("j <> own").groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def node_signs(node: Column, size: int, seed: int) -> list[Column]:
+    """``size`` repeatable signs of a node, 16 from each four digits of its MD5 sums."""
+    signs = []
+    for block in range(-(-size // 128)):
+        digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(block)), node))
+        for group in range(8):
+            bits = F.conv(F.substring(digest, 4 * group + 1, 4), 16, 10).cast("int")
+            signs += [(bits, bit) for bit in range(16)]
+    return [F.getbit(bits, F.lit(bit)) * 2 - 1 for bits, bit in signs[:size]]
+
+
+def node_embeddings(walks_df: DataFrame, size: int = 128, window: int = 5, seed: int = 0) -> DataFrame:
+    """(node, vector): positive pointwise mutual information of nodes and their contexts,
+    projected to ``size`` dimensions by repeatable random signs.
+
+    Nodes of like neighbourhoods get like vectors, as from a skip-gram model, which
+    factors the same matrix; but all steps are keyed sums, nothing is kept on the driver.
+    """
+    pairs = cut_lineage(_context_pairs(walks_df, window))
+    nodes = cut_lineage(pairs.groupBy("u").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("__rows")))
+    whole = one_value(nodes, F.sum("total"))
+    first = totals_join(pairs, nodes.withColumnRenamed("total", "n_u"), ["u"], "__rows", "inner")
+    # co-occurrence is symmetric: a node is a context as often as it has contexts
+    both = totals_join(first, nodes.withColumnsRenamed({"u": "v", "total": "n_v"}), ["v"], "__rows", "inner")
+    weighed = both.withColumn("__all", whole).select(
+        "u", "v", F.greatest(F.log(F.col("n") * F.col("__all") / (F.col("n_u").cast("double") * F.col("n_v"))), F.lit(0.0)).alias("p")
+    )
+    signs = F.array(*node_signs(F.col("v"), size, seed)).alias("signs")
+    signed = weighed.select("u", "p", signs)
+    sums = signed.groupBy("u").agg(*[F.sum(F.col("p") * F.col("signs")[k]).alias(f"x{k}") for k in range(size)])
+    return sums.select(F.col("u").alias("node"), F.array(*[F.col(f"x{k}") / math.sqrt(size) for k in range(size)]).alias("vector"))
+
+
+def skipgram_embeddings(
     walks_df: DataFrame,
     size: int = 128,
     window: int = 5,
@@ -112,10 +158,10 @@ def node_embeddings(
     seed: int = 0,
     partitions: int | None = None,
 ) -> DataFrame:
-    """(node, vector): skip-gram with hierarchical softmax over the walks.
+    """(node, vector): Spark's skip-gram model, for graphs whose model fits the driver.
 
-    Training is split over ``partitions`` (one per 50,000 walks by default).  Spark
-    keeps the model itself, two rows of ``size`` floats per node, on the driver.
+    Spark keeps two rows of ``size`` floats per node on the driver; use
+    :func:`node_embeddings` where the number of nodes has no bound.
     """
     if partitions is None:
         partitions = 1 + walks_df.count() // 50_000

@@ -44,13 +44,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table below the shared checkpoint folder and read it back.
 
     Used between rounds of iterative jobs and where several branches read one result.
-    A table, unlike ``checkpoint()``, does not carry the constraints of its plan on to
+    It stays there until :func:`discard`.  A table, unlike ``checkpoint()``, does not carry the constraints of its plan on to
     the next round, where they would multiply.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables of :func:`cut_lineage` that nothing reads any more.
+
+    For rounds of a loop, once what follows from them is written itself.
+    """
+    for table in tables:
+        path = getattr(table, "written_at", None)
+        if path is not None:
+            where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(table.sparkSession._jsc.sc().hadoopConfiguration()).delete(where, True)
 
 
 def fixed_partitions(df: DataFrame) -> DataFrame:
