@@ -199,8 +199,12 @@ def _linked_texts(docs: DataFrame, key: str, text: str, threshold: float, trees:
     )
     runs = leaves.groupBy("tree", "prefix").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     in_runs = cut_lineage(totals_join(leaves, cut_lineage(runs), ["tree", "prefix"], "n", how="inner"))
-    nodes = in_runs.groupBy("node").agg(F.min("head").alias("group"))
-    groups = cut_lineage(nodes)
+    # texts near each other get one label in most cases: the smallest text within a few runs
+    groups = cut_lineage(in_runs.groupBy("node").agg(F.min("head").alias("group")))
+    members = in_runs.select("node", "tree", "prefix")
+    for _ in range(2):
+        met = members.join(groups, "node").groupBy("tree", "prefix").agg(F.min("group").alias("group"), F.count(F.lit(1)).alias("n"))
+        groups = cut_lineage(totals_join(members, cut_lineage(met), ["tree", "prefix"], "n", how="inner").groupBy("node").agg(F.min("group").alias("group")))
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.count(F.lit(1)).alias("n"))
     place = F.struct("group", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / chunk)).alias("part"))
     chunks = cut_lineage(totals_join(groups, cut_lineage(sizes), ["group"], "n", how="inner").select("node", F.xxhash64(place).alias("chunk")))
