@@ -53,6 +53,23 @@ def _(t):
     )
 
 
+@query(
+    "ip_is_private_6",
+    "select event_id, case when event_id % 10 in (0, 1, 3, 6, 9) then true when event_id % 10 = 7 then null else false end as private from v_addresses",
+)
+def _(t):
+    return t("v_addresses").select("event_id", ipaddr.ip_is_private(F.col("ip")).alias("private"))
+
+
+@query(
+    "cidr_membership_6",
+    "select event_id, case when event_id % 10 = 7 then null else event_id % 10 in (2, 6, 9) end as in_network from v_addresses",
+)
+def _(t):
+    nets = ["2606:4700::/32", "fd00::/31", "fd00:1:2::/48", "10.2.0.0/16"]
+    return jn.cidr_membership(t("v_addresses"), "ip", nets).select("event_id", "in_network")
+
+
 _NETS = ["10.1.0.0/16", "10.1.4.0/24", "172.16.0.0/25", "203.0.64.0/18"]
 
 

@@ -167,6 +167,21 @@ from (select *,
   from events) e
 """
 
+VIEWS["v_addresses"] = """
+select event_id, case event_id % 10
+  when 0 then '2001:db8::' || cast(event_id % 9000 + 1 as string)
+  when 1 then 'FE80::1:' || cast(event_id % 9000 + 1 as string) || '%eth0'
+  when 2 then '2606:4700:0:0:0:0:' || cast(event_id % 9000 as string) || ':1111'
+  when 3 then '::ffff:10.0.' || cast(event_id % 200 as string) || '.7'
+  when 4 then '::ffff:8.8.' || cast(event_id % 200 as string) || '.8'
+  when 5 then '2001:4:112::' || cast(event_id % 9000 + 1 as string)
+  when 6 then 'fd00:1:2:3:4:5:6:' || cast(event_id % 9000 as string)
+  when 7 then '1:2:3:4:5:6:7:8:9'
+  when 8 then '2a00:1450:4001::' || cast(event_id % 9000 + 1 as string)
+  else '10.2.' || cast(event_id % 200 as string) || '.1' end as ip
+from events
+"""
+
 VIEWS["v_peers"] = "select dst_ip as ip, min(event_id) as n from v_connections group by dst_ip"
 
 VIEWS["v_auth"] = """

@@ -1,4 +1,4 @@
-"""IPv4 addresses as longs, address classes and the traffic categories built on them."""
+"""IP addresses as longs or sortable keys, address classes and traffic categories."""
 
 from __future__ import annotations
 
@@ -27,6 +27,28 @@ PRIVATE_NETWORKS = (
 )
 PRIVATE_EXCEPTIONS = ("192.0.0.9", "192.0.0.10")
 
+# The same for IPv6.
+PRIVATE_NETWORKS_6 = (
+    "::1/128",
+    "::/128",
+    "::ffff:0:0/96",
+    "64:ff9b:1::/48",
+    "100::/64",
+    "2001::/23",
+    "2001:db8::/32",
+    "2002::/16",
+    "fc00::/7",
+    "fe80::/10",
+)
+PRIVATE_EXCEPTIONS_6 = (
+    "2001:1::1/128",
+    "2001:1::2/128",
+    "2001:3::/32",
+    "2001:4:112::/48",
+    "2001:20::/28",
+    "2001:30::/28",
+)
+
 # Defaults of the traffic categories.
 SENSITIVE_ADDRESSES = ("9.59.150.142",)
 ORGANISATION_NETWORK = "9.0.0.0/8"
@@ -58,20 +80,85 @@ def merged_ranges(networks: Iterable[str]) -> list[tuple[int, int]]:
     return merged
 
 
-def in_ranges(number: Column, ranges: Sequence[tuple[int, int]]) -> Column:
+def in_ranges(number: Column, ranges: Sequence[tuple]) -> Column:
     hit = F.lit(False)
     for low, high in ranges:
         hit = hit | number.between(F.lit(low), F.lit(high))
     return hit
 
 
+_GROUP = "[0-9a-f]{1,4}"
+_GROUPS = rf"(?:{_GROUP}(?::{_GROUP})*)?"
+_IPV6_PATTERN = rf"^(?:(?:{_GROUP}:){{7}}{_GROUP}|{_GROUPS}::{_GROUPS})$"
+
+
+def ip_key(text: Column) -> Column:
+    """An address as text that sorts like the address: ``4`` or ``6`` and its hex digits.
+
+    NULL for anything that is neither dotted IPv4 nor IPv6; a zone (``%eth0``) is dropped.
+    """
+    digits = lambda number, n: F.lpad(F.lower(F.hex(number)), n, "0")
+
+    def version6(t: Column) -> Column:
+        present = lambda part: F.filter(F.split(part, ":"), lambda g: g != "")
+        gap = t.contains("::")
+        left = present(F.substring_index(t, "::", 1))
+        right = F.when(gap, present(F.substring_index(t, "::", -1))).otherwise(F.array().cast("array<string>"))
+        groups = let(
+            F.struct(left.alias("l"), right.alias("r")),
+            lambda p: F.concat(p["l"], F.array_repeat(F.lit("0"), F.lit(8) - F.size(p["l"]) - F.size(p["r"])), p["r"]),
+        )
+        whole = F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
+        key = F.concat(F.lit("6"), whole)
+        return F.when(t.rlike(_IPV6_PATTERN), let(key, lambda k: F.when(F.length(k) == 33, k)))
+
+    def tail(t: Column) -> Column:
+        """Writes a dotted end as two groups."""
+        number = ipv4_long(F.regexp_extract(t, r":([0-9.]+)$", 1))
+        return let(
+            F.struct(t.alias("t"), digits(number, 8).alias("h")),
+            lambda p: F.when(p["h"].isNull(), p["t"]).otherwise(
+                F.concat(F.regexp_extract(p["t"], r"^(.*:)[0-9.]+$", 1), F.substring(p["h"], 1, 4), F.lit(":"), F.substring(p["h"], 5, 4))
+            ),
+        )
+
+    plain = let(F.lower(F.regexp_replace(text, "%[^%]+$", "")), lambda t: F.when(t.contains("."), tail(t)).otherwise(t))
+    return F.when(text.contains(":"), let(plain, version6)).otherwise(
+        let(ipv4_long(text), lambda n: F.concat(F.lit("4"), digits(n, 8)))
+    )
+
+
+def address_key(address) -> str:
+    """The key of an ``ipaddress`` address."""
+    return f"4{int(address):08x}" if address.version == 4 else f"6{int(address):032x}"
+
+
+def key_ranges(networks: Iterable[str]) -> list[tuple[str, str]]:
+    """Inclusive key ranges of IPv4 and IPv6 blocks, sorted and merged."""
+    spans = sorted((address_key(n[0]), address_key(n[-1])) for n in map(ipaddress.ip_network, networks))
+    merged: list[tuple[str, str]] = []
+    for low, high in spans:
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    return merged
+
+
 def ip_is_private(text: Column) -> Column:
-    return let(ipv4_long(text), _number_is_private)
+    return let(ip_key(text), _key_is_private)
 
 
-def _number_is_private(number: Column) -> Column:
-    exceptions = [int(ipaddress.IPv4Address(a)) for a in PRIVATE_EXCEPTIONS]
-    return in_ranges(number, merged_ranges(PRIVATE_NETWORKS)) & ~number.isin(exceptions)
+def _key_is_private(key: Column) -> Column:
+    mapped = "6" + "0" * 20 + "ffff"  # an IPv4 address in IPv6 clothes counts as that
+
+    def test(k: Column) -> Column:
+        exceptions = [(address_key(a), address_key(a)) for a in map(ipaddress.ip_address, PRIVATE_EXCEPTIONS)]
+        return in_ranges(k, key_ranges([*PRIVATE_NETWORKS, *PRIVATE_NETWORKS_6])) & ~in_ranges(
+            k, [*exceptions, *key_ranges(PRIVATE_EXCEPTIONS_6)]
+        )
+
+    return let(F.when(key.startswith(mapped), F.concat(F.lit("4"), F.substring(key, 26, 8))).otherwise(key), test)
 
 
 def traffic_category(
@@ -86,14 +173,14 @@ def traffic_category(
     A source that fits no class and talks to an inside address gives ``Unknown-``
     without the arrow head; this matches the published labels.
     """
-    organisation = merged_ranges([org_net])
-    secret = [int(ipaddress.IPv4Address(a)) for a in sensitive]
+    organisation = key_ranges([org_net])
+    secret = [address_key(ipaddress.ip_address(a)) for a in sensitive]
 
-    def side(number: Column) -> Column:
+    def side(key: Column) -> Column:
         return F.struct(
-            number.isin(secret).alias("sensitive"),
-            _number_is_private(number).alias("private"),
-            in_ranges(number, organisation).alias("inside"),
+            key.isin(secret).alias("sensitive"),
+            _key_is_private(key).alias("private"),
+            in_ranges(key, organisation).alias("inside"),
         )
 
     def label(ends: Column) -> Column:
@@ -110,7 +197,7 @@ def traffic_category(
         known = s["private"].isNotNull() & d["private"].isNotNull()
         return F.when(known, F.concat(origin, target))
 
-    ends = F.struct(let(ipv4_long(src), side).alias("src"), let(ipv4_long(dst), side).alias("dst"))
+    ends = F.struct(let(ip_key(src), side).alias("src"), let(ip_key(dst), side).alias("dst"))
     return let(ends, label)
 
 

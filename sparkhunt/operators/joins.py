@@ -13,10 +13,10 @@ from sparkhunt.functions.intel import (
     sans_fields,
     xfe_fields,
 )
-from sparkhunt.functions.ipaddr import in_ranges, ipv4_long, merged_ranges
+from sparkhunt.functions.ipaddr import in_ranges, ip_key, ipv4_long, key_ranges
 from sparkhunt.functions.timeparts import iso_timestamp
 from sparkhunt.functions.whois import ptr_org_fields
-from sparkhunt.names import c
+from sparkhunt.names import c, let
 from sparkhunt.operators.filters import entity_type_dispatch
 from sparkhunt.operators.lookup import lookup_join, totals_join
 from sparkhunt.session import cut_lineage
@@ -223,7 +223,7 @@ def ip_geolocate(df: DataFrame, blocks_df: DataFrame, attr: str) -> DataFrame:
 
 def cidr_membership(df: DataFrame, attr: str, networks: Sequence[str], name: str = "in_network") -> DataFrame:
     """Flag rows whose address lies in one of the networks (merged into ranges first)."""
-    return df.withColumn(name, in_ranges(ipv4_long(c(attr)), merged_ranges(networks)))
+    return df.withColumn(name, let(ip_key(c(attr)), lambda key: in_ranges(key, key_ranges(networks))))
 
 
 def hour_model_join(df: DataFrame, model_df: DataFrame, ts: str = "first_observed") -> DataFrame:

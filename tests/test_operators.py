@@ -165,14 +165,16 @@ def test_geolocate_edges(spark):
 
 def test_address_classes(text_of):
     ips = ["10.1.1.1", "100.64.0.1", "192.0.0.9", "192.0.0.8", "224.0.0.1", "240.0.0.1", "8.8.8.8", "::1", None]
-    assert text_of(ip_is_private, ips) == [True, False, False, True, False, True, False, None, None]
+    assert text_of(ip_is_private, ips) == [True, False, False, True, False, True, False, True, None]
     pairs = {
         ("9.59.150.142", "8.8.8.8"): "Sensitive->External",
         ("10.0.0.1", "9.1.1.1"): "Private->IBM",
         ("9.1.1.1", "10.0.0.1"): "IBM->Unknown",
         ("8.8.8.8", "1.1.1.1"): "External->External",
         ("8.8.8.8", "10.0.0.1"): "Unknown-Unknown",
-        ("::1", "10.0.0.1"): None,
+        ("::1", "10.0.0.1"): "Private->Unknown",
+        ("2606:4700::1", "fd00::1"): "Unknown-Unknown",
+        ("nowhere", "10.0.0.1"): None,
     }
     texts = [f"{a} {b}" for a, b in pairs]
     split = lambda i: lambda t: F.split(t, " ")[i]
@@ -301,3 +303,20 @@ def test_an_indicator_named_twice_does_not_repeat_rows(spark):
     doc = '{"ip": {"attacks": 3, "ascountry": "US", "asname": "N"}}'
     intel = spark.createDataFrame([("1.1.1.1", doc), ("1.1.1.1", doc)], "ip string, doc string")
     assert intel_ip_enrich(df, intel).count() == 2
+
+
+def test_addresses_agree_with_the_standard_library(text_of):
+    import ipaddress
+
+    from sparkhunt.functions.ipaddr import address_key, ip_key
+
+    rng = random.Random(12)
+    heads = ["2001:db8", "2001:3", "2001:20", "2001:1", "fe80", "fc00", "2002", "3fff", "64:ff9b:1", "100", "2606:4700", "0", "ff02"]
+    texts = [str(ipaddress.IPv6Address((int(ipaddress.IPv6Address(h + "::")) | rng.getrandbits(rng.choice([8, 60, 96]))))) for h in heads * 8]
+    texts += ["::", "::1", "::ffff:10.1.2.3", "::ffff:8.8.8.8", "1::", "1:2:3:4:5:6:7::", "2001:1::1", "2001:1::2", "FE80::A%eth0", "192.0.0.9", "172.31.255.255", "0:0:0:0:0:ffff:1.2.3.4"]
+    bad = ["1:2:3:4:5:6:7:8:9", "1:::2", ":1::2", "1:2", "12345::", "::g", "1::2::3", "", "::1.2.3.256", "1:2:3:4:5:6:7:8::", "10.0.0", None]
+    addresses = [ipaddress.ip_address(x) for x in texts]
+    plain = [ipaddress.ip_address(str(a).partition("%")[0]) for a in addresses]
+    assert text_of(ip_key, texts) == [address_key(a) for a in plain]
+    assert text_of(ip_is_private, texts) == [a.is_private for a in plain]
+    assert text_of(ip_key, bad) == [None] * len(bad)
