@@ -105,8 +105,11 @@ def ip_key(text: Column) -> Column:
         left = present(F.substring_index(t, "::", 1))
         right = F.when(gap, present(F.substring_index(t, "::", -1))).otherwise(F.array().cast("array<string>"))
         groups = let(
-            F.struct(left.alias("l"), right.alias("r")),
-            lambda p: F.concat(p["l"], F.array_repeat(F.lit("0"), F.lit(8) - F.size(p["l"]) - F.size(p["r"])), p["r"]),
+            F.struct(left.alias("l"), right.alias("r"), gap.alias("gap")),
+            lambda p: F.when(
+                ~p["gap"] | (F.size(p["l"]) + F.size(p["r"]) < 8),  # a gap stands for one group at least
+                F.concat(p["l"], F.array_repeat(F.lit("0"), F.lit(8) - F.size(p["l"]) - F.size(p["r"])), p["r"]),
+            ),
         )
         whole = F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
         key = F.concat(F.lit("6"), whole)
