@@ -46,14 +46,14 @@ SHIPPED_RULES: list[dict] = [
             ],
         },
         "actions": [
-            {
-                "name": "increment_property",
-                "params": {"name": "x_suspicious_score", "value": 1},
-            },
             {
                 "name": "append_to_property",
                 "params": {"name": "techniques", "value": "https://attack.mitre.org/techniques/T1015/"},
             },
+            {
+                "name": "increment_property",
+                "params": {"name": "x_suspicious_score", "value": 1},
+            },
         ],
     },
     {
