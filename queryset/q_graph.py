@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from queryset.catalog import query
@@ -174,7 +176,7 @@ def _split(t):
 for _name, _fn in (
     ("classify_logistic", cl.classify_logistic),
     ("classify_randomforest", cl.classify_randomforest),
-    ("classify_boosted", cl.classify_boosted),
+    ("classify_boosted", functools.partial(cl.classify_boosted, rounds=20, depth=5)),
     ("classify_svm", cl.classify_svm),
 ):
 
