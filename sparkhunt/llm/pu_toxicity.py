@@ -175,7 +175,7 @@ def score(docs: DataFrame, models: DataFrame, key: str = "doc_id", text: str = "
 
     class Hits(dict):
         def __missing__(self, word: str) -> tuple[int, ...]:
-            if len(self) > 400_000:
+            if len(self) > 150_000:
                 self.clear()
             self[word] = found = tuple(f for f in word_features(word) if f in known)
             return found
