@@ -1,9 +1,9 @@
 """Main text of web pages by removing what recurs across the pages of a site.
 
-Every element subtree that may be boilerplate is hashed; Spark counts on how many
-different pages of its host each hash occurs, and subtrees that recur on many of them are
-deleted before the text is read.  Elements whose tag, role or class says that they are not
-part of an article go as well, wherever they occur once only.
+Element subtrees are hashed, inside the main element too; Spark counts on how many
+different pages of its host each one occurs, and subtrees that recur on many of them are
+deleted before the main text is chosen from what is left.  Elements whose tag, role or
+class says that they are not part of an article go as well, wherever they occur once only.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -43,6 +43,16 @@ BLOCKS = frozenset(
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr"}, "tbody": {"thead", "tbody"}, "tfoot": {"tbody"}}
 CONTAINERS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
 LINKED = frozenset(("a", "button", "label"))
+PARAGRAPHS = frozenset(("p", "pre", "blockquote"))
+#: Blocks of an article's own text, which articles may quote from each other.
+FLOW = frozenset("address blockquote center details dir dl figure h1 h2 h3 h4 h5 h6 hgroup ol p pre table ul".split())
+#: Items and cells, which mean something only within their list or table.
+PARTS = frozenset("caption dd dt figcaption hr legend li summary tbody td tfoot th thead tr".split())
+#: Characters from which text outside a paragraph counts as running text.
+PROSE = 25
+#: How a candidate is counted: wherever it stands, or by its place from the start or from
+#: the end; flow blocks between others need a number of siblings that changes.
+ANYWHERE, START, START_FLOW, END, END_FLOW = range(5)
 _SPACE = re.compile(r"\s+")
 _MARK = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
@@ -127,160 +137,244 @@ def _marked(node: Node) -> bool:
     )
 
 
-def _main_marks(nodes: list[tuple[Node, Node | None]]) -> tuple[set[int], set[int]]:
-    """Nodes inside a main element, and nodes that hold one."""
-    inside, above = set(), set()
+def _prune(root: Node) -> None:
+    """Takes out what is marked as no part of an article, and page headers."""
+    wait = [(root, False)]
+    while wait:
+        node, inside = wait.pop()
+        inside = inside or _is_main(node)
+        node.kids = [x for x in node.kids if not isinstance(x, Node) or not (_marked(x) or x.tag == "header" and not inside)]
+        wait.extend((x, inside) for x in node.kids if isinstance(x, Node))
+
+
+def _main_marks(nodes: list[tuple[Node, Node | None]]) -> tuple[dict[int, Node], set[int]]:
+    """The outermost main element around each node inside one, and the nodes that hold one."""
+    inside, above = {}, set()
     for node, parent in nodes:
-        if parent is not None and (id(parent) in inside or _is_main(parent)):
-            inside.add(id(node))
+        top = inside.get(id(parent)) or (parent if parent is not None and _is_main(parent) else None)
+        if top is not None:
+            inside[id(node)] = top
     for node, parent in reversed(nodes):
         if parent is not None and (_is_main(node) or id(node) in above):
             above.add(id(parent))
     return inside, above
 
 
-def subtree_hashes(nodes: list[tuple[Node, Node | None]], inside: set[int], above: set[int]) -> dict[int, int]:
-    """Hashes of the subtrees that are deleted where they recur, by node.
+def _digest(*parts: str) -> int:
+    return xxhash.xxh3_64_intdigest("\0".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def _key(own: int, place: int | None) -> int:
+    """Key of a subtree wherever it stands (even) or at a place (odd)."""
+    return own & ~1 if place is None else _digest(str(own), str(place)) | 1
+
 
-    Outside the main element: every element that holds text, but none that holds the
-    main element.  Inside it: only elements that mostly consist of links, so that a
-    passage that many articles of a site quote stays.  A hash covers tag, class, text and
-    children; subtrees that are no candidates and below none are not hashed.
+def candidates(nodes: list[tuple[Node, Node | None]], page: int) -> tuple[dict[int, list[dict]], dict[int, list[dict]], dict[int, int]]:
+    """What is counted: (candidates by unit, candidates by node, key of each outermost main element).
+
+    A unit is the page, or the content of an outermost main element; equal units count
+    once.  Outside the main elements, every element that holds text counts wherever it
+    stands, if it holds no main element; so do link blocks inside one.  The other blocks
+    inside a main element count by their place among their siblings, from the start and
+    from the end, so that a passage that articles quote here and there stays.  Words of
+    running text and single items or cells of lists and tables are no candidates; a link
+    that ends a line of text is one at that place.
     """
+    inside, above = _main_marks(nodes)
     chars: dict[int, int] = {}
     linked: dict[int, int] = {}
+    digest: dict[int, int] = {}
     for node, _ in reversed(nodes):
         n = m = 0
+        parts = [f"<{node.tag} {node.attrs.get('class', '')}>"]
         for kid in node.kids:
             if isinstance(kid, Node):
                 n, m = n + chars[id(kid)], m + linked[id(kid)]
+                parts.append(f"#{digest[id(kid)]}")
             else:
                 n += len(kid.strip())
+                parts.append(_SPACE.sub(" ", kid).strip())
         chars[id(node)], linked[id(node)] = n, n if node.tag in LINKED else m
-    chosen, hashed = set(), set()
-    for node, parent in nodes:
-        own = id(node)
-        if chars[own] and not _is_main(node) and own not in above and node.tag not in ("#page", "html", "body") and (own not in inside or 2 * linked[own] >= chars[own]):
-            chosen.add(own)
-        if own in chosen or id(parent) in hashed:
-            hashed.add(own)
-    out: dict[int, int] = {}
-    for node, _ in reversed(nodes):
-        if id(node) in hashed:
-            parts = [f"<{node.tag} {node.attrs.get('class', '')}>"]
-            for kid in node.kids:
-                parts.append(f"#{out[id(kid)]}" if isinstance(kid, Node) else _SPACE.sub(" ", kid).strip())
-            out[id(node)] = xxhash.xxh3_64_intdigest("\0".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
-    return {k: v for k, v in out.items() if k in chosen}
+        digest[id(node)] = _digest(*parts)
+    units: dict[int, list[dict]] = {page: []}
+    found: dict[int, list[dict]] = {}
+    tops: dict[int, int] = {}
+
+    def add(node: Node, kinds: list[tuple[int, int | None]], siblings: int = 0) -> None:
+        top = inside.get(id(node))
+        own = digest[id(node)] if top is None else _digest("in", str(digest[id(node)]))
+        unit = page if top is None else digest[id(top)]
+        made = [{"own": own, "key": _key(own, place), "kind": kind, "siblings": siblings} for kind, place in kinds]
+        found[id(node)] = made
+        units.setdefault(unit, []).extend(made)
+
+    for node, _ in nodes:
+        if not chars[id(node)]:
+            continue
+        if id(node) not in inside:
+            if node.tag not in ("#page", "html", "body") and id(node) not in above:
+                add(node, [(ANYWHERE, None)])
+                if _is_main(node):
+                    tops[id(node)] = found.pop(id(node))[0]["key"]
+        if id(node) not in inside and not _is_main(node):
+            continue
+        # inside a main element: with its siblings
+        kids = [x for x in node.kids if (chars[id(x)] if isinstance(x, Node) else not x.isspace())]
+        running = any(isinstance(x, str) for x in kids)
+        beside = any(isinstance(x, Node) and x.tag in BLOCKS for x in kids)
+        for i, kid in enumerate(kids):
+            if isinstance(kid, str):
+                continue
+            links, last = 2 * linked[id(kid)] >= chars[id(kid)], i == len(kids) - 1
+            if kid.tag not in BLOCKS and running:
+                if links:  # the first of these is only counted, since its siblings never change
+                    add(kid, [(START_FLOW, i), (END, -1)] if last else [(START_FLOW, i)])
+            elif links:
+                add(kid, [(ANYWHERE, None)])
+            elif kid.tag in PARTS or kid.tag not in BLOCKS and not beside:
+                continue
+            else:
+                flow = kid.tag in FLOW
+                add(kid, [(START_FLOW if flow and i else START, i), (END_FLOW if flow and not last else END, i - len(kids))], len(kids))
+    return units, found, tops
 
 
-def read_page(html: str) -> tuple[list[int], list[list[dict]]]:
-    """(hashes of all candidates, blocks of the main text) of a page.
+def read_page(html: str) -> tuple[list[dict], list[int], list[dict]]:
+    """(units with their candidates, keys of all candidates, blocks of text) of a page.
 
-    A block is a list of pieces with the candidates each lies ``under``; the main text is
-    that of the outermost ``article`` or ``main`` elements, or of the whole page if there
-    are none, without elements that are marked as something else.
+    Elements that are marked as something else than an article are left out.  A block has
+    the key of the outermost main element it lies in (``top``, or None), whether it is a
+    paragraph (``para``), and pieces with the keys of the candidates each lies ``under``.
     """
     root = parse(html)
-    nodes = _walk(root)
-    inside, above = _main_marks(nodes)
-    hashes = subtree_hashes(nodes, inside, above)
-    gone: set[int] = set()
-    tops: list[Node] = []
-    below: set[int] = set()  # of a top
-    for node, parent in nodes:
-        if parent is None:
-            continue
-        if id(parent) in below:
-            below.add(id(node))
-        if id(parent) in gone or _marked(node) or (node.tag == "header" and id(node) not in below):
-            gone.add(id(node))
-        elif _is_main(node) and id(node) not in below:
-            tops.append(node)
-            below.add(id(node))
-    blocks = [x for top in tops or [root] for x in _text_blocks(top, gone, hashes)]
-    return sorted(set(hashes.values())), blocks
-
-
-def _text_blocks(top: Node, gone: set[int], hashes: dict[int, int]) -> list[list[dict]]:
-    blocks: list[list[dict]] = []
+    _prune(root)
+    units, found, tops = candidates(_walk(root), _digest(html))
+    keys = {x["key"] for made in units.values() for x in made}
+    return [{"unit": k, "found": v} for k, v in units.items() if v], sorted(keys), _text_blocks(root, found, tops)
+
+
+def _text_blocks(root: Node, found: dict[int, list[dict]], tops: dict[int, int]) -> list[dict]:
+    blocks: list[dict] = []
     held: list[dict] = []
 
-    def flush():
+    def flush(top, para):
         if any(not x["text"].isspace() for x in held):
-            blocks.append(held.copy())
+            blocks.append({"top": top, "para": para, "pieces": held.copy()})
         held.clear()
 
-    wait: list = [(top, ())]
+    wait: list = [(root, (), None, False)]
     while wait:
-        item, under = wait.pop()
+        item, under, top, para = wait.pop()
         if item is None:
-            flush()
+            flush(top, para)
         elif isinstance(item, str):
             held.append({"text": item, "under": under})
-        elif id(item) not in gone:
-            own = hashes.get(id(item))
-            under = under if own is None else (*under, own)
+        else:
+            if item.tag in BLOCKS or id(item) in tops:
+                flush(top, para)
+                wait.append((None, (), tops.get(id(item), top), para or item.tag in PARAGRAPHS))
+            inner_top, inner_para = tops.get(id(item), top), para or item.tag in PARAGRAPHS
+            under = (*under, *(x["key"] for x in found.get(id(item), ())))
             if item.tag == "br":
                 held.append({"text": " ", "under": under})
-            if item.tag in BLOCKS:
-                flush()
-                wait.append((None, ()))
-            wait.extend((x, under) for x in reversed(item.kids))
-    flush()
+            wait.extend((x, under, inner_top, inner_para) for x in reversed(item.kids))
+    flush(None, False)
     return blocks
 
 
-def join_blocks(blocks: list[list[dict]], templates: set[int] | frozenset[int] = frozenset()) -> str:
-    """The text of the pieces that lie under no template; blocks have an empty line between."""
-    out = []
-    for block in blocks:
-        pieces = [x["text"] for x in block if not templates or templates.isdisjoint(x["under"])]
-        if text := _SPACE.sub(" ", "".join(pieces)).strip():
-            out.append(text)
+def _left(block: dict, templates: set[int] | frozenset[int]) -> str:
+    pieces = [x["text"] for x in block["pieces"] if not templates or templates.isdisjoint(x["under"])]
+    return _SPACE.sub(" ", "".join(pieces)).strip()
+
+
+def join_blocks(blocks: list[dict], templates: set[int] | frozenset[int] = frozenset()) -> str:
+    """The main text: what lies under no template, blocks with an empty line between.
+
+    Of what is left of the page, the main elements are taken unless more running text
+    (paragraphs, and other blocks of ``PROSE`` characters) stands outside of them; then
+    all of it is.  Where templates at places would leave less than a quarter of the
+    blocks and of the text of a main element, it is a changed copy of other articles
+    rather than a story with notices, and they stay.
+    """
+    anywhere = frozenset(x for x in templates if not x & 1)
+    texts: list[str] = []
+    of_top: dict[int | None, list[int]] = {}
+    for i, block in enumerate(blocks):
+        texts.append(_left(block, templates))
+        of_top.setdefault(block["top"], []).append(i)
+    for top, mine in of_top.items():
+        if top is not None and len(anywhere) < len(templates):
+            whole = {i: _left(blocks[i], anywhere) for i in mine}
+            n, size = sum(map(bool, whole.values())), sum(map(len, whole.values()))
+            if 4 * sum(bool(texts[i]) for i in mine) < n and 4 * sum(len(texts[i]) for i in mine) < size:
+                for i in mine:
+                    texts[i] = whole[i]
+    inner = outer = 0
+    for block, text in zip(blocks, texts, strict=True):
+        weight = len(text) if block["para"] or len(text) >= PROSE else 0
+        inner, outer = (inner, outer + weight) if block["top"] is None else (inner + weight, outer)
+    if outer > inner:
+        out = [t for b, t in zip(blocks, texts, strict=True) if t and b["top"] not in templates]
+    else:
+        mains = any(t and b["top"] is not None for b, t in zip(blocks, texts, strict=True))
+        out = [t for b, t in zip(blocks, texts, strict=True) if t and (b["top"] is not None or not mains)]
     # a lone surrogate, which a character reference may give, is not text
     return "\n\n".join(out).encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
 def main_text(html: str, templates: set[int] | frozenset[int] = frozenset()) -> str:
-    return join_blocks(read_page(html)[1], templates)
+    return join_blocks(read_page(html)[2], templates)
+
+
+def _rows(**fields: T.DataType) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField(k, v) for k, v in fields.items()]))
 
 
-_BLOCKS = T.ArrayType(T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("under", T.ArrayType(T.LongType()))])))
+_LONG, _INT = T.LongType(), T.IntegerType()
+_BLOCKS = _rows(top=_LONG, para=T.BooleanType(), pieces=_rows(text=T.StringType(), under=T.ArrayType(_LONG)))
+_UNITS = _rows(unit=_LONG, found=_rows(own=_LONG, key=_LONG, kind=_INT, siblings=_INT))
 
 
 def read_pages(pages: DataFrame) -> DataFrame:
-    """Replaces ``html`` by ``page`` (its hash), ``hashes`` and ``blocks``; parses once."""
+    """Replaces ``html`` by ``units``, ``keys`` and ``blocks``; parses once."""
     kept = [x for x in pages.schema.fields if x.name != "html"]
-    schema = T.StructType([*kept, T.StructField("page", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("blocks", _BLOCKS)])
+    schema = T.StructType([*kept, T.StructField("units", _UNITS), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("blocks", _BLOCKS)])
     arrow = to_arrow_schema(schema)
-    ready = pages.select(*[x.name for x in kept], F.xxhash64("html").alias("page"), "html")
+    ready = pages.select(*[x.name for x in kept], "html")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             found = [read_page(x) for x in part.column("html").to_pylist()]
-            for _, blocks in found:
-                for x in (x for block in blocks for x in block):
-                    x["text"] = x["text"].encode("utf-8", "replace").decode() if not x["text"].isascii() else x["text"]
-            made = [pa.array([x[0] for x in found], arrow.field("hashes").type), pa.array([x[1] for x in found], arrow.field("blocks").type)]
+            for x in (x for _, _, blocks in found for block in blocks for x in block["pieces"]):
+                x["text"] = x["text"].encode("utf-8", "replace").decode() if not x["text"].isascii() else x["text"]
+            made = [pa.array([x[i] for x in found], arrow.field(name).type) for i, name in enumerate(("units", "keys", "blocks"))]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], schema.names)
 
     return ready.mapInArrow(run, schema)
 
 
 def site_templates(read: DataFrame, least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
-    """(host, templates): hashes of the subtrees that recur on a host.
+    """(host, templates): keys of the subtrees that recur on a host.
 
-    ``read`` has ``host``, ``page`` and ``hashes``.  A hash is a template where it occurs
-    on at least ``least_pages`` different pages and ``least_share`` of the different pages
-    of the host; copies of a page count once.  By that share, a host's list is at most
-    1 / ``least_share`` times as long as a page has candidates on average.
+    ``read`` has ``host`` and ``units``.  A candidate is a template where it occurs in at
+    least ``least_pages`` different units and ``least_share`` of the different pages of
+    the host.  One that counts by its place must also stand there in at least half of the
+    units that hold it; and a flow block between others is one only if the number of its
+    siblings changes, since the place says nothing otherwise.
     """
-    found = cut_lineage(read.select("host", "page", "hashes").dropDuplicates(["host", "page"]))
-    counts = found.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = found.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
-    kept = often.join(counts, "host").where(F.col("n") >= least_share * F.col("pages"))
-    return kept.groupBy("host").agg(F.collect_list("hash").alias("templates"))
+    units = read.select("host", F.explode("units").alias("u")).select("host", "u.*").dropDuplicates(["host", "unit"])
+    rows = units.select("host", "unit", F.explode("found").alias("x")).select("host", "unit", "x.*")
+    # a unit may hold a candidate several times
+    once = rows.groupBy("host", "own", "key", "unit").agg(F.min("kind").alias("kind"), F.min("siblings").alias("lo"), F.max("siblings").alias("hi"))
+    by_key = once.groupBy("host", "own", "key").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("kind"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    # by subtree: one row for each place it was seen at
+    first = F.when(F.col("kind").isin(START, START_FLOW), F.col("n")).otherwise(0)
+    counted = by_key.withColumn("all", F.sum(first).over(Window.partitionBy("host", "own"))).where(F.col("n") >= least_pages)
+    fixed = F.col("kind").isin(START, END) | (F.col("lo") < F.col("hi"))
+    often = counted.where((F.col("kind") == ANYWHERE) | (2 * F.col("n") >= F.col("all")) & fixed)
+    pages = read.select("host", F.xxhash64("keys").alias("page")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    kept = often.join(pages, "host").where(F.col("n") >= least_share * F.col("pages"))
+    return kept.groupBy("host").agg(F.collect_list("key").alias("templates"))
 
 
 def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least_pages: int = 5, least_share: float = 0.1) -> DataFrame:

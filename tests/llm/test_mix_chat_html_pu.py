@@ -124,6 +124,25 @@ def test_what_recurs_on_a_site_goes(spark):
     assert html_templates.extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_what_recurs_inside_articles_goes_too(spark):
+    rows = []
+    for i in range(12):
+        story = "".join(f"<p>Story {i} part {j} of <a>Ghana</a> <a>Read on</a></p>" for j in range(1 + i % 3))
+        said = ["<p>Quoted here and there</p>" if j == i % 4 else f"<p>Words {i} {j}</p>" for j in range(4)]
+        rows.append((i, "http://a/", f"<article>{story}{''.join(said)}<p>{i} ends</p><div class=box>Sign up for our weekly letter</div><p>All rights are with us</p></article>"))
+        rows.append((100 + i, "http://b/", f"<div><p>The story {i} is told here</p></div><article>Card number {i}</article>"))
+        rows.append((200 + i, "http://c/", f"<p>n{i}</p><article><h1>One story</h1><p>on many pages</p></article>"))
+        rows.append((300 + i, "http://d/", f"<div><p>The story {i} is told here</p></div><article>The same card</article>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html_templates.extract_main_text(pages).collect()}
+    for i in range(12):
+        assert "Sign up" not in out[i] and "All rights" not in out[i]
+        assert "Quoted here and there" in out[i] and f"Story {i} part {i % 3} of Ghana\n" in out[i] and out[i].endswith(f"{i} ends")
+        assert out[100 + i] == f"The story {i} is told here\n\nCard number {i}"
+        assert out[200 + i] == "One story\n\non many pages"
+        assert out[300 + i] == f"The story {i} is told here"
+
+
 def test_classifiers_learn_from_positive_and_unlabelled_texts(spark):
     rng = np.random.default_rng(1)
     words = [f"plain{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
