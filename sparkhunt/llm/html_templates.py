@@ -14,14 +14,14 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparkhunt.names import c
 from sparkhunt.operators.lookup import lookup_join
-from sparkhunt.session import cut_lineage
+from sparkhunt.session import cut_lineage, scratch_path
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Never part of an article.
@@ -53,6 +53,8 @@ PROSE = 25
 #: How a candidate is counted: wherever it stands, or by its place from the start or from
 #: the end; flow blocks between others need a number of siblings that changes.
 ANYWHERE, START, START_FLOW, END, END_FLOW = range(5)
+#: Place of what is counted wherever it stands.
+NOWHERE = 1 << 30
 _SPACE = re.compile(r"\s+")
 _MARK = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
@@ -164,21 +166,20 @@ def _digest(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\0".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _key(own: int, place: int | None) -> int:
-    """Key of a subtree wherever it stands (even) or at a place (odd)."""
-    return own & ~1 if place is None else _digest(str(own), str(place)) | 1
+def candidates(nodes: list[tuple[Node, Node | None]], page: int) -> tuple[dict[int, dict], dict[int, list[int]], dict[int, int]]:
+    """What is counted: (candidates by unit, numbers of the candidates by node, number of each outermost main element).
 
-
-def candidates(nodes: list[tuple[Node, Node | None]], page: int) -> tuple[dict[int, list[dict]], dict[int, list[dict]], dict[int, int]]:
-    """What is counted: (candidates by unit, candidates by node, key of each outermost main element).
+    A candidate is a subtree at a place; its number in the page is even where the place
+    does not matter.
 
     A unit is the page, or the content of an outermost main element; equal units count
     once.  Outside the main elements, every element that holds text counts wherever it
     stands, if it holds no main element; so do link blocks inside one.  The other blocks
     inside a main element count by their place among their siblings, from the start and
-    from the end, so that a passage that articles quote here and there stays.  Words of
-    running text and single items or cells of lists and tables are no candidates; a link
-    that ends a line of text is one at that place.
+    from the end, so that a passage that articles quote here and there stays; so do items
+    and cells outside of one, which mean something only within their list or table (inside
+    one they are no candidates).  Words within a line of text are no candidates; a link
+    that ends it, or any element outside a main element, is one at that place.
     """
     inside, above = _main_marks(nodes)
     chars: dict[int, int] = {}
@@ -196,64 +197,67 @@ def candidates(nodes: list[tuple[Node, Node | None]], page: int) -> tuple[dict[i
                 parts.append(_SPACE.sub(" ", kid).strip())
         chars[id(node)], linked[id(node)] = n, n if node.tag in LINKED else m
         digest[id(node)] = _digest(*parts)
-    units: dict[int, list[dict]] = {page: []}
-    found: dict[int, list[dict]] = {}
+    units: dict[int, dict] = {}
+    found: dict[int, list[int]] = {}
     tops: dict[int, int] = {}
+    numbers: dict[tuple[int, int], int] = {}
 
-    def add(node: Node, kinds: list[tuple[int, int | None]], siblings: int = 0) -> None:
+    def add(node: Node, kinds: list[tuple[int, int]], siblings: int = 0) -> None:
         top = inside.get(id(node))
         own = digest[id(node)] if top is None else _digest("in", str(digest[id(node)]))
-        unit = page if top is None else digest[id(top)]
-        made = [{"own": own, "key": _key(own, place), "kind": kind, "siblings": siblings} for kind, place in kinds]
-        found[id(node)] = made
-        units.setdefault(unit, []).extend(made)
+        unit = units.setdefault(page if top is None else digest[id(top)], {})
+        found[id(node)] = []
+        for kind, place in kinds:
+            at = numbers.setdefault((own, place), 2 * len(numbers) + (kind != ANYWHERE))
+            # a unit may hold a candidate several times
+            one = unit.setdefault(at, {"at": at, "own": own, "place": place, "kind": kind, "low": siblings, "high": siblings})
+            one["kind"], one["low"], one["high"] = min(one["kind"], kind), min(one["low"], siblings), max(one["high"], siblings)
+            found[id(node)].append(at)
 
     for node, _ in nodes:
-        if not chars[id(node)]:
-            continue
-        if id(node) not in inside:
-            if node.tag not in ("#page", "html", "body") and id(node) not in above:
-                add(node, [(ANYWHERE, None)])
-                if _is_main(node):
-                    tops[id(node)] = found.pop(id(node))[0]["key"]
-        if id(node) not in inside and not _is_main(node):
-            continue
-        # inside a main element: with its siblings
-        kids = [x for x in node.kids if (chars[id(x)] if isinstance(x, Node) else not x.isspace())]
-        running = any(isinstance(x, str) for x in kids)
-        beside = any(isinstance(x, Node) and x.tag in BLOCKS for x in kids)
-        for i, kid in enumerate(kids):
-            if isinstance(kid, str):
+        line, spoken, lines = 0, set(), []
+        for kid in node.kids:
+            breaks = isinstance(kid, Node) and (kid.tag in BLOCKS or kid.tag == "br")
+            line += breaks
+            if kid_chars := chars[id(kid)] if isinstance(kid, Node) else len(kid.strip()):
+                lines.append((kid, kid_chars, line))
+            if isinstance(kid, str) and any(map(str.isalnum, kid)):
+                spoken.add(line)
+            line += breaks
+        beside = any(isinstance(x, Node) and x.tag in BLOCKS for x, _, _ in lines)
+        for i, (kid, kid_chars, at) in enumerate(lines):
+            if isinstance(kid, str) or id(kid) in above and id(kid) not in inside and not _is_main(kid) or kid.tag in ("html", "body"):
                 continue
-            links, last = 2 * linked[id(kid)] >= chars[id(kid)], i == len(kids) - 1
-            if kid.tag not in BLOCKS and running:
-                if links:  # the first of these is only counted, since its siblings never change
-                    add(kid, [(START_FLOW, i), (END, -1)] if last else [(START_FLOW, i)])
-            elif links:
-                add(kid, [(ANYWHERE, None)])
-            elif kid.tag in PARTS or kid.tag not in BLOCKS and not beside:
+            if (outside := id(kid) not in inside) and _is_main(kid):
+                add(kid, [(ANYWHERE, NOWHERE)])
+                tops[id(kid)] = found.pop(id(kid))[0]
                 continue
-            else:
+            links, last = 2 * linked[id(kid)] >= kid_chars, i == len(lines) - 1
+            if kid.tag not in BLOCKS and at in spoken:
+                if links or outside:  # the first of these is only counted, since its siblings never change
+                    add(kid, [(START_FLOW, i), (END, -1)] if last else [(START_FLOW, i)])
+            elif links or outside and kid.tag not in PARTS:
+                add(kid, [(ANYWHERE, NOWHERE)])
+            elif outside or kid.tag not in PARTS and (kid.tag in BLOCKS or beside):
                 flow = kid.tag in FLOW
-                add(kid, [(START_FLOW if flow and i else START, i), (END_FLOW if flow and not last else END, i - len(kids))], len(kids))
+                add(kid, [(START_FLOW if flow and i else START, i), (END_FLOW if flow and not last else END, i - len(lines))], len(lines))
     return units, found, tops
 
 
-def read_page(html: str) -> tuple[list[dict], list[int], list[dict]]:
-    """(units with their candidates, keys of all candidates, blocks of text) of a page.
+def read_page(html: str) -> tuple[list[dict], list[dict]]:
+    """(units with their candidates, blocks of text) of a page.
 
     Elements that are marked as something else than an article are left out.  A block has
-    the key of the outermost main element it lies in (``top``, or None), whether it is a
-    paragraph (``para``), and pieces with the keys of the candidates each lies ``under``.
+    the number of the outermost main element it lies in (``top``, or None), whether it is a
+    paragraph (``para``), and pieces with the numbers of the candidates each lies ``under``.
     """
     root = parse(html)
     _prune(root)
     units, found, tops = candidates(_walk(root), _digest(html))
-    keys = {x["key"] for made in units.values() for x in made}
-    return [{"unit": k, "found": v} for k, v in units.items() if v], sorted(keys), _text_blocks(root, found, tops)
+    return [{"unit": k, "found": list(v.values())} for k, v in units.items()], _text_blocks(root, found, tops)
 
 
-def _text_blocks(root: Node, found: dict[int, list[dict]], tops: dict[int, int]) -> list[dict]:
+def _text_blocks(root: Node, found: dict[int, list[int]], tops: dict[int, int]) -> list[dict]:
     blocks: list[dict] = []
     held: list[dict] = []
 
@@ -274,7 +278,7 @@ def _text_blocks(root: Node, found: dict[int, list[dict]], tops: dict[int, int])
                 flush(top, para)
                 wait.append((None, (), tops.get(id(item), top), para or item.tag in PARAGRAPHS))
             inner_top, inner_para = tops.get(id(item), top), para or item.tag in PARAGRAPHS
-            under = (*under, *(x["key"] for x in found.get(id(item), ())))
+            under = (*under, *found.get(id(item), ()))
             if item.tag == "br":
                 held.append({"text": " ", "under": under})
             wait.extend((x, under, inner_top, inner_para) for x in reversed(item.kids))
@@ -323,7 +327,7 @@ def join_blocks(blocks: list[dict], templates: set[int] | frozenset[int] = froze
 
 
 def main_text(html: str, templates: set[int] | frozenset[int] = frozenset()) -> str:
-    return join_blocks(read_page(html)[2], templates)
+    return join_blocks(read_page(html)[1], templates)
 
 
 def _rows(**fields: T.DataType) -> T.ArrayType:
@@ -331,53 +335,52 @@ def _rows(**fields: T.DataType) -> T.ArrayType:
 
 
 _LONG, _INT = T.LongType(), T.IntegerType()
-_BLOCKS = _rows(top=_LONG, para=T.BooleanType(), pieces=_rows(text=T.StringType(), under=T.ArrayType(_LONG)))
-_UNITS = _rows(unit=_LONG, found=_rows(own=_LONG, key=_LONG, kind=_INT, siblings=_INT))
+_BLOCKS = _rows(top=_INT, para=T.BooleanType(), pieces=_rows(text=T.StringType(), under=T.ArrayType(_INT)))
+_UNITS = _rows(unit=_LONG, found=_rows(at=_INT, own=_LONG, place=_INT, kind=_INT, low=_INT, high=_INT))
 
 
 def read_pages(pages: DataFrame) -> DataFrame:
-    """Replaces ``html`` by ``units``, ``keys`` and ``blocks``; parses once."""
+    """Replaces ``html`` by ``units`` and ``blocks``; parses once."""
     kept = [x for x in pages.schema.fields if x.name != "html"]
-    schema = T.StructType([*kept, T.StructField("units", _UNITS), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("blocks", _BLOCKS)])
+    schema = T.StructType([*kept, T.StructField("units", _UNITS), T.StructField("blocks", _BLOCKS)])
     arrow = to_arrow_schema(schema)
     ready = pages.select(*[x.name for x in kept], "html")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             found = [read_page(x) for x in part.column("html").to_pylist()]
-            for x in (x for _, _, blocks in found for block in blocks for x in block["pieces"]):
+            for x in (x for _, blocks in found for block in blocks for x in block["pieces"]):
                 x["text"] = x["text"].encode("utf-8", "replace").decode() if not x["text"].isascii() else x["text"]
-            made = [pa.array([x[i] for x in found], arrow.field(name).type) for i, name in enumerate(("units", "keys", "blocks"))]
+            made = [pa.array([x[i] for x in found], arrow.field(name).type) for i, name in enumerate(("units", "blocks"))]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], schema.names)
 
     return ready.mapInArrow(run, schema)
 
 
-def site_templates(read: DataFrame, least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
-    """(host, templates): keys of the subtrees that recur on a host.
+def _group() -> Column:
+    return F.xxhash64("host", "x.own")
+
+
+def site_templates(read: DataFrame, least_pages: int = 5) -> DataFrame:
+    """(group, place): the subtrees that recur on a host; a group is a subtree of a host.
 
     ``read`` has ``host`` and ``units``.  A candidate is a template where it occurs in at
-    least ``least_pages`` different units and ``least_share`` of the different pages of
-    the host.  One that counts by its place must also stand there in at least half of the
-    units that hold it; and a flow block between others is one only if the number of its
-    siblings changes, since the place says nothing otherwise.
+    least ``least_pages`` different units, however many pages the host has.  One that
+    counts by its place must also stand there in more than half of the units that hold it;
+    and a flow block between others is one only if the number of its siblings changes,
+    since the place says nothing otherwise.
     """
     units = read.select("host", F.explode("units").alias("u")).select("host", "u.*").dropDuplicates(["host", "unit"])
-    rows = units.select("host", "unit", F.explode("found").alias("x")).select("host", "unit", "x.*")
-    # a unit may hold a candidate several times
-    once = rows.groupBy("host", "own", "key", "unit").agg(F.min("kind").alias("kind"), F.min("siblings").alias("lo"), F.max("siblings").alias("hi"))
-    by_key = once.groupBy("host", "own", "key").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("kind"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    # by subtree: one row for each place it was seen at
+    rows = units.select("host", F.explode("found").alias("x")).select(_group().alias("group"), "x.place", "x.kind", "x.low", "x.high")
+    by_place = rows.groupBy("group", "place").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("kind"), F.min("low").alias("low"), F.max("high").alias("high"))
+    # a group has one row here for each place it was seen at
     first = F.when(F.col("kind").isin(START, START_FLOW), F.col("n")).otherwise(0)
-    counted = by_key.withColumn("all", F.sum(first).over(Window.partitionBy("host", "own"))).where(F.col("n") >= least_pages)
-    fixed = F.col("kind").isin(START, END) | (F.col("lo") < F.col("hi"))
-    often = counted.where((F.col("kind") == ANYWHERE) | (2 * F.col("n") >= F.col("all")) & fixed)
-    pages = read.select("host", F.xxhash64("keys").alias("page")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    kept = often.join(pages, "host").where(F.col("n") >= least_share * F.col("pages"))
-    return kept.groupBy("host").agg(F.collect_list("key").alias("templates"))
+    counted = by_place.withColumn("all", F.sum(first).over(Window.partitionBy("group"))).where(F.col("n") >= least_pages)
+    fixed = F.col("kind").isin(START, END) | (F.col("low") < F.col("high"))
+    return counted.where((F.col("kind") == ANYWHERE) | (2 * F.col("n") > F.col("all")) & fixed).select("group", "place")
 
 
-def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
+def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least_pages: int = 5) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages``.
 
     A null page is an empty one and gives an empty text; rows without a host form a site
@@ -387,9 +390,16 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
     """
     host = F.lower(F.coalesce(F.try_parse_url(c(url), F.lit("HOST")), F.lit("")))
     rows = pages.select(c(key).alias("key"), c(url).alias("url"), host.alias("host"), F.coalesce(c(html), F.lit("")).alias("html"))
-    read = cut_lineage(read_pages(rows))
-    templates = cut_lineage(site_templates(read, least_pages, least_share))
-    joined = lookup_join(read.select("key", "url", "host", "blocks"), templates, ["host"]).select("key", "url", "blocks", "templates")
+    path = scratch_path(pages.sparkSession, "pages")
+    read = read_pages(rows).withColumn("row", F.monotonically_increasing_id())
+    read.write.option("compression", "zstd").parquet(path)
+    read = pages.sparkSession.read.schema(read.schema).parquet(path)
+    templates = cut_lineage(site_templates(read, least_pages))
+    # a host may have any number of templates: each row gets those it holds, no host a list
+    own = read.select("row", "host", F.explode(F.flatten("units.found")).alias("x")).select("row", _group().alias("group"), "x.place", "x.at")
+    held = lookup_join(own, templates, ["group", "place"], "inner")
+    lists = cut_lineage(held.groupBy("row").agg(F.collect_set("at").alias("templates")))
+    joined = lookup_join(read.select("row", "key", "url", "blocks"), lists, "row").select("key", "url", "blocks", "templates")
     schema = T.StructType([T.StructField(key, pages.schema[key].dataType), T.StructField(url, pages.schema[url].dataType), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     names = schema.names
 

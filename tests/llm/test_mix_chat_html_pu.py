@@ -143,6 +143,17 @@ def test_what_recurs_inside_articles_goes_too(spark):
         assert out[300 + i] == f"The story {i} is told here"
 
 
+def test_a_few_of_many_pages_make_a_template(spark):
+    rows = []
+    for i in range(200):
+        menu = f"<div><p>Section {i // 10}</p><a>Go</a> | <a>Part {i // 10}</a><br>Told in <a>Ghana</a> on day {i}</div>"
+        rows.append((i, "http://a/", f"{menu}<table><tr><td>Case {i}<td>{'yes' if i % 2 else i}<td>{i if i % 2 else 'yes'}</table><p>The story {i}</p>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html_templates.extract_main_text(pages).collect()}
+    assert out[7] == "| Told in Ghana on day 7\n\nCase 7\n\nyes\n\n7\n\nThe story 7"
+    assert all("Section" not in x and "Part" not in x and "Ghana" in x for x in out.values())
+
+
 def test_classifiers_learn_from_positive_and_unlabelled_texts(spark):
     rng = np.random.default_rng(1)
     words = [f"plain{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
