@@ -320,3 +320,15 @@ def test_addresses_agree_with_the_standard_library(text_of):
     assert text_of(ip_key, texts) == [address_key(a) for a in plain]
     assert text_of(ip_is_private, texts) == [a.is_private for a in plain]
     assert text_of(ip_key, bad) == [None] * len(bad)
+
+
+def test_boosted_query_fits_the_operators_model(spark, monkeypatch):
+    from queryset import QUERIES, q_graph
+    from sparkhunt.operators import classify
+
+    fitted = []
+    known = spark.createDataFrame([(1, 0.0)], "id long, prediction double")
+    monkeypatch.setattr(q_graph, "_split", lambda t: (None, known))
+    monkeypatch.setattr(classify, "_fit_predict", lambda models, train, test: fitted.extend(models) or test)
+    QUERIES["classify_boosted"](spark, "")
+    assert [(x.getMaxIter(), x.getMaxDepth()) for x in fitted] == [(100, 6)]
