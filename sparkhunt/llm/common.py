@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -24,6 +25,19 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
+@contextmanager
+def with_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is run inside; they are set back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def own_name(name: str, taken: Iterable[str]) -> str:
     """``name``, with underscores in front until no column of ``taken`` is called so."""
     taken = {x.lower() for x in taken}

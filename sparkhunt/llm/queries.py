@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkhunt.llm import chat_format, decontaminate, exact_dedup, html_templates, lsh_forest, mixing, pu_toxicity, token_counts, warc, wavelet
+from sparkhunt.llm import chat_format, decontaminate, exact_dedup, html_templates, lsh_forest, merkle, mixing, pu_toxicity, token_counts, warc, wavelet
 from sparkhunt.llm.common import table
 from sparkhunt.session import scratch_path
 
@@ -139,3 +139,62 @@ def op9(spark, folder):
 @query("op10_html_templates")
 def op10(spark, folder):
     return html_templates.extract_main_text(table(spark, folder, "pages"))
+
+
+@query(
+    "op11_merkle_manifest",
+    """
+    with recursive crc as (  -- CRC-32 of the decimal doc_id, a byte a step, bit by bit
+      select doc_id, doc_id::varchar s, 1 i, 4294967295::bigint h from (select distinct doc_id from documents where doc_id is not null)
+      union all
+      select doc_id, s, i + 1, list_reduce([xor(h, ascii(s[i]))::bigint] || list_transform(range(8), lambda x: 0::bigint), lambda a, b: case when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end)
+      from crc where i <= length(s)
+    ),
+    forged as (select doc_id from crc where i = length(s) + 1 and xor(h, 4294967295) % 3 = 0),
+    f as (
+      select d.doc_id, lang, [d.doc_id::varchar, source, lang, n_chars::varchar, text] v,
+        [d.doc_id::varchar, source, lang, n_chars::varchar, case when forged.doc_id is null then text else translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') end] w
+      from documents d left join forged on d.doc_id = forged.doc_id
+    ),
+    leaves as (
+      select doc_id, lang,
+        sha256(array_to_string(list_transform(v, lambda x: coalesce(octet_length(encode(x)) || ':' || x, '-')), '')) leaf,
+        sha256(array_to_string(list_transform(w, lambda x: coalesce(octet_length(encode(x)) || ':' || x, '-')), '')) start
+      from f
+    ),
+    placed as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 spot from leaves),
+    trees as (  -- per lang all digests of a level as one list
+      select lang, 0 level, list(leaf order by spot) d from placed group by lang
+      union all
+      select lang, level + 1, list_transform(range(0, len(d), 8), lambda i: sha256(array_to_string(d[i + 1:i + 8], ''))) from trees where len(d) > 1
+    ),
+    subroots as (select lang, d[1] subroot, row_number() over (order by lang nulls first) - 1 number from trees where len(d) = 1),
+    tops as (
+      select 0 level, list(subroot order by number) d from subroots
+      union all
+      select level + 1, list_transform(range(0, len(d), 8), lambda i: sha256(array_to_string(d[i + 1:i + 8], ''))) from tops where len(d) > 1
+    ),
+    nodes as (
+      select s.number, level, d, 0 part from trees t join subroots s on t.lang is not distinct from s.lang where len(d) > 1
+      union all select s.number, 1000 + level, d, 1 from tops, subroots s where len(d) > 1
+    ),
+    stages as (select *, row_number() over (partition by number order by level) step from nodes),
+    climb as (
+      select p.doc_id, p.lang, p.leaf, s.number, p.spot, p.start held, '' proof, 1 step from placed p join subroots s on p.lang is not distinct from s.lang
+      union all
+      select doc_id, lang, leaf, c.number, pos // 8,
+        sha256(array_to_string(d[pos // 8 * 8 + 1:pos], '') || held || array_to_string(d[pos + 2:pos // 8 * 8 + 8], '')),
+        proof || array_to_string(d[pos // 8 * 8 + 1:pos], '') || array_to_string(d[pos + 2:pos // 8 * 8 + 8], ''), c.step + 1
+      from (select c.*, s.d, case when s.level = 1000 then c.number else c.spot end pos from climb c join stages s on s.number = c.number and s.step = c.step) c
+    ),
+    ends as (select c.* from climb c join (select number, max(step) + 1 last from stages group by number) e on c.number = e.number and c.step = e.last
+             union all select c.* from climb c where not exists (select 1 from stages s where s.number = c.number)),
+    root as (select d[1] root from tops where len(d) = 1)
+    select doc_id, leaf, subroot, root, sha256(proof) proof_sha256, held folded_root, held = root verified
+    from ends join subroots using (number), root
+    """,
+)
+def op11(spark, folder):
+    forged = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.verify(table(spark, folder, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], {"text": lowered}, forged)
