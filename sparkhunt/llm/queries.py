@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkhunt.llm import chat_format, decontaminate, exact_dedup, html_templates, lsh_forest, merkle, mixing, pu_toxicity, token_counts, warc, wavelet
+from sparkhunt.llm import chat_format, collocations, decontaminate, exact_dedup, html_templates, lsh_forest, merkle, mixing, pu_toxicity, suffix_repeats, token_counts, warc, wavelet
 from sparkhunt.llm.common import table
 from sparkhunt.session import scratch_path
 
@@ -198,3 +198,62 @@ def op11(spark, folder):
     forged = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return merkle.verify(table(spark, folder, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], {"text": lowered}, forged)
+
+
+@query(
+    "op12_collocations",
+    r"""
+    with p as (
+      select coalesce(lang, 'und') lang, doc_id, row_number() over () piece,
+        list_filter(regexp_split_to_array(s, '[ \t]+'), lambda x: x <> '') w
+      from (select lang, doc_id, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) s from documents)
+    ),
+    sizes as (select lang, sum(len(w))::bigint n from p group by lang),
+    f as (
+      select lang, array_to_string(w[i:i + k - 1], ' ') phrase, k, count(*) f
+      from (select lang, w, k, unnest(range(1, len(w) - k + 2)) i from p, (select unnest(range(1, 6)) k)) group by all having count(*) >= 100
+    ),
+    cand as (select lang, phrase, k, f a, string_split(phrase, ' ') w from f where k > 1),
+    cuts as (select *, array_to_string(w[1:c], ' ') head, array_to_string(w[c + 1:], ' ') tail from (select *, unnest(range(1, k)) c from cand)),
+    scored as (
+      select cuts.lang, cuts.phrase, a, cuts.k, c, h.f l, t.f r, n, ((1000::hugeint * a * n) // (h.f::hugeint * t.f))::bigint score
+      from cuts join f h on h.lang = cuts.lang and h.phrase = head join f t on t.lang = cuts.lang and t.phrase = tail join sizes on sizes.lang = cuts.lang
+    ),
+    lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+    longer as (
+      select lang, array_to_string(w[i:i + m - 1], ' ') phrase, max(a) longest
+      from (select *, unnest(range(1, k - m + 2)) i from (select *, unnest(range(2, k)) m from cand)) group by all
+    ),
+    kept as (select lowest.* from lowest left join longer using (lang, phrase) where longest is null or longest < a)
+    select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) "rank", phrase, a, l, r, n, score
+    from kept qualify "rank" <= 2000
+    """,
+)
+def op12(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query(
+    "op13_suffix_repeats",
+    """
+    with d as (select doc_id, encode(coalesce(text, '')) b, octet_length(encode(coalesce(text, ''))) n from documents),
+    later as (
+      select doc_id, p from (select doc_id, p, b[p + 1:p + 100] s from (select *, unnest(range(0, n - 99)) p from d))
+      qualify row_number() over (partition by s order by doc_id, p) > 1
+    ),
+    steps as (select *, case when p - lag(p) over (partition by doc_id order by p) <= 100 then 0 else 1 end new from later),
+    runs as (select doc_id, min(p) a, max(p) + 100 z from (select *, sum(new) over (partition by doc_id order by p) run from steps) group by doc_id, run),
+    spans as (select doc_id, count(*) n_spans, sum(z - a) n_removed from runs group by doc_id),
+    parts as (
+      select doc_id, z a, lead(a) over (partition by doc_id order by a) z from (select doc_id, a, z from runs union all select doc_id, -1, 0 from d)
+    ),
+    kept as (select doc_id, string_agg(hex(b[parts.a + 1:coalesce(parts.z, n)]), '' order by parts.a) h from parts join d using (doc_id) where parts.a < coalesce(parts.z, n) group by doc_id)
+    select d.doc_id, n n_bytes, coalesce(n_removed, 0)::bigint n_removed, coalesce(n_spans, 0) n_spans, sha256(unhex(coalesce(h, ''))) kept_sha256
+    from d left join spans using (doc_id) left join kept using (doc_id)
+    """,
+)
+def op13(spark, folder):
+    cleaned = suffix_repeats.remove_repeats(table(spark, folder, "documents"))
+    removed = (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed")
+    spans = F.coalesce(F.size("spans"), F.lit(0)).cast("bigint").alias("n_spans")
+    return cleaned.select("doc_id", "n_bytes", removed, spans, F.sha2("kept", 256).alias("kept_sha256"))
