@@ -27,7 +27,8 @@ from sparkhunt.functions.whois import whois_parse  # noqa: E402
 from sparkhunt.operators import aggregates as agg  # noqa: E402
 from sparkhunt.operators import graph as gr  # noqa: E402
 from sparkhunt.operators.dbscan import dbscan_numeric  # noqa: E402
-from sparkhunt.operators.joins import intel_ip_enrich, ip_geolocate  # noqa: E402
+from sparkhunt.operators.geo import ip_geolocate  # noqa: E402
+from sparkhunt.operators.joins import intel_ip_enrich  # noqa: E402
 from sparkhunt.plans.exfiltration import exfiltration  # noqa: E402
 from sparkhunt.plans.process_scoring import powershell_deobfuscate, suspicious_process_score  # noqa: E402
 from sparkhunt.session import build_session  # noqa: E402

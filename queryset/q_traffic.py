@@ -10,6 +10,7 @@ from sparkhunt.functions import intel, ipaddr, timeparts as tp, whois as wh
 from sparkhunt.functions.whois_rules import COUNTRY_CODES, LINE_RULES, MONTHS
 from sparkhunt.names import c
 from sparkhunt.operators import aggregates as agg
+from sparkhunt.operators import geo
 from sparkhunt.operators import joins as jn
 from sparkhunt.plans import enrichment, exfiltration
 
@@ -253,7 +254,22 @@ geo as (select ip, latitude, longitude from ips join v_geo_blocks on n between s
 def _(t):
     v = t("v_connections")
     ips = v.select(c("src_ip").alias("ip")).unionAll(v.select(c("dst_ip").alias("ip")))
-    return jn.ip_geolocate(ips, t("v_geo_blocks"), "ip")
+    return geo.ip_geolocate(ips, t("v_geo_blocks"), "ip")
+
+
+@query(
+    "ip_geolocate_nested",
+    """
+    with p as (select ip, n4, k6 from v_geo_points group by all),
+    hits as (
+      select ip, latitude, longitude, n4 - low4 as d4, null as low6, high4 - low4 as wide, null as high6 from p join v_geo_networks on n4 between low4 and high4
+      union all select ip, latitude, longitude, null, low6, null, high6 from p join v_geo_networks on k6 between low6 and high6
+    )
+    select ip, latitude::double as latitude, longitude::double as longitude from hits qualify row_number() over (partition by ip order by d4, wide, low6 desc, high6) = 1
+    """,
+)
+def _(t):
+    return geo.ip_geolocate(t("v_geo_points"), t("v_geo_networks"), "ip")
 
 
 @query(

@@ -261,6 +261,45 @@ union all
 select cast(151060992 as bigint), cast(151061247 as bigint), 50.0, 8.5 from region where r_regionkey = 1
 """
 
+# networks of both versions, three levels deep, with their ends; no level fills the one above
+_N = "cast(n_nationkey as string)"
+_K = "cast(1000 + s_suppkey % 60 as string)"
+VIEWS["v_geo_networks"] = f"""
+select '45.0.0.0/8' as network, 45 * 16777216 as low4, 46 * 16777216 - 1 as high4, cast(null as string) as low6, cast(null as string) as high6, 1.0 as latitude, 2.0 as longitude from region where r_regionkey = 0
+union all
+select '45.' || {_N} || '.0.0/16', 45 * 16777216 + n_nationkey * 65536, 45 * 16777216 + n_nationkey * 65536 + 65535, null, null, n_nationkey * 1.0, 10.0 from nation where n_nationkey % 4 <> 3
+union all
+select '45.' || {_N} || '.' || cast(4 * (n_nationkey % 10) as string) || '.0/22', 45 * 16777216 + n_nationkey * 65536 + 1024 * (n_nationkey % 10),
+  45 * 16777216 + n_nationkey * 65536 + 1024 * (n_nationkey % 10) + 1023, null, null, n_nationkey * 1.0, 20.0 from nation
+union all
+select '45.' || {_N} || '.' || cast(4 * (n_nationkey % 10) + 1 as string) || '.129/25', 45 * 16777216 + n_nationkey * 65536 + 1024 * (n_nationkey % 10) + 384,
+  45 * 16777216 + n_nationkey * 65536 + 1024 * (n_nationkey % 10) + 511, null, null, n_nationkey * 1.0, 30.0 from nation
+union all
+select '2001:DB8::/32', null, null, '620010db8' || repeat('0', 24), '620010db8' || repeat('f', 24), 3.0, 4.0 from region where r_regionkey = 1
+union all
+select distinct '2001:db8:' || substr({_K}, 1, 3) || '0::/44', cast(null as bigint), cast(null as bigint), '620010db8' || substr({_K}, 1, 3) || repeat('0', 21), '620010db8' || substr({_K}, 1, 3) || repeat('f', 21),
+  floor((s_suppkey % 60) / 10) * 1.0, 40.0 from supplier where s_suppkey % 60 < 40
+union all
+select distinct '2001:db8:' || {_K} || '::/48', cast(null as bigint), cast(null as bigint), '620010db8' || {_K} || repeat('0', 20), '620010db8' || {_K} || repeat('f', 20), s_suppkey % 60 * 1.0, 50.0
+  from supplier where s_suppkey % 60 % 3 <> 1
+union all
+select distinct '2001:db8:' || {_K} || '::2000/116', cast(null as bigint), cast(null as bigint), '620010db8' || {_K} || repeat('0', 16) || '2000', '620010db8' || {_K} || repeat('0', 16) || '2fff', s_suppkey % 60 * 1.0, 60.0
+  from supplier
+"""
+
+_E = "cast(1000 + event_id % 70 as string)"
+_F = "cast(1000 + event_id % 3000 as string)"
+VIEWS["v_geo_points"] = f"""
+select '45.' || cast(event_id % 27 as string) || '.' || cast(event_id % 43 as string) || '.' || cast(event_id % 256 as string) as ip,
+  45 * 16777216 + event_id % 27 * 65536 + event_id % 43 * 256 + event_id % 256 as n4, cast(null as string) as k6 from events where event_id % 3 = 0
+union all
+select '2001:db8:' || {_E} || '::' || {_F}, null, '620010db8' || {_E} || repeat('0', 16) || {_F} from events where event_id % 3 = 1
+union all
+select '2001:DB8:' || {_E} || ':0:0:0:0:' || {_F}, null, '620010db8' || {_E} || repeat('0', 16) || {_F} from events where event_id % 30 = 2
+union all
+select '2001:db9::1', null, '620010db9' || repeat('0', 23) || '1' from region
+"""
+
 VIEWS["v_intel_ip"] = """
 select ip, case n % 5
   when 0 then '{"ip": {"attacks": null, "ascountry": "US", "asname": "AS ' || cast(n as string) || '"}}'

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkhunt.functions.intel import (
@@ -13,7 +13,7 @@ from sparkhunt.functions.intel import (
     sans_fields,
     xfe_fields,
 )
-from sparkhunt.functions.ipaddr import in_ranges, ip_key, ipv4_long, key_ranges
+from sparkhunt.functions.ipaddr import in_ranges, ip_key, key_ranges
 from sparkhunt.functions.timeparts import iso_timestamp
 from sparkhunt.functions.whois import ptr_org_fields
 from sparkhunt.names import c, let
@@ -165,62 +165,6 @@ def hostname_resolve(df: DataFrame, dns_df: DataFrame, attr: str = "hostname") -
 
 # -- address ranges ------------------------------------------------------------------------
 
-_BUCKET = 1 << 16
-
-
-def ip_geolocate(df: DataFrame, blocks_df: DataFrame, attr: str) -> DataFrame:
-    """(ip, latitude, longitude) of the distinct addresses found in a block table.
-
-    Blocks (start_ip, end_ip as numbers) do not overlap.  Addresses and block starts are
-    merged in address order inside each /16 bucket, and an address takes the last start
-    before it; so the work is a sort, not a comparison of all pairs in a bucket, and a
-    bucket never holds more than its 65,536 addresses and starts.
-    """
-    ips = (
-        df.select(c(attr).alias("ip"))
-        .distinct()
-        .withColumn("addr", ipv4_long(F.col("ip")))
-        .where(F.col("addr").isNotNull())
-    )
-    place = F.struct("latitude", "longitude", "end_ip")
-    none = F.lit(None).cast(
-        "struct<latitude: double, longitude: double, end_ip: bigint>"
-    )
-    pieces = blocks_df.select(
-        F.explode(
-            F.sequence(F.floor(F.col("start_ip") / _BUCKET), F.floor(F.col("end_ip") / _BUCKET))
-        ).alias("bucket"),
-        "start_ip",
-        place.alias("place"),
-    ).select(
-        "bucket",
-        F.greatest("start_ip", F.col("bucket") * _BUCKET).alias("addr"),
-        F.lit(0).alias("kind"),
-        F.lit(None).cast("string").alias("ip"),
-        F.col("place").cast("struct<latitude: double, longitude: double, end_ip: bigint>").alias("place"),
-    )
-    points = ips.select(
-        F.floor(F.col("addr") / _BUCKET).alias("bucket"),
-        "addr",
-        F.lit(1).alias("kind"),
-        "ip",
-        none.alias("place"),
-    )
-    window = (
-        Window.partitionBy("bucket")
-        .orderBy("addr", "kind")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    located = (
-        pieces.unionByName(points)
-        .withColumn("at", F.last("place", ignorenulls=True).over(window))
-        .where((F.col("kind") == 1) & (F.col("addr") <= F.col("at.end_ip")))
-    )
-    return located.select(
-        "ip", F.col("at.latitude").alias("latitude"), F.col("at.longitude").alias("longitude")
-    )
-
-
 def cidr_membership(df: DataFrame, attr: str, networks: Sequence[str], name: str = "in_network") -> DataFrame:
     """Flag rows whose address lies in one of the networks (merged into ranges first)."""
     return df.withColumn(name, let(ip_key(c(attr)), lambda key: in_ranges(key, key_ranges(networks))))

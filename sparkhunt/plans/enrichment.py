@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from sparkhunt.functions.log4shell import l4s_detect
 from sparkhunt.names import c
 from sparkhunt.operators.filters import drop_falsy, traffic_ip_list
-from sparkhunt.operators.joins import hostname_resolve, ip_geolocate
+from sparkhunt.operators.geo import ip_geolocate
+from sparkhunt.operators.joins import hostname_resolve
 
 
 def log4shell(df: DataFrame, dns_df: DataFrame | None = None) -> DataFrame:

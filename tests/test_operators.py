@@ -13,7 +13,7 @@ from sparkhunt.operators import dbscan as db
 from sparkhunt.operators import graph as gr
 from sparkhunt.operators import knn, lookup, ordering, quantiles
 from sparkhunt.operators.components import connected_components
-from sparkhunt.operators.joins import ip_geolocate
+from sparkhunt.operators.geo import ip_geolocate
 from sparkhunt.operators.kmeans import kmeans_assign, kmeans_cluster, kmeans_cost
 from sparkhunt.operators.plots import plot_kind
 from sparkhunt.functions.ipaddr import ip_is_private, traffic_category
