@@ -22,15 +22,14 @@ from sparkhunt.llm.common import with_settings
 from sparkhunt.names import c
 from sparkhunt.operators.lookup import fits_broadcast, lookup_join
 from sparkhunt.operators.ordering import row_positions, running_sum
-from sparkhunt.session import cut_lineage, discard
+from sparkhunt.session import cut_lineage
 
 DEPTH = 5
 #: Lower case for A-Z, a space between words, a line end between pieces.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
 _COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("f", pa.int64())])
-_PACKED = pa.schema([("grp", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("packed", pa.binary())])
+_PACKED = pa.schema([("grp", pa.int64()), ("lang", pa.string()), ("packed", pa.binary())])
 _TEXT_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}
-_PACKED_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}
 
 
 class _Numbers(dict):
@@ -63,22 +62,44 @@ class _Texts:
     def ids(self) -> np.ndarray:
         return np.concatenate(self._ids)
 
-    def words(self) -> list[bytes]:
-        return list(self.numbers)
-
-    def windows(self, known: set[bytes] | None) -> np.ndarray:
-        """(DEPTH, suffixes) word numbers, -1 after the piece's end or an unknown word."""
-        ids, pieces = self.ids(), np.concatenate(self._pieces)
-        use = np.ones(len(self.numbers), bool)
-        if known is not None:
-            use = np.fromiter((w in known for w in self.numbers), bool, len(self.numbers))
-        held = np.where(use[ids], ids, -1)
-        out = np.full((DEPTH, len(ids)), -1, np.int32)
-        out[0] = held
-        for k in range(1, DEPTH):
+
+class _Known:
+    """The frequent words of each language, most frequent first, and pairs that are frequent.
+
+    Where they are too many to send around (``words`` None), texts keep numbers of their own.
+    """
+
+    def __init__(self, words: dict[str, list[bytes]] | None, pairs: dict[str, np.ndarray] | None = None):
+        self.words, self.pairs, self._numbers = words, pairs, {}
+
+    def numbers(self, texts: _Texts) -> tuple[dict[bytes, int], list[bytes]]:
+        if self.words is None:
+            return texts.numbers, list(texts.numbers)
+        names = self.words.get(texts.lang, [])
+        if texts.lang not in self._numbers:
+            self._numbers[texts.lang] = {w: i for i, w in enumerate(names)}
+        return self._numbers[texts.lang], names
+
+    def windows(self, texts: _Texts, depth: int) -> np.ndarray:
+        """(depth, suffixes) word numbers, -1 after the piece's end and from an infrequent
+        word or pair on."""
+        ids, pieces = texts.ids(), np.concatenate(texts._pieces)
+        if self.words is not None:
+            numbers, _ = self.numbers(texts)
+            own = np.fromiter((numbers.get(w, -1) for w in texts.numbers), np.int32, len(texts.numbers))
+            ids = own[ids]
+        out = np.full((depth, len(ids)), -1, np.int32)
+        out[0] = ids
+        follows = pieces[1:] == pieces[:-1]
+        if self.pairs is not None:
+            pairs = self.pairs.get(texts.lang, np.zeros(0, np.int64))
+            wanted = ids[:-1].astype(np.int64) << 32 | ids[1:]
+            at = np.minimum(np.searchsorted(pairs, wanted), max(len(pairs) - 1, 0))
+            follows &= (pairs[at] == wanted) if len(pairs) else False
+        for k in range(1, depth):
             n = max(len(ids) - k, 0)
-            more = (out[k - 1, :n] >= 0) & (pieces[k:] == pieces[:n])
-            out[k, :n] = np.where(more, held[k:], -1)
+            more = (out[k - 1, :n] >= 0) & follows[k - 1 :]
+            out[k, :n] = np.where(more, ids[k:], -1)
         return out
 
 
@@ -98,17 +119,17 @@ def _read(parts: Iterator[pa.RecordBatch], most: int = 4_000_000) -> Iterator[_T
 
 
 class _HotPrefixes:
-    """The prefixes too frequent for one group, by depth, in the numbers of some texts."""
+    """The prefixes too frequent for one group, by depth, in the numbers of a language."""
 
-    def __init__(self, hot: list[list[tuple[str, bytes]]], texts: _Texts):
-        self._width, known = len(texts.numbers) + 1, {b"": 0}
+    def __init__(self, hot: list[list[tuple[str, bytes]]], its_lang: str, numbers: dict[bytes, int]):
+        self._width, known = len(numbers) + 1, {b"": 0}
         self.phrases, self._keys, self._nodes = [b""], [], []
         for level in hot:
             keys, nodes, seen = [], [], {}
             for lang, phrase in level:
                 head, _, word = phrase.rpartition(b" ")
-                if lang == texts.lang and head in known and word in texts.numbers:
-                    keys.append(known[head] * self._width + texts.numbers[word])
+                if lang == its_lang and head in known and word in numbers:
+                    keys.append(known[head] * self._width + numbers[word])
                     seen[phrase] = len(self.phrases)
                     nodes.append(len(self.phrases))
                     self.phrases.append(phrase)
@@ -121,7 +142,7 @@ class _HotPrefixes:
         """For each depth: the suffixes that have a word there below a hot prefix (the empty
         one always is), that prefix's node, and whether the prefix with the word is hot."""
         rows, nodes = np.arange(windows.shape[1]), np.zeros(windows.shape[1], np.int64)
-        for depth in range(DEPTH):
+        for depth in range(len(windows)):
             word = windows[depth, rows]
             rows, nodes, word = rows[word >= 0], nodes[word >= 0], word[word >= 0]
             if depth >= len(self._keys) or not len(self._keys[depth]):
@@ -146,7 +167,7 @@ def _count_words(rows: DataFrame) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _read(parts):
             counts = np.bincount(texts.ids(), minlength=len(texts.numbers))
-            yield from _counted(texts.lang, texts.words(), 1, counts)
+            yield from _counted(texts.lang, list(texts.numbers), 1, counts)
 
     return _summed(rows.mapInArrow(run, "lang string, phrase string, k int, f long"))
 
@@ -156,18 +177,18 @@ def _summed(counted: DataFrame) -> DataFrame:
         return cut_lineage(counted.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")))
 
 
-def _count_extensions(rows: DataFrame, hot: list[list[tuple[str, bytes]]], known: dict[str, set[bytes]] | None) -> DataFrame:
+def _count_extensions(rows: DataFrame, hot: list[list[tuple[str, bytes]]], known: _Known) -> DataFrame:
     """Counts of the prefixes with one word more than the deepest hot ones."""
     depth = len(hot)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _read(parts):
-            windows, prefixes = texts.windows(known and known.get(texts.lang, set())), _HotPrefixes(hot, texts)
+            windows, (numbers, names) = known.windows(texts, depth + 1), known.numbers(texts)
+            prefixes = _HotPrefixes(hot, texts.lang, numbers)
             steps = list(prefixes.walk(windows))
             if len(steps) > depth and len(steps[depth][0]):
                 suffixes, nodes, _ = steps[depth]
-                keys, counts = np.unique(nodes * len(texts.numbers) + windows[depth, suffixes], return_counts=True)
-                names = texts.words()
+                keys, counts = np.unique(nodes * len(names) + windows[depth, suffixes], return_counts=True)
                 phrases = [prefixes.phrases[k // len(names)] + b" " + names[k % len(names)] for k in keys.tolist()]
                 yield from _counted(texts.lang, phrases, depth + 1, counts)
 
@@ -188,49 +209,53 @@ def _packed_groups(prefixes: DataFrame, budget: int) -> list[int]:
     return sorted(r.h for r in firsts.select("h").collect())
 
 
-def _pack(columns: np.ndarray, counts: np.ndarray, route: np.ndarray, names: list[bytes], packer: zstandard.ZstdCompressor) -> bytes:
-    """Sorted suffixes of one group as bytes, with the words they use."""
-    used, own = np.unique(columns, return_inverse=True)
-    own = own.reshape(columns.shape)
-    if used[0] < 0:
-        used = used[1:]
-    else:
-        own = own + 1
-    own = own.astype(np.uint16 if len(used) < 65_535 else np.uint32)
-    words = b"\n".join(names[i] for i in used.tolist())
-    head = np.array([columns.shape[1], len(words), own.itemsize], "<i8").tobytes()
-    return packer.compress(head + words + own.tobytes() + counts.astype("<u4").tobytes() + route.astype(np.uint8).tobytes())
+def _pack(columns: np.ndarray, counts: np.ndarray, route: np.ndarray, names: list[bytes] | None, packer: zstandard.ZstdCompressor) -> bytes:
+    """Sorted suffixes of one group as bytes; with the words they use if those have no common numbers."""
+    words = b""
+    if names is not None:
+        used, columns = np.unique(np.append(columns, -1), return_inverse=True)
+        columns = columns[:-1].reshape(-1, len(counts)) - 1
+        words = b"\n".join(names[i] for i in used[1:].tolist())
+    depth, n = columns.shape
+    planes = np.ascontiguousarray(columns + 1, "<u4").view(np.uint8).reshape(depth, n, 4).transpose(0, 2, 1).tobytes()
+    head = np.array([depth, n, len(words)], "<i8").tobytes()
+    return packer.compress(head + words + planes + counts.astype("<u4").tobytes() + route.astype(np.uint8).tobytes())
 
 
 def _unpack(data: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Words if there are any, (depth, n) numbers from 1 (0: none), counts, routes."""
     data = zstandard.ZstdDecompressor().decompress(data)
-    n, length, width = np.frombuffer(data[:24], "<i8").tolist()
+    depth, n, length = np.frombuffer(data[:24], "<i8").tolist()
     at = 24 + length
-    own = np.frombuffer(data, np.uint16 if width == 2 else np.uint32, DEPTH * n, at).reshape(DEPTH, n)
-    at += own.nbytes
-    return data[24 : 24 + length].split(b"\n"), own, np.frombuffer(data, "<u4", n, at), np.frombuffer(data, np.uint8, n, at + 4 * n)
+    planes = np.frombuffer(data, np.uint8, 4 * depth * n, at).reshape(depth, 4, n).transpose(0, 2, 1)
+    numbers = np.ascontiguousarray(planes).view("<u4").reshape(depth, n).astype(np.int32)
+    at += 4 * depth * n
+    return data[24 : 24 + length].split(b"\n") if length else [], numbers, np.frombuffer(data, "<u4", n, at), np.frombuffer(data, np.uint8, n, at + 4 * n)
 
 
-def _deal_suffixes(rows: DataFrame, bounds: list[int], hot: list[list[tuple[str, bytes]]], known: dict[str, set[bytes]] | None) -> DataFrame:
-    """(grp, lang, n, packed): the suffixes of two words or more, equal ones counted, by group."""
+def _deal_suffixes(rows: DataFrame, bounds: list[int], hot: list[list[tuple[str, bytes]]], known: _Known, depth: int, least_words: int) -> DataFrame:
+    """(grp, lang, packed): suffixes of ``least_words`` or more, equal ones counted, by group."""
     limits = np.array(bounds[1:], np.int64)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for texts in _read(parts):
-            windows, prefixes, names = texts.windows(known and known.get(texts.lang, set())), _HotPrefixes(hot, texts), texts.words()
+            windows, (numbers, names) = known.windows(texts, depth), known.numbers(texts)
+            windows = windows[:, windows[least_words - 1] >= 0]
+            if not windows.shape[1]:
+                continue
+            prefixes = _HotPrefixes(hot, texts.lang, numbers)
             group, route = np.full(windows.shape[1], -1, np.int64), np.zeros(windows.shape[1], np.uint8)
-            for depth, (suffixes, nodes, is_hot) in enumerate(prefixes.walk(windows)):
-                keys, own = np.unique(nodes * len(names) + windows[depth, suffixes], return_inverse=True)
-                heads = (prefixes.phrases[k // len(names)] + b" " + names[k % len(names)] if depth else names[k] for k in keys.tolist())
+            for step, (suffixes, nodes, is_hot) in enumerate(prefixes.walk(windows)):
+                keys, own = np.unique(nodes * len(names) + windows[step, suffixes], return_inverse=True)
+                heads = (prefixes.phrases[k // len(names)] + b" " + names[k % len(names)] if step else names[k] for k in keys.tolist())
                 hashes = np.fromiter((_hash(texts.lang, x) for x in heads), np.int64, len(keys))
                 # a suffix that is a hot prefix and no more is counted already
                 group[suffixes] = np.where(is_hot, -1, np.searchsorted(limits, hashes, side="right")[own])
-                route[suffixes] = depth + 1
-            sent = np.flatnonzero((group >= 0) & (windows[1] >= 0))
-            if not len(sent):
+                route[suffixes] = step + 1
+            columns, group, route = windows[:, group >= 0], group[group >= 0], route[group >= 0]
+            if not len(group):
                 continue
-            columns, group, route = windows[:, sent], group[sent], route[sent]
             order = np.lexsort((*columns[::-1], group))
             columns, group, route = columns[:, order], group[order], route[order]
             new = np.ones(len(group), bool)
@@ -240,29 +265,30 @@ def _deal_suffixes(rows: DataFrame, bounds: list[int], hot: list[list[tuple[str,
             columns, group, route = columns[:, starts], group[starts], route[starts]
             cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
             for low, high in zip(cuts, cuts[1:]):
-                packed = _pack(columns[:, low:high], counts[low:high], route[low:high], names, packer)
-                yield pa.RecordBatch.from_pydict({"grp": [int(group[low])], "lang": [texts.lang], "n": [high - low], "packed": [packed]}, _PACKED)
+                packed = _pack(columns[:, low:high], counts[low:high], route[low:high], names if known.words is None else None, packer)
+                yield pa.RecordBatch.from_pydict({"grp": [int(group[low])], "lang": [texts.lang], "packed": [packed]}, _PACKED)
 
-    return rows.mapInArrow(run, "grp long, lang string, n long, packed binary")
+    return rows.mapInArrow(run, "grp long, lang string, packed binary")
 
 
-def subtree_counts(parts: list[bytes], least: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+def subtree_counts(parts: list[bytes], least: int, least_words: int, names: list[bytes] | None) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
     """(k, phrases, counts) of the nodes of one group's subtree with ``least`` or more.
 
-    Nodes above their suffixes' prefix are not whole in the group and left out, but grown.
+    Nodes above their suffixes' prefix, or of fewer than ``least_words``, are not whole in
+    the group and left out, but grown.
     """
     numbers, columns, counts, routes = _Numbers(), [], [], []
     for data in parts:
         words, own, n, route = _unpack(data)
-        number = np.array([-1, *map(numbers.__getitem__, words)], np.int32)
-        columns.append(number[own])
+        columns.append(np.array([-1, *map(numbers.__getitem__, words)], np.int32)[own] if words else own - 1)
         counts.append(n)
         routes.append(route)
     columns, counts, routes = np.concatenate(columns, axis=1), np.concatenate(counts).astype(np.float64), np.concatenate(routes)
-    names, width = list(numbers), len(numbers)
+    names = list(numbers) if names is None else names
+    width = len(names)
     used, node = np.unique(columns[0], return_inverse=True)
     phrases = [names[i] for i in used.tolist()]
-    for depth in range(1, DEPTH):
+    for depth in range(1, len(columns)):
         go_on = columns[depth] >= 0
         columns, counts, routes, node = columns[:, go_on], counts[go_on], routes[go_on], node[go_on]
         if not len(node):
@@ -274,24 +300,26 @@ def subtree_counts(parts: list[bytes], least: int) -> Iterator[tuple[int, list[b
         number = np.cumsum(stay) - 1
         kept = keys[stay].tolist()
         phrases = [phrases[k // width] + b" " + names[k % width] for k in kept]
-        out = np.flatnonzero(whole[stay])
-        yield depth + 1, [phrases[i] for i in out.tolist()], totals[stay][out]
+        if depth + 1 >= least_words:
+            out = np.flatnonzero(whole[stay])
+            yield depth + 1, [phrases[i] for i in out.tolist()], totals[stay][out]
         keep = stay[own]
         columns, counts, routes, node = columns[:, keep], counts[keep], routes[keep], number[own[keep]]
 
 
-def _grow(dealt: DataFrame, groups: int, least: int) -> DataFrame:
+def _grow(dealt: DataFrame, groups: int, least: int, least_words: int, known: _Known) -> DataFrame:
     ordered = dealt.repartition(groups, "grp").sortWithinPartitions("grp", "lang")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
 
         def done() -> Iterator[pa.RecordBatch]:
-            for k, phrases, counts in subtree_counts(held, least) if held else ():
+            names = None if known.words is None or not held else known.words[at[1]]
+            for k, phrases, counts in subtree_counts(held, least, least_words, names) if held else ():
                 yield from _counted(at[1], phrases, k, counts)
 
         for part in parts:
-            for group, lang, packed in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(3).to_pylist(), strict=True):
+            for group, lang, packed in zip(*(x.to_pylist() for x in part.columns), strict=True):
                 if (group, lang) != at:
                     yield from done()
                     at, held = (group, lang), []
@@ -307,22 +335,24 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     Counts cover all texts.  A group holds the suffixes of its prefixes, ``budget`` to
     twice as many; a prefix with more is extended by a word, up to the whole depth, so no
     word is too frequent.  What the driver holds are the groups' bounds (all words by
-    ``budget``) and the prefixes above the budget, at most five times as many.  Words
-    under ``least`` end a suffix early where the frequent ones are small enough to be
-    sent around; the counts are the same either way.
+    ``budget``) and the prefixes above the budget, at most five times as many.  The range
+    is elastic: pairs are counted first, then suffixes whose pairs are frequent are read
+    to the whole depth.  Frequent words and pairs end a suffix early only where they are
+    small enough to be sent around; the counts are the same either way.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(c(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(c(text), F.lit("")).alias("text"))
     single = _count_words(rows)
     sizes = cut_lineage(single.groupBy("lang").agg(F.sum("f").alias("n")))
     frequent = cut_lineage(single.where(F.col("f") >= least))
-    known = None
-    if fits_broadcast(frequent):
-        known = {}
-        for r in frequent.select("lang", "phrase").toLocalIterator():
-            known.setdefault(r.lang, set()).add(r.phrase.encode())
+    known = _Known(None)
+    if fits_broadcast(frequent.select("lang", "phrase")):
+        words: dict[str, list[bytes]] = {}
+        for r in frequent.orderBy("lang", F.desc("f"), "phrase").select("lang", "phrase").toLocalIterator():
+            words.setdefault(r.lang, []).append(r.phrase.encode())
+        known = _Known(words)
     hot: list[list[tuple[str, bytes]]] = []
-    level, prefixes, counted = (single if known is None else frequent), [], [frequent]
+    level, prefixes, counted = (single if known.words is None else frequent), [], [frequent]
     while True:
         over = [(r.lang, r.phrase.encode()) for r in level.where(F.col("f") > budget).select("lang", "phrase").collect()]
         prefixes.append(level.where(F.col("f") <= budget))
@@ -330,7 +360,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
             break
         hot.append(over)
         if len(hot) > 1:
-            counted.append(level.where(F.col("f") > budget))
+            counted.append(level.where((F.col("f") > budget) & (F.col("f") >= least)))
         if len(hot) == DEPTH:
             break
         level = _count_extensions(rows, hot, known)
@@ -338,15 +368,26 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     for more in prefixes[1:]:
         parts = parts.unionByName(more)
     bounds = _packed_groups(parts, budget)
-    with with_settings(spark, _TEXT_ROWS):
-        dealt = cut_lineage(_deal_suffixes(rows, bounds, hot, known).repartition(max(len(bounds), 1), "grp"))
-    with with_settings(spark, _PACKED_ROWS):
-        grown = cut_lineage(_grow(dealt, max(len(bounds), 1), least))
-    discard(dealt)
-    found = grown
-    for more in counted:
-        found = found.unionByName(more.where(F.col("f") >= least))
-    return cut_lineage(found), sizes
+    found = counted[0]
+    for more in counted[1:]:
+        found = found.unionByName(more)
+
+    def grown(depth: int, least_words: int, known: _Known) -> DataFrame:
+        with with_settings(spark, _TEXT_ROWS):
+            dealt = _deal_suffixes(rows, bounds, hot, known, depth, least_words)
+            return cut_lineage(_grow(dealt, max(len(bounds), 1), least, least_words, known))
+
+    pairs = found.where("k = 2").unionByName(grown(2, 2, known))
+    few = None
+    if known.words is not None and fits_broadcast(pairs.select("lang", "phrase")):
+        at = {g: {w: i for i, w in enumerate(some)} for g, some in known.words.items()}
+        keys: dict[str, list[int]] = {}
+        for r in pairs.select("lang", "phrase").toLocalIterator():
+            a, b = r.phrase.encode().split(b" ")
+            keys.setdefault(r.lang, []).append(at[r.lang][a] << 32 | at[r.lang][b])
+        few = {g: np.sort(np.array(x, np.int64)) for g, x in keys.items()}
+    longer = grown(DEPTH, 3, _Known(known.words, few))
+    return cut_lineage(found.where("k <> 2").unionByName(pairs).unionByName(longer)), sizes
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 100, best: int = 2000, budget: int = 1_000_000) -> DataFrame:
