@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from sparkhunt.llm.common import own_name, with_settings
 from sparkhunt.names import c
 from sparkhunt.operators.lookup import fits_broadcast
-from sparkhunt.session import cut_lineage, discard
+from sparkhunt.session import cut_lineage
 
 WINDOW, GRAM = 100, 24
 #: Window starts that are worked on at once, so that memory does not follow a text's length.
@@ -331,18 +331,14 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(c(key).cast("long").alias("id"), tie.alias("tie"), whole.alias("text"))
 
 
-def _same_text(few: DataFrame, texts: DataFrame):
-    return few["of_id"].eqNullSafe(texts["id"]) & (few["of_tie"] == texts["tie"])
+def _next_to(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """Texts with the rows of ``found`` (id, tie, ..) that belong to them; both grow with the
+    input, so they are sorted and merged at every size."""
+    found = found.withColumnsRenamed({"id": "of_id", "tie": "of_tie"}).hint("merge")
+    return texts.join(found, F.col("of_id").eqNullSafe(F.col("id")) & (F.col("of_tie") == F.col("tie")), how)
 
 
-def _next_to(texts: DataFrame, few: DataFrame, how: str) -> DataFrame:
-    """Texts with the rows of ``few`` (id, tie, ..) that belong to them."""
-    few = few.withColumnsRenamed({"id": "of_id", "tie": "of_tie"})
-    side = F.broadcast(few) if fits_broadcast(few) else few
-    return texts.join(side, _same_text(side, texts), how)
-
-
-def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_rows: int = 20_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_rows: int = 5_000) -> DataFrame:
     """(id, tie, spans) of the texts with bytes in a window that occurs earlier.
 
     ``spans`` is a sorted list of (start, stop) in bytes, maximal and apart from each
@@ -356,9 +352,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", buc
     spark = docs.sparkSession
     texts = _keyed(docs, key, text)
     with with_settings(spark, _TEXT_ROWS):
-        dealt = cut_lineage(_dealt(texts))
-    settled = cut_lineage(_settled(dealt, context=False))
-    discard(dealt)
+        settled = cut_lineage(_settled(_dealt(texts), context=False))
     runs = [settled.where("h is null").select("id", "tie", F.expr("shiftright(span, 16)").alias("start"), "stop")]
     open_rows = settled.where("h is not null").select("h", "id", "tie", "span")
     part = F.col("text").cast("binary").substr(F.expr("cast(shiftright(span, 16) + 1 as int)"), F.expr(f"cast((span & 255) + {WINDOW - 1} as int)"))
@@ -374,9 +368,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", buc
             runs.append(cut_lineage(_refined(contexts.join(side, "h", "left_anti") if hot else contexts, rows, bucket_rows)))
             if not hot:
                 break
-            parted = cut_lineage(_split(contexts.join(side, "h", "left_semi"), level))
-            settled = cut_lineage(_settled(parted, context=True))
-        discard(parted)
+            settled = cut_lineage(_settled(_split(contexts.join(side, "h", "left_semi"), level), context=True))
         runs.append(settled.where("h is null").select("id", "tie", F.expr("shiftright(span, 16)").alias("start"), "stop"))
         contexts = settled.where("h is not null").select("h", "id", "tie", "span", "context")
     found = runs[0]
@@ -413,7 +405,7 @@ def _spans(runs: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "id long, tie long, spans array<struct<start: long, stop: long>>")
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_rows: int = 20_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_rows: int = 5_000) -> DataFrame:
     """Every row of ``docs`` without the bytes of 100-byte strings that occur earlier.
 
     Returns the key, ``n_bytes``, ``spans`` (start and stop of the removed runs, none if
@@ -422,7 +414,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", buc
     stays; equal rows are one text and lose the same; see :func:`repeated_spans` for the
     order.  An empty table gives no row; other columns are not read.
     """
-    spark, texts = docs.sparkSession, _keyed(docs, key, text)
+    texts = _keyed(docs, key, text)
     spans = repeated_spans(docs, key, text, bucket_rows)
     joined = _next_to(texts, spans, "left").select("id", "text", "spans")
 
@@ -438,6 +430,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", buc
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), part.column(2), pa.array(kept, pa.binary())], ["id", "n_bytes", "spans", "kept"])
 
     name = key if key.lower() not in ("n_bytes", "spans", "kept") else own_name(key, ["n_bytes", "spans", "kept"])
-    with with_settings(spark, _TEXT_ROWS):
-        out = cut_lineage(joined.mapInArrow(run, "id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary"))
+    out = joined.mapInArrow(run, "id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
     return out.withColumnRenamed("id", name)

@@ -139,7 +139,7 @@ def passage_texts():
     return rows + rows[:6] + [(2000 + i, "k" + passages[3] + str(i)) for i in range(40)]
 
 
-@pytest.mark.parametrize("bucket_rows", [20_000, 3, 1])
+@pytest.mark.parametrize("bucket_rows", [5_000, 3, 1])
 def test_repeats_against_brute_force(spark, bucket_rows):
     check_removed(spark, passage_texts(), bucket_rows=bucket_rows)
 
