@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from queryset.catalog import query
 from queryset.q_tables import AUTH, connections, observations, users
+from sparkhunt.operators import boosting
 from sparkhunt.operators import classify as cl
 from sparkhunt.operators import graph as gr
 from sparkhunt.operators import knn
@@ -183,6 +184,56 @@ for _name, _fn in (
         return fn(*_split(t)).select("id", "prediction")
 
 
+# features as (event, feature, value), and two rounds of depth two on their bins
+_PARTS = _VECTORS + """,
+six as (select node, k::int as k, round(x, 6) + 0.0 as x from vec),
+req as (select *, starts_with(status, 'unknown') as test, (not starts_with(status, 'benign'))::int as y from v_auth
+  where starts_with(status, 'unknown') or starts_with(status, 'benign') or starts_with(status, 'malicious')),
+part as (
+  select event_id, test, k as f, x from req join six on node = src_ip union all
+  select event_id, test, 128 + k, x from req join six on node = dst_ip union all
+  select event_id, test, 256 + k, x from req join six on node = user_id union all
+  select event_id, test, 384, floor(epoch(cast(first_observed as timestamp)))::double from req),
+cnt as (select f, x, count(*) filter (not test) as n from part group by f, x),
+edge as (
+  select f, min(x) as x from (select f, x, ((sum(n) over (partition by f order by x) - n) * 256) // (select count(*) from req where not test) as share from cnt where n > 0)
+  where share > 0 group by f, share),
+bins as (select f, x, sum((e.x is not null)::int) over (partition by f order by x) as b from cnt left join edge e using (f, x)),
+cell as materialized (select event_id, f, b from part join bins using (f, x)),
+s00 as (select event_id, test, y, 0.0::double as margin, 1 as node from req)"""
+
+
+def _boosted(rounds: int, depth: int) -> str:
+    out = _PARTS
+    for r in range(rounds):
+        for d in range(depth):
+            at, new = f"s{r}{d}", f"s{r}{d + 1}"
+            out += f""",
+g{r}{d} as (select *, round((p - y) * 1073741824)::bigint as g, round(greatest(p * (1 - p), 1e-16) * 1073741824)::bigint as h from (select *, 1 / (1 + exp(-margin)) as p from {at} where not test)),
+h{r}{d} as (select node, f, b, sum(g) as g, sum(h) as h from g{r}{d} join cell using (event_id) group by all),
+c{r}{d} as (select node, f, b, sum(g) over w / 1073741824 as gl, sum(h) over w / 1073741824 as hl, sum(g) over a / 1073741824 as g, sum(h) over a / 1073741824 as h
+  from h{r}{d} window w as (partition by node, f order by b), a as (partition by node, f)),
+b{r}{d} as (select * from (select node, f, b, 0.5 * (gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) as gain from c{r}{d} where hl >= 1 and h - hl >= 1)
+  where gain > 1e-6 qualify row_number() over (partition by node order by gain desc, f, b) = 1),
+{new} as materialized (select s.event_id, s.test, s.y, s.margin, case when q.f is null then s.node else 2 * s.node + (cell.b > q.b)::int end as node
+  from {at} s left join b{r}{d} q on q.node = s.node left join cell on cell.event_id = s.event_id and cell.f = q.f)"""
+        out += f""",
+v{r} as (select node, -0.3 * (sum(g) / 1073741824) / (sum(h) / 1073741824 + 1) as v
+  from (select node, round((p - y) * 1073741824)::bigint as g, round(greatest(p * (1 - p), 1e-16) * 1073741824)::bigint as h from (select *, 1 / (1 + exp(-margin)) as p from s{r}{depth} where not test)) group by node),
+s{r + 1}0 as materialized (select event_id, test, y, margin + v as margin, 1 as node from s{r}{depth} join v{r} using (node))"""
+    return f"with {out} select 'obs-' || event_id as id, round(margin, 9) as log_odds, (margin > 0)::int as prediction from s{rounds}0 where test"
+
+
+@query("classify_boosted_small", _boosted(2, 2))
+def _(t):
+    vectors = _vectors(t).withColumn("vector", F.transform("vector", lambda x: F.round(x, 6) + 0.0))
+    data = cut_lineage(cl.auth_features(_requests(t), cut_lineage(vectors)))
+    known = split_by_status(data, "benign").unionByName(split_by_status(data, "malicious"))
+    model = boosting.fit(known.withColumn("label", cl.status_code(F.col("status"))), "features", "label", 2, 2)
+    scored = split_by_status(data, "unknown").select("id", model.log_odds(F.col("features")).alias("x"))
+    return scored.select("id", F.round("x", 9).alias("log_odds"), (F.col("x") > 0).cast("int").alias("prediction"))
+
+
 @query("classify_knn_requests")
 def _(t):
     return cl.classify_knn(*_split(t)).select("id", "prediction")

@@ -324,11 +324,11 @@ def test_addresses_agree_with_the_standard_library(text_of):
 
 def test_boosted_query_fits_the_operators_model(spark, monkeypatch):
     from queryset import QUERIES, q_graph
-    from sparkhunt.operators import classify
+    from sparkhunt.operators import boosting
 
     fitted = []
-    known = spark.createDataFrame([(1, 0.0)], "id long, prediction double")
-    monkeypatch.setattr(q_graph, "_split", lambda t: (None, known))
-    monkeypatch.setattr(classify, "_fit_predict", lambda models, train, test: fitted.extend(models) or test)
+    known = spark.createDataFrame([(1, [0.0], 0)], "id long, features array<double>, label int")
+    monkeypatch.setattr(q_graph, "_split", lambda t: (known, known.drop("label")))
+    monkeypatch.setattr(boosting, "fit", lambda df, vec, label, *size: fitted.append(size) or boosting.BoostedTrees([], 6))
     QUERIES["classify_boosted"](spark, "")
-    assert [(x.getMaxIter(), x.getMaxDepth()) for x in fitted] == [(100, 6)]
+    assert fitted == [(100, 6)]
