@@ -310,8 +310,8 @@ _VAL = "case r " + " ".join(f"when {i} then {_value(x[0], x[2], x[3])}" for i, x
 
 def _parse(name: str, source: str) -> str:
     """CTEs that add rule number, tag, value and flags to rows with a cleaned line ``l``."""
-    return f"""{name}_r as (select *, {_rule_case(lambda i, r: str(i))} as r from ({source}) s),
-{name} as (select *, {_TAG} as tag, {_VAL} as value, {_FLAGS} as flags from {name}_r)"""
+    return f"""{name}_r as materialized (select *, {_rule_case(lambda i, r: str(i))} as r from ({source}) s),
+{name} as materialized (select *, {_TAG} as tag, {_VAL} as value, {_FLAGS} as flags from {name}_r)"""
 
 
 _PARSED = "with " + _parse("parsed", f"select ip, line_no, {_CLEAN.format('line')} as l from v_whois_text")
@@ -335,7 +335,7 @@ seg as (select *, sum(case when tag = '@nslist' then 1 else 0 end) over (partiti
 cls as (select *, not start and not blank and not label as server, bool_or(start and value <> '') over (partition by ip, seg) as strict from seg),
 srv as (select *, min(case when server then line_no end) over (partition by ip, seg) as first_server from cls),
 ended as (select *, min(case when not start and (label or (blank and line_no > first_server) or (server and not indented and strict)) then line_no end) over (partition by ip, seg) as stop from srv),
-multi as (
+multi as materialized (
   select ip, line_no, 'ns' as tag, regexp_extract(raw, '^\\s*(\\S+)', 1) as value, '' as flags from ended where seg > 0 and server and (stop is null or line_no < stop)
   union all
   select ip, line_no, case when tag = '@nslist' then 'ns' else tag end, case when tag in ('ns', '@nslist') then lower(value) else value end, flags from ended
@@ -348,7 +348,7 @@ def _(t):
     return wh.whois_multiline(t("v_whois_text")).select("ip", "line_no", "tag", "value")
 
 
-_FIRST = """, vals as (select ip, tag, coalesce(arg_max(value, line_no) filter (flags <> ''), arg_min(value, line_no) filter (flags = '')) as value
+_FIRST = """, vals as materialized (select ip, tag, coalesce(arg_max(value, line_no) filter (flags <> ''), arg_min(value, line_no) filter (flags = '')) as value
   from multi where tag <> 'ns' group by ip, tag
   union all select ip, 'ns', string_agg(value, ',' order by line_no) from multi where tag = 'ns' and value <> '' group by ip)"""
 
@@ -457,9 +457,9 @@ def _(t):
 
 @query(
     "whois_report",
-    _MULTI + _FIRST.replace("vals as", "raw_vals as") + f""",
+    _MULTI + _FIRST.replace("vals as", "raw_vals as", 1) + f""",
     dated as (select *, tag in ('created', 'updated', 'expires', 'registered') as dt, {_CLEAN_DATE.format('value')} as d from raw_vals),
-    vals as (select ip, tag, case when dt then epoch || ' ' || value else value end as value from (select *, {_date_case()} as epoch from dated) where not dt or epoch is not null)
+    vals as materialized (select ip, tag, case when dt then epoch || ' ' || value else value end as value from (select *, {_date_case()} as epoch from dated) where not dt or epoch is not null)
     """ + _RENAMED[len(_FIRST):] + " select ip, tag, value from renamed",
 )
 def _(t):

@@ -5,16 +5,18 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkhunt.functions.whois_rules import COUNTRY_CODES, LINE_RULES, MONTHS, TAG_RENAMES
 from sparkhunt.names import c, let
-from sparkhunt.operators.ordering import running_sum
-from sparkhunt.session import cut_lineage
+from sparkhunt.operators.ordering import next_at_or_after, running_sum
+from sparkhunt.session import cut_lineage, discard
 
 WRAP, JOIN, SERVER_LIST = "+wrap", "@join", "@nslist"
 _BLOCK_RULES = 12
+#: Lines of a record whose name servers are put together at once.
+_LIST_LINES = 10_000
 DATE_TAGS = ("created", "updated", "expires", "registered")
 RULE_SCHEMA = "rule_no int, regex string, tag string, result string, flags string"
 
@@ -112,43 +114,53 @@ def _glued(matched: DataFrame, key: str, rules: Sequence[tuple]) -> DataFrame:
     An unfinished line takes the next one, once after a wrap rule, again and again while
     the result still asks to be joined.  Every unfinished line is completed as if it were
     free; of lines that overlap the first one counts, then the first one after its end.
+    A line leaves the loop with its last round, so what is kept follows the lines.
     """
     lines = matched.select(c(key), F.col("line_no").alias("__at"), F.col("raw").alias("__next"))
-    open_lines = matched.where(F.col("tag").isin(WRAP, JOIN)).select(
-        c(key), "line_no", "line", "tag", F.lit(1).alias("n"), F.lit(False).alias("wrapped")
+    longer = matched.where(F.col("tag").isin(WRAP, JOIN)).select(
+        c(key), "line_no", F.lit(1).alias("n"), "line", "rule_no", "tag", "value", "flags", F.lit(False).alias("wrapped")
     )
-    done: DataFrame | None = None
+    done: list[DataFrame] = []
     while True:
-        step = open_lines.withColumn("__at", F.col("line_no") + F.col("n")).join(lines, [key, "__at"])
+        asks = F.coalesce((F.col("tag") == JOIN) | ((F.col("tag") == WRAP) & ~F.col("wrapped")), F.lit(False))
+        step = longer.where(asks).withColumn("__at", F.col("line_no") + F.col("n")).join(lines, [key, "__at"], "left")
+        kept = ["n", "line", "rule_no", "tag", "value", "flags"]
+        ended = longer.where(~asks).select(c(key), "line_no", *kept)
+        at_end = step.where(F.col("__next").isNull() & (F.col("n") > 1)).select(c(key), "line_no", *kept)
+        done.append(cut_lineage(ended.unionByName(at_end)))
         gap = F.when(F.col("tag") == WRAP, " ").otherwise("")
-        text = step.select(
-            c(key), "line_no", F.concat("line", gap, "__next").alias("line"), (F.col("n") + 1).alias("n"),
+        text = step.where("__next is not null").select(
+            c(key), "line_no", (F.col("n") + 1).alias("n"), F.concat("line", gap, "__next").alias("line"),
             (F.col("wrapped") | (F.col("tag") == WRAP)).alias("wrapped"),
         )
         longer = cut_lineage(match_lines(text, "line", rules))
-        done = longer if done is None else done.unionByName(longer)
-        open_lines = longer.where((F.col("tag") == JOIN) | ((F.col("tag") == WRAP) & ~F.col("wrapped"))).select(
-            c(key), "line_no", "line", "tag", "n", "wrapped"
-        )
-        if open_lines.isEmpty():
+        if longer.isEmpty():
             break
-    place = [c(key), F.col("line_no")]
-    longest = F.max_by(F.struct("n", "line", "rule_no", "tag", "value", "flags"), "n")
-    whole = cut_lineage(done.groupBy(*place).agg(longest.alias("g")).select(*place, "g.*"))
-    before = Window.partitionBy(c(key)).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    up_to = Window.partitionBy(c(key)).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    fresh = F.coalesce(F.max(F.col("line_no") + F.col("n") - 1).over(before) < F.col("line_no"), F.lit(True))
-    runs = whole.withColumn("__new", fresh).withColumn("__run", F.count_if("__new").over(up_to))
-    chosen = F.aggregate(
-        F.sort_array(F.collect_list(F.struct(F.col("line_no").cast("long").alias("line_no"), F.col("n").cast("long").alias("n")))),
-        F.struct(F.lit(-1).cast("long").alias("end"), F.array().cast("array<bigint>").alias("heads")),
-        lambda held, x: F.when(
-            x["line_no"] > held["end"],
-            F.struct((x["line_no"] + x["n"] - 1).alias("end"), F.array_append(held["heads"], x["line_no"]).alias("heads")),
-        ).otherwise(held),
-    )
-    heads = runs.groupBy(c(key), F.col("__run")).agg(chosen["heads"].alias("h")).select(c(key), F.explode("h").alias("line_no"))
-    return whole.join(heads, [key, "line_no"], "left_semi")
+    whole = done[0]
+    for more in done[1:]:
+        whole = whole.unionByName(more)
+    return whole.join(_free_heads(whole, key), [key, "line_no"], "left_semi")
+
+
+def _free_heads(spans: DataFrame, key: str) -> DataFrame:
+    """(key, line_no) of the spans of ``n`` lines that are taken from the first one on, each
+    the first at or after the end of the one before.
+
+    Every span points to the one that would follow it.  Pointers are doubled round by
+    round, and what is reached so far is carried over them: a chain of any length takes a
+    logarithm of rounds, all equi-joins on (key, line).
+    """
+    follows = spans.select(c(key), F.col("line_no").cast("long").alias("line_no"), (F.col("line_no") + F.col("n")).cast("long").alias("__end"))
+    jumps = cut_lineage(next_at_or_after(follows, key, "line_no", "__end", "__next").where("__next is not null"))
+    reached = cut_lineage(follows.groupBy(c(key)).agg(F.min("line_no").alias("line_no")))
+    while not jumps.isEmpty():
+        ahead = reached.join(jumps, [key, "line_no"]).select(c(key), F.col("__next").alias("line_no"))
+        further = cut_lineage(reached.unionByName(ahead).distinct())
+        onward = jumps.select(c(key), F.col("line_no").alias("__next"), F.col("__next").alias("__far"))
+        doubled = cut_lineage(jumps.join(onward, [key, "__next"]).select(c(key), "line_no", F.col("__far").alias("__next")))
+        discard(reached, jumps)
+        reached, jumps = further, doubled
+    return reached
 
 
 def whois_multiline(
@@ -258,9 +270,10 @@ def first_wins_tag(parsed_df: DataFrame, key: str = "ip") -> DataFrame:
     """
     given = parsed_df.where((F.col("value") != "") & ~F.col("tag").isin(SERVER_LIST, WRAP, JOIN))
     rows = given.where("tag <> 'ns'")
-    servers = given.where("tag = 'ns'").groupBy(c(key), F.col("tag")).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "value"))), lambda s: s["value"]), ",").alias("value")
-    )
+    in_order = lambda at: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(at, "value"))), lambda s: s["value"]), ",").alias("value")
+    part = F.expr(f"line_no div {_LIST_LINES}").alias("part")  # long lists are put together from parts
+    parts = given.where("tag = 'ns'").groupBy(c(key), F.col("tag"), part).agg(in_order("line_no"))
+    servers = parts.groupBy(c(key), F.col("tag")).agg(in_order("part"))
     flagged = F.col("flags") != ""
     picked = rows.groupBy(c(key), F.col("tag")).agg(
         F.max_by("value", F.when(flagged, F.col("line_no"))).alias("last_flagged"),

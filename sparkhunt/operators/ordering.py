@@ -85,3 +85,26 @@ def running_sum(
         .withColumn(name, F.col("__in") + F.col("__before"))
         .drop("__v", "__chunk", "__in", "__before")
     )
+
+
+def next_at_or_after(df: DataFrame, key: str, at: str, wanted: str, name: str, chunk_rows: int = 10_000) -> DataFrame:
+    """(key, at, name): for each row the smallest ``at`` of its key that is ``wanted`` or more.
+
+    NULL where there is none.  One sort of all places and questions, cut into chunks; the
+    last place of a chunk is carried on to the ones after it, so a key may hold any share
+    of the rows.
+    """
+    places = df.select(c(key).alias("__key"), c(at).alias("__p"), F.lit(0).alias("__ask"), c(at).alias("__at"))
+    asked = df.select(c(key).alias("__key"), c(wanted).alias("__p"), F.lit(1).alias("__ask"), c(at).alias("__at"))
+    placed = row_positions(places.unionByName(asked), ["__key", F.desc("__p"), "__ask"], "__pos")
+    cut = placed.withColumn("__chunk", F.floor(F.col("__pos") / chunk_rows)).withColumn(
+        "__place", F.when(F.col("__ask") == 0, F.struct("__key", F.col("__p").alias("p")))
+    )
+    last = F.last("__place", ignorenulls=True)
+    ends = cut.groupBy("__chunk").agg(F.max_by("__place", F.when(F.col("__ask") == 0, F.col("__pos"))).alias("__place"))
+    before = Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("__chunk", last.over(before).alias("__carried"))
+    inside = Window.partitionBy("__chunk").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
+    found = cut.withColumn("__in", last.over(inside)).where("__ask = 1").join(carried, "__chunk", "left")
+    held = F.coalesce("__in", "__carried")
+    return found.select(F.col("__key").alias(key), F.col("__at").alias(at), F.when(held["__key"].eqNullSafe(F.col("__key")), held["p"]).alias(name))

@@ -332,3 +332,50 @@ def test_boosted_query_fits_the_operators_model(spark, monkeypatch):
     monkeypatch.setattr(boosting, "fit", lambda df, vec, label, *size: fitted.append(size) or boosting.BoostedTrees([], 6))
     QUERIES["classify_boosted"](spark, "")
     assert fitted == [(100, 6)]
+
+
+def glue_by_hand(lines, rules):
+    """(line, text) after gluing, one line after the other."""
+    import re
+
+    def tag(text):
+        return next((r[1] for r in rules if re.search(r[0], text)), None)
+
+    out, at = [], 0
+    while at < len(lines):
+        text, n, wrapped = lines[at], 1, False
+        while at + n < len(lines) and (tag(text) == "@join" or tag(text) == "+wrap" and not wrapped):
+            wrapped = wrapped or tag(text) == "+wrap"
+            text, n = text + (" " if tag(text) == "+wrap" else "") + lines[at + n], n + 1
+        out.append((at, text))
+        at += n
+    return out
+
+
+def test_long_records_of_unfinished_lines(spark):
+    """Chains of heads far longer than a chunk, and joins over many lines, in one record."""
+    from sparkhunt.functions import whois
+
+    rules = [(r"^w$", "+wrap", "", ""), (r"^j+$", "@join", "", ""), (r"^(.+)$", "owner", "%1", "")]
+    rng = random.Random(4)
+    lines = ["w"] * 5000 + ["j"] * 12 + ["x"] + rng.choices(["w", "j", "x"], k=1500) + ["w"]
+    got = multiline(spark, lines, rules)
+    want = [(at, "owner", text) for at, text in glue_by_hand(lines, rules) if text not in ("w",) and text.strip("j")]
+    assert got == want
+    spans = spark.createDataFrame([("k", i, 1 + i % 3) for i in range(3000)] + [(None, 5, 2)], "ip string, line_no int, n int")
+    heads = {(r.ip, r.line_no) for r in whois._free_heads(spans, "ip").collect() if r.ip}
+    at, free = 0, set()
+    while at < 3000:
+        free.add(("k", at))
+        at += 1 + at % 3
+    assert heads == free
+
+
+def test_the_next_place_is_carried_over_chunks(spark):
+    from sparkhunt.operators.ordering import next_at_or_after
+
+    rng = random.Random(6)
+    rows = {(k, at): at + rng.randrange(60) for k in ("a", "b", None) for at in rng.sample(range(900), 80)}
+    df = spark.createDataFrame([(k, at, w) for (k, at), w in rows.items()], "k string, at long, w long")
+    got = {(r.k, r.at): r.nxt for r in next_at_or_after(df, "k", "at", "w", "nxt", chunk_rows=7).collect()}
+    assert got == {(k, at): min((x for j, x in rows if j == k and x >= w), default=None) for (k, at), w in rows.items()}
