@@ -81,7 +81,7 @@ def attribute_tokens(docs: DataFrame, sizes: Column, tokenizer: str, key: str =
             for at in range(0, part.num_rows, 256):
                 some = part.slice(at, 256)
                 texts = some.column(1).to_pylist()
-                _, lengths, spans = encoder.encode(texts)
+                _, lengths, spans = encoder.encode(some.column(1))
                 size_list = some.column(2)
                 counted, low = [], 0
                 for i, (whole, n) in enumerate(zip(texts, lengths.tolist(), strict=True)):

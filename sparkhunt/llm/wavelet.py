@@ -35,10 +35,10 @@ def _planes(ids: np.ndarray, levels: int) -> Iterator[tuple[np.ndarray, int]]:
     """(packed bits, number of zeros) of each level."""
     held = ids
     for level in range(levels):
-        bits = (held >> (levels - 1 - level)) & 1 > 0
-        low = held[~bits]
+        bits = (held & held.dtype.type(1 << (levels - 1 - level))) != 0
+        low = held.compress(~bits)
         yield np.packbits(bits), len(low)
-        held = np.concatenate([low, held[bits]])
+        held = np.concatenate([low, held.compress(bits)])
 
 
 def write_shard(folder: str, stem: str, ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, nulls: np.ndarray, level: int = 1) -> str:
@@ -157,8 +157,8 @@ class WaveletShard:
             packed = b"".join(self._read(*x) for x in self._blocks[level])
             bits = np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n).view(bool)
             above, zeros = np.empty_like(held), self.zeros[level]
-            above[~bits] = held[:zeros]
-            above[bits] = held[zeros:] | held.dtype.type(1 << (self.levels - 1 - level))
+            above[np.flatnonzero(~bits)] = held[:zeros]
+            above[np.flatnonzero(bits)] = held[zeros:] | held.dtype.type(1 << (self.levels - 1 - level))
             held = above
         return held
 
@@ -201,9 +201,9 @@ def write_tokens(
         def shards():
             nonlocal held, seq
             for batch in parts:
-                for at in range(0, batch.num_rows, 256):
-                    some = batch.slice(at, 256)
-                    tokens, n, _ = encoder.encode(some.column(1).to_pylist())
+                for at in range(0, batch.num_rows, 512):
+                    some = batch.slice(at, 512)
+                    tokens, n, _ = encoder.encode(some.column(1))
                     ends = np.cumsum(n)
                     ids.append(np.insert(tokens, ends, end_id))
                     docs_held.append(some.column(0).fill_null(0).to_numpy())

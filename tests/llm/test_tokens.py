@@ -1,7 +1,9 @@
+import json
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,19 +11,18 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sparkhunt.llm import token_counts, wavelet
-from sparkhunt.llm.bpe import PieceEncoder
+from sparkhunt.llm.bpe import PieceEncoder, parts_at_spaces
 from sparkhunt.session import scratch_path
 from tests.llm.helpers import docs_table
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 WHOLE = Tokenizer.from_file(PATH)
-WHOLE.encode_special_tokens = True
 PIECES = PieceEncoder(PATH, offsets=True, most=200)
 ODD = ["", " ", "  a", "a  b", "a   b", "a \n b", "\n", "a\n", "it's we'll 'S", " <|endoftext|> x", "ß　x   y", "a\tb \tc", "🙂 👩‍👩 x", "a ", "a\x1c b \x85 c"]
 
 
 def check_same(texts):
-    ids, lengths, spans = PIECES.encode(texts)
+    ids, lengths, spans = PIECES.encode(pa.array(texts, pa.string()))
     at = 0
     for text, n in zip(texts, lengths.tolist(), strict=True):
         code = WHOLE.encode(text, add_special_tokens=False)
@@ -42,6 +43,29 @@ def test_pieces_give_the_ids_of_any_text(texts):
     check_same(texts)
 
 
+def test_special_strings_are_what_the_library_makes_of_them():
+    check_same(["see <|endoftext|> here", "<|endoftext|>", "a<|endoftext|><|endoftext|> b  c", "<|endoftext| >"])
+    assert 50256 in PIECES.encode(pa.array(["see <|endoftext|> here"]))[0]
+
+
+def test_a_file_that_splits_otherwise_is_given_whole_texts(tmp_path):
+    plain = json.load(open(PATH, encoding="utf-8"))
+    assert parts_at_spaces(plain)
+    lower = {**plain, "normalizer": {"type": "Lowercase"}}
+    prefixed = {**plain, "pre_tokenizer": {**plain["pre_tokenizer"], "add_prefix_space": True}}
+    unsplit = {**plain, "pre_tokenizer": {**plain["pre_tokenizer"], "use_regex": False}}
+    for i, other in enumerate((lower, prefixed, unsplit)):
+        assert not parts_at_spaces(other)
+        path = tmp_path / f"{i}.json"
+        path.write_text(json.dumps(other), encoding="utf-8")
+        whole, pieces = Tokenizer.from_file(str(path)), PieceEncoder(str(path), offsets=True)
+        for _ in range(2):
+            ids, lengths, spans = pieces.encode(pa.array(["One Two three", "x", "", " One"]))
+            codes = [whole.encode(t, add_special_tokens=False) for t in ("One Two three", "x", "", " One")]
+            assert ids.tolist() == [x for c in codes for x in c.ids] and lengths.tolist() == [len(c.ids) for c in codes]
+            assert list(map(tuple, spans.tolist())) == [x for c in codes for x in c.offsets]
+
+
 def test_sections_share_the_tokens_of_the_whole_text(spark):
     rows = [(1, "one two\nthree\n\nfour"), (2, None), (3, ""), (4, "\n"), (5, "wordwordword " * 3000), (1, "one two\nthree\n\nfour")]
     docs = docs_table(spark, rows)
@@ -85,7 +109,7 @@ def test_wavelet_answers(spark, n, top):
 
 
 def test_shards_hold_all_documents_in_order(spark):
-    rows = [(5, "b c"), (3, None), (None, "n"), (4, ""), (2, "long text " * 20_000), (5, "b c"), (5, "a")]
+    rows = [(5, "b c <|endoftext|> d"), (3, None), (None, "n"), (4, ""), (2, "long text " * 20_000), (5, "b c"), (5, "a")]
     folder = scratch_path(spark, "w")
     manifest = wavelet.write_tokens(docs_table(spark, rows), folder, PATH, shard_tokens=1000)
     out = sorted(wavelet.read_tokens(spark, folder).collect(), key=lambda r: r.start)
