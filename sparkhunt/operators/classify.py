@@ -19,7 +19,7 @@ from sparkhunt.functions.timeparts import epoch_seconds
 from sparkhunt.names import c
 from sparkhunt.operators import boosting, knn
 from sparkhunt.operators.filters import split_by_status, union_labeled
-from sparkhunt.operators.lookup import fits_broadcast, lookup_join
+from sparkhunt.operators.lookup import fits_broadcast, lookup_joins
 from sparkhunt.session import cut_lineage
 
 RESULT_COLUMNS = ("id", "first_observed", "user_id", "src_ref.value", "dst_ref.value", "status")
@@ -37,10 +37,9 @@ def status_of_code(code: Column) -> Column:
 def auth_features(df: DataFrame, emb_df: DataFrame) -> DataFrame:
     """Add ``features``: embeddings of source, destination and user, and the epoch."""
     small = fits_broadcast(emb_df)  # measured once for the three joins
-    out = df
-    for attr, name in (("src_ref.value", "__s"), ("dst_ref.value", "__d"), ("user_id", "__u")):
-        side = emb_df.select(F.col("node").alias(attr), F.col("vector").alias(name))
-        out = lookup_join(out, side, attr, "inner", small=small)
+    ends = (("src_ref.value", "__s"), ("dst_ref.value", "__d"), ("user_id", "__u"))
+    side = lambda attr, name: emb_df.select(F.col("node").alias(attr), F.col("vector").alias(name))
+    out = lookup_joins(df, [(side(attr, name), attr, small) for attr, name in ends], "inner")
     epoch = F.array(epoch_seconds(c("first_observed")).cast("double"))
     return out.withColumn("features", F.concat("__s", "__d", "__u", epoch)).drop("__s", "__d", "__u")
 

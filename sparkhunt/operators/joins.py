@@ -18,8 +18,8 @@ from sparkhunt.functions.timeparts import iso_timestamp
 from sparkhunt.functions.whois import ptr_org_fields
 from sparkhunt.names import c, let
 from sparkhunt.operators.filters import entity_type_dispatch
-from sparkhunt.operators.lookup import lookup_join, totals_join
-from sparkhunt.session import cut_lineage
+from sparkhunt.operators.lookup import fits_broadcast, lookup_join, lookup_joins, totals_join
+from sparkhunt.session import as_table, cut_lineage
 
 
 def assemble_auth_requests(
@@ -64,20 +64,20 @@ def attach_train_clusters(
     test_df: DataFrame, src_df: DataFrame, usr_df: DataFrame, dst_df: DataFrame
 ) -> DataFrame:
     """Cluster numbers of source, user and destination; NULL for unseen ones."""
-    return _with_clusters(test_df, src_df, usr_df, dst_df, "left")
+    return lookup_joins(test_df, cluster_sides(src_df, usr_df, dst_df), "left")
 
 
-def _with_clusters(df: DataFrame, src_df: DataFrame, usr_df: DataFrame, dst_df: DataFrame, how: str) -> DataFrame:
-    """The cluster tables are written first: each is measured and then joined."""
-    for key, cluster, table in (("source", "c_src", src_df), ("username", "c_usr", usr_df), ("destination", "c_dst", dst_df)):
-        df = lookup_join(df, cut_lineage(table.select(key, cluster)), key, how)
-    return df
+def cluster_sides(src_df: DataFrame, usr_df: DataFrame, dst_df: DataFrame) -> list[tuple[DataFrame, str, bool]]:
+    """The cluster tables as lookups: written, if they are not yet, and measured once."""
+    tables = (("source", "c_src", src_df), ("username", "c_usr", usr_df), ("destination", "c_dst", dst_df))
+    sides = [(as_table(table).select(key, cluster), key) for key, cluster, table in tables]
+    return [(side, key, fits_broadcast(side)) for side, key in sides]
 
 
 def train_clusters_inner(
     train_df: DataFrame, src_df: DataFrame, usr_df: DataFrame, dst_df: DataFrame
 ) -> DataFrame:
-    return _with_clusters(train_df, src_df, usr_df, dst_df, "inner")
+    return lookup_joins(train_df, cluster_sides(src_df, usr_df, dst_df), "inner")
 
 
 def benign_triplets(train_df: DataFrame) -> DataFrame:
@@ -93,8 +93,11 @@ def fill_unmatched(df: DataFrame) -> DataFrame:
 
 def triplet_novelty_join(test_df: DataFrame, triplets_df: DataFrame) -> DataFrame:
     """Status of the test rows: that of their triplet in training, else malicious."""
-    seen = lookup_join(test_df.drop("status"), cut_lineage(triplets_df), ["c_usr", "c_src", "c_dst"])
-    return fill_unmatched(seen)
+    triplets = as_table(triplets_df)
+    small = fits_broadcast(triplets)
+    # hot triplets are looked for in what the cluster lookups gave, so that is written first
+    rows = test_df.drop("status") if small else as_table(test_df).drop("status")
+    return fill_unmatched(lookup_join(rows, triplets, ["c_usr", "c_src", "c_dst"], small=small))
 
 
 def writeback_by_id(observations: DataFrame, result_df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -112,12 +115,11 @@ def intel_ip_enrich(
     """Add reputation fields ``x_{attr}_{field}`` for each address column present."""
     parsed = intel_df.select("ip", sans_fields(F.col("doc")).alias("__f")).where("__f is not null")
     parsed = cut_lineage(parsed.groupBy("ip").agg(F.min("__f").alias("__f")))  # one answer per address
-    for attr in [a for a in attrs if a in df.columns]:
-        fields = parsed.select(
-            F.col("ip").alias(attr), *[F.col(f"__f.{n}").alias(f"x_{attr}_{n}") for n in IP_FIELDS]
-        )
-        df = lookup_join(df, fields, attr)
-    return df
+    small = fits_broadcast(parsed)
+    fields = lambda attr: parsed.select(
+        F.col("ip").alias(attr), *[F.col(f"__f.{n}").alias(f"x_{attr}_{n}") for n in IP_FIELDS]
+    )
+    return lookup_joins(df, [(fields(a), a, small) for a in attrs if a in df.columns])
 
 
 def intel_observable_enrich(df: DataFrame, intel_df: DataFrame) -> DataFrame:

@@ -45,23 +45,16 @@ def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Hashes of keys that hold more than 1/share of the rows.
+def hot_key_hashes(df: DataFrame, key_sets: Sequence[Sequence[str]], share: int = HOT_SHARE) -> list[list[int]]:
+    """For each set of key columns the hashes of keys that hold more than 1/share of the rows.
 
-    One mergeable heavy-hitter sketch over the key hash; at most ``2 * share`` rows
-    leave it, so the result can be broadcast.  A missed key only costs balance, never
-    a result row.
+    One pass over ``df`` with a mergeable heavy-hitter sketch per set; at most
+    ``2 * share`` hashes leave each.  A missed key only costs balance, never a result row.
     """
-    hashed = df.select(F.xxhash64(*[c(k) for k in keys]).alias("__h"))
-    top = hashed.agg(
-        F.expr(f"approx_top_k(__h, {2 * share}, {20 * share})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    return (
-        top.select(F.explode("top").alias("t"), "n")
-        .where(F.col("t.count") * share > F.col("n"))
-        .select(F.col("t.item").alias("__h"))
-    )
+    hashed = df.select(*[F.xxhash64(*[c(k) for k in keys]).alias(f"__h{i}") for i, keys in enumerate(key_sets)])
+    sketches = [F.expr(f"approx_top_k(__h{i}, {2 * share}, {20 * share})").alias(f"top{i}") for i in range(len(key_sets))]
+    row = hashed.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
+    return [[t["item"] for t in row[f"top{i}"] or [] if t["count"] * share > row["n"]] for i in range(len(key_sets))]
 
 
 def salted_join(
@@ -69,16 +62,16 @@ def salted_join(
     keyed: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    hot: DataFrame | None = None,
+    found: Sequence[int] | None = None,
 ) -> DataFrame:
     """Equi-join ``big`` with ``keyed`` on ``keys``, spreading hot keys.
 
-    ``hot`` holds the column ``__h`` (hash of the key columns) and has a bounded
-    number of rows by construction; they become a list in the plan, and without any the
-    join is a plain one.
+    ``found`` are the hashes of the hot keys, a bounded number by construction; they
+    become a list in the plan, and without any the join is a plain one.
     """
     keys = list(keys)
-    found = [r["__h"] for r in (hot_keys(big, keys) if hot is None else hot).select("__h").collect()]
+    if found is None:
+        (found,) = hot_key_hashes(big, [keys])
     if not found:
         return big.join(keyed, keys, how)
     is_hot = F.xxhash64(*[c(k) for k in keys]).isin(found)
@@ -99,10 +92,26 @@ def lookup_join(
 
     ``small`` passes on the outcome of :func:`fits_broadcast` when the caller has it.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    if fits_broadcast(keyed) if small is None else small:
-        return big.join(F.broadcast(keyed), keys, how)
-    return salted_join(big, keyed, keys, how)
+    return lookup_joins(big, [(keyed, keys, small)], how)
+
+
+def lookup_joins(
+    big: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str] | str, bool | None]], how: str = "left"
+) -> DataFrame:
+    """Join several stored lookup tables (table, keys, small), keys being columns of ``big``.
+
+    The hot keys of all tables that are not broadcast come from one pass over ``big``
+    itself, before anything is joined to it.
+    """
+    sides = [
+        (keyed, [keys] if isinstance(keys, str) else list(keys), fits_broadcast(keyed) if small is None else small)
+        for keyed, keys, small in lookups
+    ]
+    wide = [keys for _, keys, fits in sides if not fits]
+    found = iter(hot_key_hashes(big, wide) if wide else [])
+    for keyed, keys, fits in sides:
+        big = big.join(F.broadcast(keyed), keys, how) if fits else salted_join(big, keyed, keys, how, next(found))
+    return big
 
 
 def totals_join(
@@ -126,4 +135,4 @@ def totals_join(
     hot = totals.where(c(n_rows) * HOT_SHARE > rows).select(
         F.xxhash64(*[c(k) for k in keys]).alias("__h")
     )
-    return salted_join(big, totals.drop(n_rows), keys, how, hot=hot)
+    return salted_join(big, totals.drop(n_rows), keys, how, [r["__h"] for r in hot.collect()])

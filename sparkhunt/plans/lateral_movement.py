@@ -14,13 +14,13 @@ from sparkhunt.operators.filters import split_by_status, union_train_test
 from sparkhunt.operators.graph import adjacency, graph_edges, node_embeddings, random_walks
 from sparkhunt.operators.joins import (
     assemble_auth_requests,
-    attach_train_clusters,
     benign_triplets,
-    train_clusters_inner,
+    cluster_sides,
     triplet_novelty_join,
     writeback_by_id,
 )
 from sparkhunt.operators.kmeans import kmeans_assign, kmeans_cluster
+from sparkhunt.operators.lookup import lookup_joins
 from sparkhunt.session import cut_lineage
 
 RESULT = ("username", "c_usr", "source", "c_src", "destination", "c_dst", "status")
@@ -72,8 +72,9 @@ def score_requests(
 ) -> DataFrame:
     """Training rows with their clusters and test rows with the status of their triplet."""
     columns = ["id", *RESULT]
-    trained = train_clusters_inner(train, src, usr, dst)
-    placed = attach_train_clusters(test, src, usr, dst)
+    sides = cluster_sides(src, usr, dst)
+    trained = lookup_joins(train, sides, "inner")
+    placed = lookup_joins(test, sides)
     scored = triplet_novelty_join(placed, cut_lineage(benign_triplets(trained)))
     return union_train_test(trained.select(*columns), scored.select(*columns))
 

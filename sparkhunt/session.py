@@ -55,6 +55,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return table
 
 
+def as_table(df: DataFrame) -> DataFrame:
+    """``df`` itself where :func:`cut_lineage` gave it, else written now."""
+    return df if getattr(df, "written_at", None) else cut_lineage(df)
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete tables of :func:`cut_lineage` that nothing reads any more.
 

@@ -379,3 +379,31 @@ def test_the_next_place_is_carried_over_chunks(spark):
     df = spark.createDataFrame([(k, at, w) for (k, at), w in rows.items()], "k string, at long, w long")
     got = {(r.k, r.at): r.nxt for r in next_at_or_after(df, "k", "at", "w", "nxt", chunk_rows=7).collect()}
     assert got == {(k, at): min((x for j, x in rows if j == k and x >= w), default=None) for (k, at), w in rows.items()}
+
+
+def test_several_lookups_sketch_their_keys_in_one_pass(spark, monkeypatch, tmp_path):
+    """With broadcast off, the base table is scanned once by the sketch and once by the joins."""
+    from sparkhunt.operators import joins
+
+    rows = [(i, "hot" if i % 3 else f"s{i % 40}", f"u{i % 50}", "d" if i % 2 else None) for i in range(2000)]
+    spark.createDataFrame(rows, "id int, source string, username string, destination string").write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+    table = lambda key, name, values: spark.createDataFrame([(v, i) for i, v in enumerate(values)], f"{key} string, {name} int")
+    sides = [table("source", "c_src", ["hot", *(f"s{i}" for i in range(30))]), table("username", "c_usr", [f"u{i}" for i in range(45)]), table("destination", "c_dst", ["d", "e"])]
+    want = sorted(map(tuple, joins.attach_train_clusters(base, *sides).select("id", "c_src", "c_usr", "c_dst").collect()), key=lambda r: r[0])
+    calls = []
+    sketch = lookup.hot_key_hashes
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda df, limit=0: False)
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df, limit=0: False)
+    monkeypatch.setattr(lookup, "hot_key_hashes", lambda df, sets, share=500: calls.append((df, sets)) or sketch(df, sets, share))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = joins.attach_train_clusters(base, *sides)
+        got = sorted(map(tuple, out.select("id", "c_src", "c_usr", "c_dst").collect()), key=lambda r: r[0])
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == want and len(calls) == 1 and calls[0][0] is base
+    assert sketch(base, [["source"], ["username"]])[0] and not sketch(base.limit(0), [["source"]])[0]
+    scans = [line for line in plan.splitlines() if "Relation" in line]
+    assert len(scans) == 4 and sum("id#" in line and "username#" in line for line in scans) == 1
