@@ -1,169 +1,100 @@
-"""Exact quantiles of large columns by narrowing brackets.
+"""Exact quantiles of large columns by radix selection.
 
-Spark's ``percentile`` keeps every distinct value of a group in one task.  Here a
-sketch gives a bracket around each wanted rank, exact counts tell how many rows lie
-below and inside it, and the bracket is narrowed until its distinct values fit one
-bounded, sorted list.  The result is exact whatever the sketch said.
+The bits of a double, with the sign bit turned, order like the numbers.  They are read as
+four digits of 16 bits: one scan counts the digits of all columns, and each wanted rank
+picks the digit it falls under; the next scan counts the next digit of the rows below the
+picked ones.  Four scans give every rank of every column exactly, whatever the values.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkhunt.names import c
 
-#: Most distinct values one bracket may hold when its ranks are read off.
-BRACKET_VALUES = 200_000
-#: Most rows all brackets may hold each to be read off together.
-BRACKET_ROWS = 1_000_000
-_ACCURACY = 10_000
-
-
-@dataclass
-class _Bracket:
-    attr: str
-    rank: int  # 0-based rank wanted
-    low: float
-    high: float
-    below: int  # rows with a value under ``low``
-    inside: int  # rows in [low, high]
-
-
-def _measure(df: DataFrame, brackets: Sequence[_Bracket]) -> None:
-    """Count the rows below and inside every bracket in one pass."""
-    aggs = []
-    for i, b in enumerate(brackets):
-        x = c(b.attr).cast("double")
-        aggs.append(F.count_if(x < b.low).alias(f"below{i}"))
-        aggs.append(F.count_if(x.between(b.low, b.high)).alias(f"inside{i}"))
-    row = df.agg(*aggs).first()
-    for i, b in enumerate(brackets):
-        b.below, b.inside = row[f"below{i}"], row[f"inside{i}"]
-
-
-def _sketch(df: DataFrame, b: _Bracket) -> tuple[float, float, int]:
-    """Narrower bounds around the rank, from a sketch of the rows in the bracket."""
-    x = c(b.attr).cast("double")
-    share = (b.rank - b.below) / max(b.inside - 1, 1)
-    margin = 4.0 / _ACCURACY
-    ends = [max(share - margin, 0.0), min(share + margin, 1.0)]
-    inside = df.where(x.between(b.low, b.high)).select(x.alias("x"))
-    row = inside.agg(
-        F.percentile_approx("x", ends, _ACCURACY).alias("q"),
-        F.approx_count_distinct("x").alias("d"),
-    ).first()
-    return row["q"][0], row["q"][1], row["d"]
-
-
-def _read_off(df: DataFrame, b: _Bracket) -> float:
-    """Value at the rank; the bracket holds at most BRACKET_VALUES distinct values."""
-    x = c(b.attr).cast("double")
-    counts = (
-        df.where(x.between(b.low, b.high)).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("x")))
-    return (
-        upto.where(F.col("upto") > b.rank - b.below).agg(F.min("x").alias("x")).first()["x"]
-    )
-
-
-def _read_off_all(df: DataFrame, brackets: Sequence[_Bracket]) -> dict[tuple[str, int], float]:
-    """Values at the ranks of brackets with at most BRACKET_ROWS rows, in one job."""
-    spans = list(dict.fromkeys((b.attr, b.low, b.high) for b in brackets))
-    hits = [
-        F.when(c(attr).between(low, high), F.struct(F.lit(k).alias("k"), c(attr).alias("x")))
-        for k, (attr, low, high) in enumerate(spans)
-    ]
-    counts = (
-        df.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
-        .groupBy("h.k", "h.x")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("x")))
-    picks = [
-        F.min(
-            F.when((F.col("k") == spans.index((b.attr, b.low, b.high))) & (F.col("upto") > b.rank - b.below), F.col("x"))
-        ).alias(f"v{i}")
-        for i, b in enumerate(brackets)
-    ]
-    row = upto.agg(*picks).first()
-    return {(b.attr, b.rank): row[f"v{i}"] for i, b in enumerate(brackets)}
-
-
-def _value_at(df: DataFrame, b: _Bracket) -> float:
-    while b.low < b.high:
-        low, high, distinct = _sketch(df, b)
-        if distinct <= BRACKET_VALUES // 2:
-            return _read_off(df, b)
-        narrower = _Bracket(b.attr, b.rank, low, high, 0, 0)
-        _measure(df, [narrower])
-        if not narrower.below <= b.rank < narrower.below + narrower.inside:
-            # the sketch missed: keep the side of the bracket that holds the rank
-            if b.rank < narrower.below:
-                narrower = _Bracket(b.attr, b.rank, b.low, low, 0, 0)
-            else:
-                narrower = _Bracket(b.attr, b.rank, high, b.high, 0, 0)
-            _measure(df, [narrower])
-        if (narrower.low, narrower.high) == (b.low, b.high):  # no progress: halve by value
-            middle = b.low + (b.high - b.low) / 2
-            narrower = _Bracket(b.attr, b.rank, b.low, middle, 0, 0)
-            _measure(df, [narrower])
-            if b.rank >= narrower.below + narrower.inside:
-                narrower = _Bracket(b.attr, b.rank, math.nextafter(middle, math.inf), b.high, 0, 0)
-                _measure(df, [narrower])
-        b = narrower
-    return b.low
+_DIGITS, _BITS = 4, 16
+_TOP = np.uint64(1 << 63)
+
+
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """Unsigned integers that order like the numbers, NaN last."""
+    bits = np.where(np.isnan(values), np.nan, values + 0.0).view(np.uint64)
+    return np.where(bits & _TOP, ~bits, bits | _TOP)
+
+
+def _number(pattern: int) -> float:
+    bits = pattern ^ (1 << 63) if pattern >> 63 else pattern ^ ((1 << 64) - 1)
+    return float(np.array([bits], np.uint64).view(np.float64)[0])
+
+
+def _digit_counts(numbers: DataFrame, prefixes: Sequence[np.ndarray], digit: int) -> DataFrame:
+    """(a, p, d, n): rows of column ``a`` per value of a digit, below its p-th prefix."""
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for a, known in enumerate(prefixes):
+                column = part.column(a).drop_null()
+                if not len(column) or not len(known):
+                    continue
+                bits = _ordered(column.to_numpy(zero_copy_only=False))
+                head = bits >> np.uint64(64 - _BITS * digit) if digit else np.zeros(len(bits), np.uint64)
+                at = np.minimum(np.searchsorted(known, head), len(known) - 1)
+                under = known[at] == head
+                low = (bits[under] >> np.uint64(64 - _BITS * (digit + 1))) & np.uint64((1 << _BITS) - 1)
+                keys, n = np.unique((at[under] << _BITS) | low.astype(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(keys), a, np.int32)), pa.array((keys >> _BITS).astype(np.int32)), pa.array((keys & ((1 << _BITS) - 1)).astype(np.int32)), pa.array(n)], ["a", "p", "d", "n"]
+                )
+
+    return numbers.mapInArrow(count, "a int, p int, d int, n long").groupBy("a", "p", "d").agg(F.sum("n").alias("n"))
 
 
 def exact_quantiles(
     df: DataFrame, attrs: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles per column (NULLs left out), as driver numbers."""
-    numbers = df.select(*[c(a).cast("double").alias(a) for a in attrs])
-    margin = 4.0 / _ACCURACY
-    ends = sorted({e for p in probabilities for e in (max(p - margin, 0.0), min(p + margin, 1.0))})
-    row = numbers.agg(
-        *[F.count(c(a)).alias(f"n{i}") for i, a in enumerate(attrs)],
-        *[F.min(c(a)).alias(f"min{i}") for i, a in enumerate(attrs)],
-        *[F.max(c(a)).alias(f"max{i}") for i, a in enumerate(attrs)],
-        *[F.percentile_approx(c(a), ends, _ACCURACY).alias(f"q{i}") for i, a in enumerate(attrs)],
-    ).first()
-    wanted: dict[tuple[str, int], _Bracket] = {}
-    for i, attr in enumerate(attrs):
-        n = row[f"n{i}"]
-        for p in probabilities if n else ():
-            near = dict(zip(ends, row[f"q{i}"]))
-            low = near[max(p - margin, 0.0)] if p > 0 else row[f"min{i}"]
-            high = near[min(p + margin, 1.0)] if p < 1 else row[f"max{i}"]
-            for rank in {math.floor(p * (n - 1)), math.ceil(p * (n - 1))}:
-                wanted.setdefault((attr, rank), _Bracket(attr, rank, low, high, 0, 0))
-    brackets = list(wanted.values())
-    if brackets:
-        _measure(numbers, brackets)
-    for b in brackets:
-        if not b.below <= b.rank < b.below + b.inside:  # the sketch missed: take all rows
-            i = list(attrs).index(b.attr)
-            b.low, b.high, b.below, b.inside = row[f"min{i}"], row[f"max{i}"], 0, row[f"n{i}"]
-    small = [b for b in brackets if b.inside <= BRACKET_ROWS]
-    values = _read_off_all(numbers, small) if small else {}
-    for key, b in wanted.items():
-        if key not in values:
-            values[key] = _value_at(numbers, b)
+    """Linearly interpolated quantiles per column (NULLs left out), as driver numbers.
+
+    What a scan leaves are at most 65,536 counts per column and wanted rank; their running
+    sum is a window over one column and prefix, and one row per rank reaches the driver.
+    """
+    numbers = df.select(*[c(a).cast("double").alias(f"x{i}") for i, a in enumerate(attrs)])
+    first = _digit_counts(numbers, [np.zeros(1, np.uint64)] * len(attrs), 0).collect()
+    sizes = [sum(r.n for r in first if r.a == a) for a in range(len(attrs))]
+    # (column, rank) -> digits read so far and the rank among the rows that share them
+    wanted: dict[tuple[int, int], tuple[int, int]] = {}
+    for a, n in enumerate(sizes):
+        counts = sorted((r.d, r.n) for r in first if r.a == a)
+        for rank in {f(p * (n - 1)) for p in probabilities for f in (math.floor, math.ceil)} if n else ():
+            below = 0
+            for d, m in counts:
+                if rank < below + m:
+                    wanted[a, rank] = d, rank - below
+                    break
+                below += m
+    for digit in range(1, _DIGITS if wanted else 1):
+        prefixes = [np.array(sorted({p for (b, _), (p, _) in wanted.items() if b == a}), np.uint64) for a in range(len(attrs))]
+        place = [{int(p): i for i, p in enumerate(known)} for known in prefixes]
+        asked = [(a, place[a][p], rank, rest) for (a, rank), (p, rest) in wanted.items()]
+        ranks = df.sparkSession.createDataFrame(asked, "a int, p int, rank long, rest long")
+        upto = F.sum("n").over(Window.partitionBy("a", "p").orderBy("d"))
+        placed = _digit_counts(numbers, prefixes, digit).withColumn("upto", upto)
+        hits = placed.join(F.broadcast(ranks), ["a", "p"]).where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("n") <= F.col("rest")))
+        wanted = {(r.a, r.rank): (int(prefixes[r.a][r.p]) << _BITS | r.d, r.rest - (r.upto - r.n)) for r in hits.collect()}
     result: dict[str, list[float | None]] = {}
-    for i, attr in enumerate(attrs):
-        n = row[f"n{i}"]
+    for a, attr in enumerate(attrs):
         out: list[float | None] = []
         for p in probabilities:
-            if not n:
+            if not sizes[a]:
                 out.append(None)
                 continue
-            at = p * (n - 1)
-            below, above = values[attr, math.floor(at)], values[attr, math.ceil(at)]
-            out.append(below + (above - below) * (at - math.floor(at)))
+            at = p * (sizes[a] - 1)
+            below, above = (_number(wanted[a, f(at)][0]) for f in (math.floor, math.ceil))
+            out.append(below if below == above else below + (above - below) * (at - math.floor(at)))
         result[attr] = out
     return result

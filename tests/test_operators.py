@@ -121,15 +121,23 @@ def test_row_positions_and_running_sum(spark):
     assert {r["line"]: r["s"] for r in sums} == expected
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 3])
-def test_exact_quantiles(spark, monkeypatch, limit):
-    monkeypatch.setattr(quantiles, "BRACKET_ROWS", limit)
-    monkeypatch.setattr(quantiles, "BRACKET_VALUES", limit)
+def test_exact_quantiles(spark, monkeypatch):
+    """Ties, signs, huge and tiny numbers; four scans whatever the columns and ranks."""
+    scans = []
+    count = quantiles._digit_counts
+    monkeypatch.setattr(quantiles, "_digit_counts", lambda df, *rest: scans.append(df) or count(df, *rest))
     rng = random.Random(7)
-    xs = [rng.choice([1.0, 2.5, rng.random() * 100]) for _ in range(301)]
-    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
-    got = quantiles.exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0])["x"]
-    assert got == pytest.approx(list(np.quantile(xs, [0, 0.25, 0.5, 0.75, 1])))
+    columns = {
+        "x": [rng.choice([1.0, 2.5, rng.random() * 100]) for _ in range(301)],
+        "y": [rng.choice([-0.0, 0.0, -5e-324, 1e308, -1e308, -1.5, rng.gauss(0, 1e-9)]) for _ in range(301)],
+        "z": [7.0] * 300 + [None],
+    }
+    df = spark.createDataFrame([*zip(*columns.values()), (None, None, None)], "x double, y double, z double").repartition(5)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = quantiles.exact_quantiles(df, list(columns), shares)
+    for name, values in columns.items():
+        assert got[name] == pytest.approx(list(np.quantile([v for v in values if v is not None], shares)))
+    assert len(scans) == 4
 
 
 def test_quantiles_of_nothing(spark):
