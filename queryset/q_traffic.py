@@ -422,6 +422,7 @@ def _date_case() -> str:
         month = _MONTH.format(group(regex, m))
         return f"when regexp_matches(d, {_q(regex)}) and {month} is not null then {epoch(group(regex, y), month, group(regex, d))}"
 
+    # The date layouts, in their order.
     compact = "^([0-9]{4})([0-9]{2})([0-9]{2})\\s*"
     num = lambda n: f"try_cast({group(compact, n)} as int)"
     slashed = "^([0-9]+)[/\\-.]([0-9]+)[/\\-.]([0-9]{4})\\s*"

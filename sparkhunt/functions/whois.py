@@ -357,6 +357,7 @@ def _date_of(clean: Column) -> Column:
             usable = usable & when
         return usable, _epoch(group(year), number, group(day))
 
+    # The date layouts, in their order.
     compact = r"^([0-9]{4})([0-9]{2})([0-9]{2})\s*"
     part = lambda n: F.regexp_extract(clean, compact, n).try_cast("int")
     sane = (

