@@ -77,7 +77,9 @@ def op3(spark, folder):
     i as (select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') w from benchmark),
     ds as (select doc_id, p, array_to_string(w[p:p + 4], ' ') s from (select doc_id, w, unnest(range(1, len(w) - 3)) p from d)),
     js as (select item_id, len(w) n, p, array_to_string(w[p:p + 4], ' ') s from (select item_id, w, unnest(range(1, len(w) - 3)) p from i)),
-    wins as (select distinct doc_id, item_id, greatest(ds.p - js.p, 0) st, n from ds join js using (s)),
+    wins as (  -- every window of the item's size that shares a shingle with it
+      select distinct doc_id, item_id, st, n from (select doc_id, item_id, n, unnest(range(greatest(ds.p - n + 4, 0), ds.p)) st from ds join (select distinct item_id, n, s from js) using (s))
+    ),
     a as (select wins.doc_id, item_id, st, ds.s, count(*) k from wins join ds on wins.doc_id = ds.doc_id and ds.p between st + 1 and st + n - 4 group by all),
     b as (select item_id, s, count(*) k from js group by all),
     x as (select a.doc_id, a.item_id, a.st, sum(least(a.k, b.k)) m from a join b on a.item_id = b.item_id and a.s = b.s group by all),

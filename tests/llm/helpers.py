@@ -53,22 +53,22 @@ def brute_classes(rows):
 
 
 def brute_leaks(rows, items):
-    """(doc_id, item, start, similarity) with windows put where a shared shingle says."""
+    """(doc_id, item, start, similarity), all windows of the size of an item compared."""
     out = {}
     for key, text in rows:
         mine = shingle_list(text)
-        where = {}
-        for p, s in enumerate(mine):
-            where.setdefault(s, []).append(p)
+        known = set(mine)
         for item, passage in items:
-            theirs = shingle_list(passage)
-            n, starts = len(theirs), set()
-            for q, s in enumerate(theirs):
-                starts.update(max(p - q, 0) for p in where.get(s, ()))
-            for start in starts:
-                a, b = Counter(mine[start : start + n]), Counter(theirs)
-                both = sum((a & b).values())
-                similarity = both / (sum(a.values()) + sum(b.values()) - both)
+            b = Counter(shingle_list(passage))
+            n = sum(b.values())
+            if not known & set(b):
+                continue
+            for start in range(len(mine)):
+                window = mine[start : start + n]
+                if sum(x in b for x in window) < 0.8 * n:  # too few for any similarity of 0.8
+                    continue
+                both = sum((Counter(window) & b).values())
+                similarity = both / (len(window) + n - both)
                 if similarity >= 0.8:
                     best = out.get((key, item), (0, 0))
                     out[key, item] = max(best, (similarity, -start))

@@ -82,6 +82,36 @@ def test_leaks_agree_with_all_windows(spark, leaky):
     assert len(out) > 20
 
 
+def test_windows_that_no_shared_beginning_places(spark):
+    rng = random.Random(9)
+    vocabulary = [f"u{i}" for i in range(5000)]
+    item = rng.choices(vocabulary, k=200)
+    short = [rng.sample(vocabulary, 9) for _ in range(150)]
+    pairs = [(rng.sample(vocabulary, 2) * 20)[:20] for _ in range(30)]
+    items = [(0, " ".join(item))] + [(1000 + i, " ".join(x)) for i, x in enumerate(short)] + [(5000 + i, " ".join(x)) for i, x in enumerate(pairs)]
+    filler = lambda n: rng.choices([f"f{i}" for i in range(5000)], k=n)
+    rows = [(0, " ".join(filler(30) + item[100:] + item[:100] + filler(30)))]  # halves in the other order
+    rows += [(1000 + i, " ".join(filler(20) + x[: 8])) for i, x in enumerate(short)]
+    rows += [(5000 + i, " ".join(filler(20) + x[: 19])) for i, x in enumerate(pairs)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.leaks(docs_table(spark, rows), bench).collect()
+    found = {(r.id, r.item, r.start_word, round(r.similarity, 9)) for r in out}
+    assert found == brute_leaks(rows, items)
+    assert {(k, k) for k, _ in rows} <= {(a, b) for a, b, *_ in found}
+
+
+def test_repetitive_texts_and_several_texts_of_an_item(spark):
+    rng = random.Random(12)
+    few = ["a", "b", "c"]
+    items = [(i, " ".join(rng.choices(few, k=rng.choice([5, 8, 14, 30])))) for i in range(25)]
+    items += [(3, items[9][1]), (30, "a " * 40), (31, items[4][1])]
+    rows = [(i, " ".join(rng.choices(few, k=rng.randint(0, 60)))) for i in range(60)] + [(100, "a " * 500), (101, "A, " * 30)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.leaks(docs_table(spark, rows), bench).collect()
+    assert {(r.id, r.item, r.start_word, round(r.similarity, 9)) for r in out} == brute_leaks(rows, items)
+    assert len(out) > 30
+
+
 def test_clean_documents_stay(spark, leaky):
     rows, items = leaky
     docs = docs_table(spark, rows)
