@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from queryset.catalog import query
 from queryset.q_tables import AUTH, connections, observations, users
+from sparkhunt.functions.timeparts import epoch_seconds
 from sparkhunt.operators import boosting
 from sparkhunt.operators import classify as cl
 from sparkhunt.operators import graph as gr
-from sparkhunt.operators import knn
+from sparkhunt.operators import knn, newton
 from sparkhunt.operators.filters import split_by_status
 from sparkhunt.operators.joins import assemble_auth_requests
 from sparkhunt.plans.lateral_movement import graph_lm_detect
@@ -234,6 +235,30 @@ def _(t):
     return scored.select("id", F.round("x", 9).alias("log_odds"), (F.col("x") > 0).cast("int").alias("prediction"))
 
 
+# Newton steps on one feature, the seconds since midnight
+_LOGISTIC = """
+req as (select event_id, starts_with(status, 'unknown') as test, (not starts_with(status, 'benign'))::int as y, floor(epoch(cast(first_observed as timestamp)))::bigint % 86400 as x from v_auth
+  where starts_with(status, 'unknown') or starts_with(status, 'benign') or starts_with(status, 'malicious')),
+z as materialized (select event_id, test, y, (x - (select avg(x) from req where not test)) / (select stddev_samp(x) from req where not test) as z from req),
+w0 as (select 0::double as b, 0::double as w)""" + "".join(
+    f""",
+p{i} as (select y, z, b, w, 1 / (1 + exp(-(b + w * z))) as p from z, w{i} where not test),
+m{i} as (select any_value(b) as b, any_value(w) as w, sum(p - y) as g0, sum((p - y) * z) + any_value(w) as g1, sum(p * (1 - p)) as h0, sum(p * (1 - p) * z) as h1, sum(p * (1 - p) * z * z) + 1 as h2 from p{i}),
+w{i + 1} as materialized (select b - (h2 * g0 - h1 * g1) / (h0 * h2 - h1 * h1) as b, w - (h0 * g1 - h1 * g0) / (h0 * h2 - h1 * h1) as w from m{i})"""
+    for i in range(10)
+)
+
+
+@query("classify_logistic_small", "with " + _LOGISTIC + "select 'obs-' || event_id as id, round(b + w * z, 6) as log_odds, (b + w * z > 0)::int as prediction from z, w10 where test")
+def _(t):
+    data = _requests(t).withColumn("features", F.array((epoch_seconds(F.col("first_observed")) % 86400).cast("double")))
+    known = split_by_status(data, "benign").unionByName(split_by_status(data, "malicious"))
+    train = cut_lineage(known.select("features", cl.status_code(F.col("status")).alias("label")))
+    model = newton.fit(train, "features", "label")
+    scored = split_by_status(data, "unknown").select("id", model.log_odds(F.col("features")).alias("x"))
+    return scored.select("id", F.round("x", 6).alias("log_odds"), (F.col("x") > 0).cast("int").alias("prediction"))
+
+
 @query("classify_knn_requests")
 def _(t):
     return cl.classify_knn(*_split(t)).select("id", "prediction")

@@ -7,7 +7,6 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     LinearSVC,
-    LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sparkhunt.functions.timeparts import epoch_seconds
 from sparkhunt.names import c
-from sparkhunt.operators import boosting, knn
+from sparkhunt.operators import boosting, knn, newton
 from sparkhunt.operators.filters import split_by_status, union_labeled
 from sparkhunt.operators.lookup import fits_broadcast, lookup_joins
 from sparkhunt.session import cut_lineage
@@ -58,12 +57,9 @@ def _scaler() -> StandardScaler:
 
 
 def classify_logistic(train_df: DataFrame, test_df: DataFrame) -> DataFrame:
-    """Logistic regression with the penalty 1/n, features scaled."""
-    rows = max(train_df.count(), 1)
-    clf = LogisticRegression(
-        featuresCol="__x", labelCol="label", predictionCol="__prediction", regParam=1.0 / rows, maxIter=100
-    )
-    return _fit_predict([_scaler(), clf], train_df, test_df)
+    """Logistic regression with half the squared weights as penalty, features scaled."""
+    model = newton.fit(train_df, "features", "label")
+    return test_df.withColumn("prediction", (model.log_odds(c("features")) > 0).cast("int"))
 
 
 def classify_randomforest(
