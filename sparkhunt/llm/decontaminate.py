@@ -149,7 +149,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     windows = cut_lineage(_windows(hits, least))
 
     held = cut_lineage(windows.select(*DOC).distinct())
-    shingles = _positions(_meet(rows, held, "left_semi", *DOC), *DOC).select(*DOC, "pos", "h").distinct()
+    shingles = _positions(_meet(rows, held, "left_semi", *DOC).dropDuplicates([*DOC]), *DOC).select(*DOC, "pos", "h")
     wanted = windows.withColumn("pos", F.explode(F.sequence("start", F.least(F.col("start") + F.col("n"), F.col("n_here")) - 1)))
     members = cut_lineage(wanted.join(shingles, _same(wanted, shingles, *DOC, "pos")).select(*[wanted[x] for x in (*WINDOW, "n_here")], "h"))
 
