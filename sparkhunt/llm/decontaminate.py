@@ -113,6 +113,13 @@ def _windows(hits: DataFrame, least: float) -> DataFrame:
     return starts(whole).select(*names).unionByName(cut.select(*names))
 
 
+def _near_windows(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """(id, text_hash, pos, h): the shingles from a document's first window to the end of its last."""
+    held = cut_lineage(windows.groupBy(*DOC).agg(F.min("start").alias("low"), F.max(F.col("start") + F.col("n")).alias("high")))
+    once = _meet(rows, held, "inner", *DOC).dropDuplicates([*DOC])
+    return _positions(once, *DOC, "low", "high").where((F.col("pos") >= F.col("low")) & (F.col("pos") < F.col("high"))).select(*DOC, "pos", "h")
+
+
 def _rarest(bags: DataFrame, least: float) -> DataFrame:
     """(n, h, passage): so many of a passage's rarest shingles that a similar window holds one."""
     shared = bags.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("n", "h")))
@@ -148,8 +155,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     hits = seeds.select(*DOC, "n_here", F.explode("sizes").alias("n"), "pos").distinct()
     windows = cut_lineage(_windows(hits, least))
 
-    held = cut_lineage(windows.select(*DOC).distinct())
-    shingles = _positions(_meet(rows, held, "left_semi", *DOC).dropDuplicates([*DOC]), *DOC).select(*DOC, "pos", "h")
+    shingles = _near_windows(rows, windows)
     wanted = windows.withColumn("pos", F.explode(F.sequence("start", F.least(F.col("start") + F.col("n"), F.col("n_here")) - 1)))
     members = cut_lineage(wanted.join(shingles, _same(wanted, shingles, *DOC, "pos")).select(*[wanted[x] for x in (*WINDOW, "n_here")], "h"))
 

@@ -112,6 +112,14 @@ def test_repetitive_texts_and_several_texts_of_an_item(spark):
     assert len(out) > 30
 
 
+def test_only_shingles_between_windows_are_sent_on(spark):
+    words = [f"p{i}" for i in range(104)]
+    rows = spark.createDataFrame([(k, " ".join(words), h) for k, h in ((1, 5), (1, 5), (None, 5), (2, 5))], "id long, text string, text_hash long")
+    windows = spark.createDataFrame([(1, 5, 10, 20), (1, 5, 10, 33), (1, 5, 4, 24), (None, 5, 10, 95)], "id long, text_hash long, n long, start long")
+    out = sorted((r.id or 0, r.text_hash, r.pos) for r in decontaminate._near_windows(rows, windows).collect())
+    assert out == [(0, 5, p) for p in range(95, 100)] + [(1, 5, p) for p in range(20, 43)]
+
+
 def test_clean_documents_stay(spark, leaky):
     rows, items = leaky
     docs = docs_table(spark, rows)
