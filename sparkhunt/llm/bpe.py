@@ -23,6 +23,10 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
+#: A piece without white space, in Python's and the library's sense, but for the space in front.
+_PLAIN = r"^ ?[^\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$"
+#: New pieces that the library gets as the lines of one text.
+LINES = 32
 
 
 class _Rows(dict):
@@ -39,7 +43,8 @@ class _Rows(dict):
 
 
 class PieceEncoder:
-    """Encodes texts with the tokenizer file at ``path``; keeps about ``most`` pieces."""
+    """Encodes texts with the tokenizer file at ``path``; keeps about ``most`` pieces,
+    of these those that come again when others need the place."""
 
     def __init__(self, path: str, offsets: bool = False, most: int = 750_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -48,6 +53,8 @@ class PieceEncoder:
             self._cut = parts_at_spaces(json.load(file))
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._offsets, self._most = offsets, most
+        lone = self._tokenizer.encode("\n", add_special_tokens=False)
+        self._break = lone.ids[0] if self._cut and not offsets and lone.tokens == ["Ċ"] else None
         self._clear()
 
     def _clear(self) -> None:
@@ -57,9 +64,36 @@ class PieceEncoder:
         self._rows = self._used = 0
         self._first, self._count = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
         self._size, self._odd = np.zeros(1024, np.int32), np.zeros(1024, bool)
+        self._met = np.zeros(1024, np.int32)  # in so many batches
         self._ids = np.zeros(8192, np.uint32)
         self._spans = np.zeros((8192, 2) if self._offsets else (0, 2), np.uint32)
 
+    def _forget(self) -> None:
+        """Drop the pieces met in one batch only, or in so few that half of ``most`` stay."""
+        least, met = 2, self._met[: self._rows]
+        while np.count_nonzero(met >= least) > self._most // 2:
+            least += 1
+        stays = met >= least
+        count, kept = self._count[: self._rows][stays], stays.tolist()
+        to, ends = (np.cumsum(stays) - 1).tolist(), np.cumsum(count, dtype=np.int64)
+        self._used = int(ends[-1]) if len(ends) else 0
+        take = np.repeat(self._first[: self._rows][stays] - (ends - count), count) + np.arange(self._used)
+        self._ids[: self._used] = self._ids[take]
+        if self._offsets:
+            self._spans[: self._used] = self._spans[take]
+        for name in ("_size", "_odd"):
+            held = getattr(self, name)
+            held[: len(count)] = held[: self._rows][stays]
+            held[len(count) :] = 0
+        self._rows = len(count)
+        self._count[: self._rows], self._first[: self._rows] = count, ends - count
+        self._met[: self._rows], self._met[self._rows :] = 1, 0
+        for rows in (self._heads, self._rest):
+            few = [(piece, to[row]) for piece, row in rows.items() if kept[row]]
+            rows.clear()
+            rows.update(few)
+            rows.start = self._rows
+
     @staticmethod
     def _grown(array: np.ndarray, need: int) -> np.ndarray:
         if len(array) < need:
@@ -71,33 +105,72 @@ class PieceEncoder:
         new = self._waiting
         if not new:
             return
-        for name in ("_first", "_count", "_size", "_odd"):
+        for name in ("_first", "_count", "_size", "_odd", "_met"):
             setattr(self, name, self._grown(getattr(self, name), self._rows + len(new)))
-        encode = self._tokenizer.encode_batch if self._offsets else self._tokenizer.encode_batch_fast
         for at in range(0, len(new), 8192):
             some = new[at : at + 8192]
-            codes = encode(some, add_special_tokens=False)
-            counts = np.fromiter(map(len, codes), np.int32, len(some))
-            rows, end = slice(self._rows, self._rows + len(some)), self._used + int(counts.sum())
-            self._ids = self._grown(self._ids, end)
-            self._ids[self._used : end] = np.fromiter(chain.from_iterable(c.ids for c in codes), np.uint32, end - self._used)
+            plain = pc.match_substring_regex(pa.array(some, pa.string()), _PLAIN).to_numpy(zero_copy_only=False)
+            as_lines = self._lines([some[i] for i in np.flatnonzero(plain)]) if self._break is not None else None
+            if as_lines is None:
+                self._keep(np.arange(len(some)), *self._singly(some))
+            else:
+                self._keep(np.flatnonzero(plain), *as_lines)
+                self._keep(rest := np.flatnonzero(~plain), *self._singly([some[i] for i in rest]))
             if self._offsets:
-                self._spans = self._grown(self._spans, end)
-                flat = chain.from_iterable(chain.from_iterable(c.offsets for c in codes))
-                self._spans[self._used : end] = np.fromiter(flat, np.uint32, 2 * (end - self._used)).reshape(-1, 2)
-            self._count[rows], self._first[rows] = counts, self._used + np.cumsum(counts) - counts
-            self._size[rows] = np.fromiter(map(len, some), np.int32, len(some))
+                self._size[self._rows : self._rows + len(some)] = np.fromiter(map(len, some), np.int32, len(some))
             # white space, but for the space in front, at an end of the piece
-            self._odd[rows] = [not (bare := p.strip()) or len(p) - len(bare) != (p[0] == " ") for p in some]
-            self._used, self._rows = end, rows.stop
+            for i in np.flatnonzero(~plain).tolist():
+                p = some[i]
+                self._odd[self._rows + i] = not (bare := p.strip()) or len(p) - len(bare) != (p[0] == " ")
+            self._rows += len(some)
         new.clear()
         self._heads.start = self._rest.start = self._rows
 
+    def _keep(self, rows: np.ndarray, ids: np.ndarray, counts: np.ndarray, spans: np.ndarray | None) -> None:
+        """Keep the ids of new pieces, whose ``rows`` count from the first row not yet filled."""
+        end = self._used + len(ids)
+        self._ids = self._grown(self._ids, end)
+        self._ids[self._used : end] = ids
+        if spans is not None:
+            self._spans = self._grown(self._spans, end)
+            self._spans[self._used : end] = spans
+        self._count[self._rows + rows], self._first[self._rows + rows] = counts, self._used + np.cumsum(counts) - counts
+        self._used = end
+
+    def _singly(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """Ids, how many each piece has, and offsets if asked for."""
+        codes = (self._tokenizer.encode_batch if self._offsets else self._tokenizer.encode_batch_fast)(pieces, add_special_tokens=False)
+        counts = np.fromiter(map(len, codes), np.int32, len(pieces))
+        n = int(counts.sum())
+        ids = np.fromiter(chain.from_iterable(c.ids for c in codes), np.uint32, n)
+        if not self._offsets:
+            return ids, counts, None
+        flat = chain.from_iterable(chain.from_iterable(c.offsets for c in codes))
+        return ids, counts, np.fromiter(flat, np.uint32, 2 * n).reshape(-1, 2)
+
+    def _lines(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, None] | None:
+        """The same of pieces without white space, given to the library as lines of a few texts.
+
+        A line break between characters that are not white space, or before a space and
+        such a character, is a pre-token of its own, and no other token is that of a break.
+        None if a special string is among the lines.
+        """
+        texts = ["\n".join(pieces[at : at + LINES]) + "\n" for at in range(0, len(pieces), LINES)]
+        if any(mark in text for mark in self._special for text in texts):
+            return None
+        codes = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        flat = np.concatenate([np.zeros(0, np.uint32), *(np.array(c.ids, np.uint32) for c in codes)])
+        broken = flat == self._break
+        ends = np.flatnonzero(broken)
+        return (flat[~broken], np.diff(ends, prepend=-1) - 1, None) if len(ends) == len(pieces) else None
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         """Ids of all texts (a string array without nulls) in one array, tokens per text,
         and (None unless asked for) the tokens' first and end characters inside their text."""
-        if self._rows > self._most or not self._cut:
+        if not self._cut:
             self._clear()
+        elif self._rows > self._most:
+            self._forget()
         if not len(texts):
             return self._ids[:0], np.zeros(0, np.int64), self._spans[:0].astype(np.int64) if self._offsets else None
         parts = pc.split_pattern(texts, " ")
@@ -114,6 +187,8 @@ class PieceEncoder:
         row = known[codes]
         row[first] = np.fromiter(map(self._heads.__getitem__, names[codes[first]]), np.int64, len(first))
         self._encode_waiting()
+        self._met[known[used]] += 1
+        self._met[row[first]] += 1
         whole = self._whole(texts)
         # spaces beside other white space
         odd = ~whole & (pieces > 1) & np.logical_or.reduceat(self._odd[row], first)

@@ -66,6 +66,44 @@ def test_a_file_that_splits_otherwise_is_given_whole_texts(tmp_path):
             assert list(map(tuple, spans.tolist())) == [x for c in codes for x in c.offsets]
 
 
+class Counting:
+    """The tokenizer; counts the strings given to it."""
+
+    def __init__(self, tokenizer):
+        self._tokenizer, self.seen = tokenizer, []
+
+    def encode_batch_fast(self, some, **how):
+        self.seen += some
+        return self._tokenizer.encode_batch_fast(some, **how)
+
+
+def test_new_pieces_go_to_the_library_as_lines_of_few_texts():
+    plain = PieceEncoder(PATH, most=300)
+    plain._tokenizer = library = Counting(plain._tokenizer)
+    text = " ".join(f"w{i}x" for i in range(2000))
+    assert plain.encode(pa.array([text]))[0].tolist() == WHOLE.encode(text).ids
+    assert len(library.seen) < 80
+    for some in (ODD, ["<|endoftext|>", "a", "b"], ["a\nb c\n d", "ends\x85 \u2028 é\u3000 x\x1c", "'s 't a's"], [text, *ODD]):
+        ids, lengths, _ = plain.encode(pa.array(some, pa.string()))
+        codes = [WHOLE.encode(t, add_special_tokens=False).ids for t in some]
+        assert lengths.tolist() == list(map(len, codes)) and ids.tolist() == [x for c in codes for x in c]
+
+
+def test_pieces_that_come_again_are_not_encoded_again():
+    plain, spans = PieceEncoder(PATH, most=160), PieceEncoder(PATH, offsets=True, most=160)
+    plain._tokenizer = library = Counting(plain._tokenizer)
+    often = " ".join(f"often{i}" for i in range(25))
+    for i in range(12):
+        some = [f"{often} " + " ".join(f"once{i}x{j}" for j in range(40)), "  a  b\n", often]
+        codes = [WHOLE.encode(t, add_special_tokens=False) for t in some]
+        for encoder in (plain, spans):
+            ids, lengths, places = encoder.encode(pa.array(some))
+            assert ids.tolist() == [x for c in codes for x in c.ids] and lengths.tolist() == [len(c.ids) for c in codes]
+        assert list(map(tuple, places.tolist())) == [x for c in codes for x in c.offsets]
+    given = "\n".join(library.seen)
+    assert given.count("once3x7") == 1 and given.count("often7") == 1
+
+
 def test_sections_share_the_tokens_of_the_whole_text(spark):
     rows = [(1, "one two\nthree\n\nfour"), (2, None), (3, ""), (4, "\n"), (5, "wordwordword " * 3000), (1, "one two\nthree\n\nfour")]
     docs = docs_table(spark, rows)
