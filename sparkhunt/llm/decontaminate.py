@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkhunt.llm.common import own_name, words
 from sparkhunt.names import c
-from sparkhunt.operators.lookup import fits_broadcast, lookup_join
+from sparkhunt.operators.lookup import fits_broadcast, lookup_join, unsent
 from sparkhunt.session import cut_lineage
 
 SHINGLE = 5
@@ -77,7 +77,7 @@ def _meet(big: DataFrame, small: DataFrame, how: str, *names: str) -> DataFrame:
     """Join on columns that may be null; ``small`` is a stored table, broadcast if its size allows."""
     side = small.select(*[F.col(x).alias(f"its_{x}") if x in names else x for x in small.columns])
     on = [F.col(x).eqNullSafe(F.col(f"its_{x}")) for x in names]
-    return big.join(F.broadcast(side) if fits_broadcast(small) else side, on, how).drop(*[f"its_{x}" for x in names])
+    return big.join(F.broadcast(side) if fits_broadcast(small) else unsent(side), on, how).drop(*[f"its_{x}" for x in names])
 
 
 def _windows(hits: DataFrame, least: float) -> DataFrame:
@@ -101,7 +101,7 @@ def _windows(hits: DataFrame, least: float) -> DataFrame:
     need = F.greatest(F.ceil(F.col("n") * (2 * share) - 1e-9), F.lit(1))
     ends = ranked.select(*[F.col(x).alias(f"e_{x}") for x in (*DOC, "n", "rank", "pos")])
     on = [*[F.col(x).eqNullSafe(F.col(f"e_{x}")) for x in (*DOC, "n")], F.col("rank") + need - 1 == F.col("e_rank")]
-    dense = ranked.join(ends, on).where(F.col("e_pos") - F.col("pos") < F.col("n"))
+    dense = ranked.join(unsent(ends), on).where(F.col("e_pos") - F.col("pos") < F.col("n"))
     whole = dense.select(
         *DOC, "n_here", "n", F.greatest("free", F.col("e_pos") - F.col("n") + 1).alias("first"), F.least("pos", F.col("n_here") - F.col("n")).alias("last")
     )
@@ -157,13 +157,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     shingles = _near_windows(rows, windows)
     wanted = windows.withColumn("pos", F.explode(F.sequence("start", F.least(F.col("start") + F.col("n"), F.col("n_here")) - 1)))
-    members = cut_lineage(wanted.join(shingles, _same(wanted, shingles, *DOC, "pos")).select(*[wanted[x] for x in (*WINDOW, "n_here")], "h"))
+    members = cut_lineage(wanted.join(unsent(shingles), _same(wanted, shingles, *DOC, "pos")).select(*[wanted[x] for x in (*WINDOW, "n_here")], "h"))
 
     marked = cut_lineage(simhash(members.withColumn("k", F.lit(1)), *WINDOW))
     theirs = simhash(bags.where("steady"), "passage", "n").withColumnRenamed("mark", "its_mark").withColumn("b", F.explode(_blocks(F.col("its_mark"))))
     theirs = cut_lineage(theirs.select("passage", "n", "its_mark", "b.block", F.explode(_near_values(F.col("b.block"), F.col("b.value"))).alias("value")))
     ours = marked.select("n", "mark").distinct().withColumn("b", F.explode(_blocks(F.col("mark")))).select("n", "mark", "b.block", "b.value")
-    near = ours.join(F.broadcast(theirs) if fits_broadcast(theirs) else theirs, ["n", "block", "value"]).where(
+    near = ours.join(F.broadcast(theirs) if fits_broadcast(theirs) else unsent(theirs), ["n", "block", "value"]).where(
         F.bit_count(F.col("mark").bitwiseXOR(F.col("its_mark"))) <= RADIUS
     )
     near = cut_lineage(near.select("n", "mark", "passage").distinct())
@@ -172,7 +172,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     by_shingle = lookup_join(members, rare, ["n", "h"], how="inner").select(*WINDOW, "passage").distinct()
     candidates = cut_lineage(by_mark.unionByName(by_shingle))
 
-    pairs = candidates.join(members, _same(candidates, members, *WINDOW)).select(*[candidates[x] for x in candidates.columns], "n_here", "h")
+    pairs = candidates.join(unsent(members), _same(candidates, members, *WINDOW)).select(*[candidates[x] for x in candidates.columns], "n_here", "h")
     counts = cut_lineage(pairs.groupBy(*WINDOW, "n_here", "passage", "h").agg(F.count(F.lit(1)).alias("k")))
     known = cut_lineage(bags.select("passage", "h", F.col("k").alias("its_k")))
     both = lookup_join(counts, known, ["passage", "h"], how="inner").groupBy(*WINDOW, "n_here", "passage").agg(F.sum(F.least("k", "its_k")).alias("both"))
@@ -189,5 +189,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     mark, its_id, its_hash = (own_name(x, docs.columns) for x in ("text_hash", "leak_id", "leak_hash"))
     found = found.withColumnsRenamed({"id": its_id, "text_hash": its_hash})
     marked = docs.withColumn(mark, F.xxhash64(F.coalesce(c(text), F.lit(""))))
-    few = F.broadcast(found) if fits_broadcast(found) else found
+    few = F.broadcast(found) if fits_broadcast(found) else unsent(found)
     return marked.join(few, c(key).eqNullSafe(c(its_id)) & (c(mark) == c(its_hash)), "left_anti").drop(mark)

@@ -2,9 +2,10 @@
 
 import contextlib
 
-from pyspark.sql import functions as F
+import pytest
 
 from sparkhunt.functions import whois
+from sparkhunt.operators import lookup
 
 _THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
 
@@ -34,3 +35,25 @@ def test_whois_steps_do_not_broadcast(spark):
         assert "Broadcast" not in plan_of(report)
         assert "Broadcast" not in plan_of(whois.sorted_tags(whois.whois_tag_rename(values)))
         assert {(r.tag, r.value) for r in report.collect()} == {("registrar", "x"), ("ns", "ns1.x.org")}
+
+
+def test_windows_of_documents_are_not_broadcast(spark, monkeypatch):
+    decontaminate = pytest.importorskip("sparkhunt.llm.decontaminate")
+    passage = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(i, f"{'pre ' * i}{passage} after") for i in range(4)] + [(9, "nothing of it is here at all")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    plans, cut = [], decontaminate.cut_lineage
+
+    def watched(df):
+        if {"id", "start", "rank"} & set(df.columns):
+            plans.append(plan_of(df))
+        return cut(df)
+
+    monkeypatch.setattr(decontaminate, "cut_lineage", watched)
+    monkeypatch.setattr(decontaminate, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
+    with eager_broadcast(spark):
+        left = decontaminate.decontaminate(docs, items)
+        plans.append(plan_of(left))
+        assert [r.doc_id for r in left.collect()] == [9]
+    assert len(plans) > 5 and not [p for p in plans if "BroadcastHashJoin" in p]
