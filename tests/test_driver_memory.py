@@ -2,10 +2,11 @@
 
 import contextlib
 
+import numpy as np
 import pytest
 
 from sparkhunt.functions import whois
-from sparkhunt.operators import lookup
+from sparkhunt.operators import knn, lookup
 
 _THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
 
@@ -57,3 +58,29 @@ def test_windows_of_documents_are_not_broadcast(spark, monkeypatch):
         plans.append(plan_of(left))
         assert [r.doc_id for r in left.collect()] == [9]
     assert len(plans) > 5 and not [p for p in plans if "BroadcastHashJoin" in p]
+
+
+def test_knn_holds_few_rows_of_a_block_pair(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    train, test = rng.normal(size=(700, 4)), rng.normal(size=(90, 4))
+    train[300:600] = train[:300]  # equal rows, so that ties go by key
+    to_df = lambda m: spark.createDataFrame([(i, [float(v) for v in r], i % 3) for i, r in enumerate(m)], "id int, v array<double>, label int")
+    for name, value in (("_BLOCK_ROWS", 16), ("_MAX_PIVOTS", 6), ("_NUMBERS_AT_ONCE", 200)):
+        monkeypatch.setattr(knn, name, value)
+    streamed, cut = [], knn.cut_lineage
+
+    def watched(df):
+        if "distance" in df.columns:
+            streamed.append(plan_of(df))
+        return cut(df)
+
+    monkeypatch.setattr(knn, "cut_lineage", watched)
+    with eager_broadcast(spark):
+        rows = knn.knn_join(to_df(train), to_df(test), "v", 5, payload=["label"]).collect()
+    # vectors travel in rows of their own, never as blocks in one row
+    assert len(streamed) == 1 and "MapInArrow" in streamed[0] and "collect_list" not in streamed[0]
+    got = {(r.id, r.rank): (r.neighbor, r.label) for r in rows}
+    for q in range(len(test)):
+        d = np.round(np.sqrt(((train - test[q]) ** 2).sum(1)), 9)
+        want = sorted(range(len(train)), key=lambda s: (d[s], s))[:5]
+        assert [got[q, i + 1] for i in range(5)] == [(s, s % 3) for s in want]
