@@ -97,3 +97,11 @@ def test_it_learns_and_stops_where_nothing_is_gained(spark):
     empty = table(spark, rows).limit(0)
     assert boosting.fit(empty, "features", "label", 2, 2).trees == []
     assert empty.select(model.log_odds(F.col("features"))).collect() == []
+
+
+def test_bins_are_stored_in_one_byte_where_that_holds_them():
+    edges = lambda n: [np.arange(n, dtype=float)]
+    values = np.array([[-1.0], [0.0], [254.5], [np.nan]])
+    small, large = boosting.BoostedTrees(edges(255), 2), boosting.BoostedTrees(edges(256), 2)
+    assert small.binned(values).dtype == np.uint8 and small.binned(values).ravel().tolist() == [0, 1, 255, 255]
+    assert large.binned(values).dtype == np.uint16 and large.binned(values).ravel().tolist() == [0, 1, 255, 256]
