@@ -117,7 +117,7 @@ def graph_lm_detect(
     data = cut_lineage(assemble_auth_requests(observations, users, connections))
     walks = random_walks(adjacency(graph_edges(data)), walk_length, 1, seed)
     vectors = cut_lineage(node_embeddings(walks, size=size, seed=seed))
-    labelled = label_unknown(cut_lineage(auth_features(data, vectors)), classifier)
+    labelled = label_unknown(auth_features(data, vectors), classifier)
     result = labelled.select(
         "id",
         c("src_ref.value").alias("source"),
