@@ -435,3 +435,16 @@ def test_a_kmeans_fit_reruns_alike_on_shuffled_rows(spark):
     assert {r["id"]: r["cluster"] for r in kmeans_cluster(odd, ["a", "b"], 3).collect()} == {1: 0, 2: 0, 3: None}
     assert kmeans_cluster(odd.limit(0), ["a", "b"], 3).collect() == []
     assert kmeans.kmeans_start(odd.limit(0), ["a", "b"], 3) == []
+
+
+def test_kmeans_distances_are_compiled(spark):
+    from sparkhunt.operators import kmeans as km
+
+    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 2.0, 0.0), (3, 1.0, 0.0), (4, None, 1.0), (5, float("nan"), 1.0)], "id int, x double, y double")
+    near = lambda centers: df.select("id", km._nearest([F.col("x"), F.col("y")], centers).alias("n"))
+    plan = near([(0.0, 0.0), (2.0, 0.0)])._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "transform" not in plan
+    # the first of equally near centers, NULL where a number is missing
+    got = {r.id: r.n and (r.n.d, r.n.id) for r in near([(0.0, 0.0), (2.0, 0.0)]).collect()}
+    assert (got[1], got[2], got[3], got[4]) == ((0.0, 0), (0.0, 1), (1.0, 0), None) and got[5][1] == 0
+    assert {r.id: r.n and r.n.id for r in near([(0.0, 0.0)]).collect()} == {1: 0, 2: 0, 3: 0, 4: None, 5: 0}
