@@ -6,9 +6,9 @@ import importlib
 import pytest
 from pyspark.sql import functions as F
 
-from queryset import q_graph
+from queryset import QUERIES, q_graph
 from queryset.views import Tables
-from sparkhunt.operators import classify
+from sparkhunt.operators import boosting, classify
 from sparkhunt.plans import lateral_movement
 
 STATUS = ["benign", "malicious", "unknown", "benign"]
@@ -60,3 +60,22 @@ def test_queries_write_no_features(spark, monkeypatch, tmp_path, name):
     out = getattr(importlib.import_module("sparkhunt.operators.classify"), name)(train, test)
     assert out.select("prediction").where(F.col("prediction").isin(0, 1)).count() == test.count() > 0
     assert columns and not [x for x in columns if "features" in x]
+
+
+def test_boosted_query_writes_bins_of_one_byte_and_no_features(spark, monkeypatch, tmp_path):
+    at = datetime.datetime(2024, 1, 1)
+    rows = [(i, at + datetime.timedelta(seconds=i), i % 9, "error" if i % 3 == 0 else "view", 1.0, "") for i in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    columns, widths, cut = [], [], boosting.cut_lineage
+
+    def watched(df):
+        table = cut(df)
+        columns.append(df.columns)
+        if "bins" in df.columns:
+            widths.append(table.select(F.max(F.octet_length("bins"))).first()[0])
+        return table
+
+    for module in (q_graph, classify, boosting):
+        monkeypatch.setattr(module, "cut_lineage", watched)
+    assert QUERIES["classify_boosted_small"](spark, str(tmp_path)).count() > 0
+    assert widths == [385] and not [x for x in columns if "features" in x]
