@@ -79,3 +79,14 @@ def test_boosted_query_writes_bins_of_one_byte_and_no_features(spark, monkeypatc
         monkeypatch.setattr(module, "cut_lineage", watched)
     assert QUERIES["classify_boosted_small"](spark, str(tmp_path)).count() > 0
     assert widths == [385] and not [x for x in columns if "features" in x]
+
+
+def test_forest_keeps_the_nodes_of_rows(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, [float(i % 7), float(i % 5)], int(i % 7 > 3)) for i in range(60)], "id int, features array<double>, label int")
+    made, plain = [], classify.RandomForestClassifier
+    monkeypatch.setattr(classify, "RandomForestClassifier", lambda **given: made.append(given) or plain(**given))
+    predicted = lambda: sorted((r.id, r.prediction) for r in classify.classify_randomforest(rows, rows.drop("label"), trees=5, depth=4).collect())
+    kept = predicted()
+    assert made[0]["cacheNodeIds"]
+    monkeypatch.setattr(classify, "RandomForestClassifier", lambda **given: plain(**{**given, "cacheNodeIds": False}))
+    assert predicted() == kept
