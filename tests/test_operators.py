@@ -448,3 +448,21 @@ def test_kmeans_distances_are_compiled(spark):
     got = {r.id: r.n and (r.n.d, r.n.id) for r in near([(0.0, 0.0), (2.0, 0.0)]).collect()}
     assert (got[1], got[2], got[3], got[4]) == ((0.0, 0), (0.0, 1), (1.0, 0), None) and got[5][1] == 0
     assert {r.id: r.n and r.n.id for r in near([(0.0, 0.0)]).collect()} == {1: 0, 2: 0, 3: 0, 4: None, 5: 0}
+
+
+def test_kmeans_moves_place_rows_as_the_nearest_center_does(spark, monkeypatch):
+    from sparkhunt.operators import kmeans as km
+
+    rng = random.Random(4)
+    rows = [(float(rng.randint(0, 6)), float(rng.randint(0, 6))) for _ in range(80)] + [(float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    at = [F.col("x"), F.col("y")]
+    for n in (1, 2, 5):
+        centers = [(float(rng.randint(0, 6)), float(rng.randint(0, 6))) for _ in range(n)]
+        centers[-1] = centers[0]  # equal centers: the first counts
+        want = sorted(map(str, df.select("x", "y", km._nearest(at, centers)["id"].alias("id")).collect()))
+        plan = km._placed(df, at, centers)
+        assert sorted(map(str, plan.collect())) == want and "struct" not in plan._jdf.queryExecution().optimizedPlan().toString()
+        monkeypatch.setattr(km, "_PLAIN_CENTERS", 0)
+        assert sorted(map(str, km._placed(df, at, centers).collect())) == want
+        monkeypatch.undo()
